@@ -29,23 +29,23 @@ def _site_and_time(hourly: bool = True) -> list[Column]:
     day = F.date_diff(F.to_date("ts"), F.lit(FIRST_DAY).cast("date")) + 1
     return [
         (F.col("user_id") % 4).cast("int").alias("FARM_NO"),
-        (F.floor(F.col("user_id") / 4) % 2).cast("int").alias("SHED_NO"),
+        F.expr("user_id div 4 % 2").cast("int").alias("SHED_NO"),
         day.cast("smallint").alias("DAY"),
         *([F.hour("ts").cast("smallint").alias("HOUR")] if hourly else []),
     ]
 
 
 def _reading(column: str, types: Sequence[str] | None = None) -> Column:
-    source = F.col("value") if column == "value" else F.get_json_object("props", "$.k").cast("int")
-    value = source.cast("decimal(6,2)")
+    source = F.col("value") if column == "value" else F.get_json_object("props", "$.k").try_cast("int")
+    value = source.try_cast("decimal(6,2)")
     return value if types is None else F.when(F.col("event_type").isin(*types), value)
 
 
 def camera_feed(events: DataFrame) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.get_json_object("props", "$.k").try_cast("int")
     return events.where(F.col("event_type").isin(*CAMERA_EVENTS)).select(
         *_site_and_time(),
-        (F.lit(100) - k).cast("decimal(6,2)").alias("BRIGHTNESS"),
+        (F.lit(100) - k).try_cast("decimal(6,2)").alias("BRIGHTNESS"),
         _reading("value", ("click", "purchase")).alias("BIRD_ACTIVITY"),
         _reading("k", ("view", "purchase")).alias("SOUND_LEVEL"),
         (k >= 50).alias("CAMERA_OPERATIONAL"),
@@ -78,13 +78,13 @@ def landing_rows(feed: DataFrame) -> DataFrame:
     return feed.drop("event_id").withColumnsRenamed(LANDING_HEADERS)
 
 
-def write_landing_files(rows: DataFrame, folder: str, prefix: str) -> list[str]:
+def write_landing_files(rows: DataFrame, folder: str, prefix: str, tag: str = "") -> list[str]:
     """Write rows as CSV files named after their farm and shed, and return the file paths.
 
     A site with many rows gets several files: the rebalance hint splits it over tasks.
     """
     spark = rows.sparkSession
-    staging = f"{folder}/_staging_{prefix}"
+    staging = f"{folder}/_staging_{prefix}{tag}"
     (
         rows.hint("rebalance", "FARM_NO", "SHED_NO")
         .write.partitionBy("FARM_NO", "SHED_NO")
@@ -98,12 +98,12 @@ def write_landing_files(rows: DataFrame, folder: str, prefix: str) -> list[str]:
         number = number + 1 if site == (farm, shed) else 1
         site = (farm, shed)
         suffix = "" if number == 1 else f"_Part_{number}"
-        target = f"{folder}/{prefix}_Farm_{farm}_Shed_{shed}{suffix}.csv"
+        target = f"{folder}/{prefix}_Farm_{farm}_Shed_{shed}{tag}{suffix}.csv"
         rename(spark, part, target)
         landed.append(target)
     return landed
 
 
-def land_feed(spark: SparkSession, sf_dir: str, feed: str, folder: str) -> list[str]:
-    rows = landing_rows(FEED_BUILDERS[feed](load(spark, sf_dir, "events")))
-    return write_landing_files(rows, folder, FILE_PREFIXES[feed])
+def land_feed(events: DataFrame, feed: str, folder: str, tag: str = "") -> list[str]:
+    """Land the part of a feed that follows from ``events``."""
+    return write_landing_files(landing_rows(FEED_BUILDERS[feed](events)), folder, FILE_PREFIXES[feed], tag)
