@@ -56,7 +56,9 @@ class FeedContract:
     sequence: str = PROCESSING_TIME
     except_columns: tuple[str, ...] = (SOURCE_FILE, RESCUED)
     max_files: int = 5
-    properties: dict[str, str] = field(default_factory=lambda: {"quality": "bronze"})
+    properties: dict[str, str] = field(
+        default_factory=lambda: {"quality": "bronze", "change_feed": "on", "optimized_writes": "on"}
+    )
 
     @property
     def value_columns(self) -> list[str]:

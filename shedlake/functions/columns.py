@@ -57,9 +57,13 @@ def standardize(df: DataFrame, contract: FeedContract, keep_source_columns: bool
     return rows.select(*front, *(f"`{c}`" for c in rows.columns if c not in front))
 
 
+def incomplete_key(keys: Iterable[str]) -> Column:
+    return reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
+
+
 def split_quarantine(df: DataFrame, keys: Iterable[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with a complete key, and rows in which some key column is null."""
-    broken = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
+    broken = incomplete_key(keys)
     return df.where(~broken), df.where(broken)
 
 

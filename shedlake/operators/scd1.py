@@ -2,14 +2,15 @@
 
 The fold is a grouped aggregate, so Spark combines on the map side before it shuffles: a key
 that holds a third of all rows leaves each task as a single row. With ``ignore_nulls`` every
-column keeps its last non-null value. To go on folding later, a state must remember how new each
-value is; a *lifted* frame carries that in one ``__seq_<column>`` per value column. Folding lifted
-frames is associative, commutative and idempotent, so batches may come in any split and order,
-and may be replayed.
-
-The sequence may be several columns, compared left to right. A single fixed-width column keeps
-the aggregate in hash form; several columns become a struct and Spark sorts instead. Sequence
-columns given alone must not be null.
+column keeps its last non-null value.
+
+To go on folding later, a state must remember how new each of its values is. A *lifted* frame
+holds, in place of each value column, a mark: the position of the change in the sequence, and the
+value. Folding lifted frames is a plain ``max`` per mark, hence associative, commutative and
+idempotent: batches may come in any split and order, and may be replayed.
+
+The sequence may be several columns, compared left to right; it should order all changes of a key,
+and a single sequence column must not be null.
 """
 
 from __future__ import annotations
@@ -19,12 +20,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SEQ = "__seq_"
+MARK = "__mark_"
+
 
+def _names(sequence: str | Sequence[str]) -> list[str]:
+    return [sequence] if isinstance(sequence, str) else list(sequence)
 
-def _position(sequence: str | Sequence[str]) -> Column:
-    names = [sequence] if isinstance(sequence, str) else list(sequence)
-    return F.col(names[0]) if len(names) == 1 else F.struct(*names)
+
+def _position(sequence: list[str]) -> Column:
+    return F.col(sequence[0]) if len(sequence) == 1 else F.struct(*sequence)
 
 
 def _values(df: DataFrame, keys: Sequence[str], columns: Sequence[str] | None, dropped: Sequence[str] = ()) -> list[str]:
@@ -32,6 +36,14 @@ def _values(df: DataFrame, keys: Sequence[str], columns: Sequence[str] | None, d
     return [c for c in chosen if c not in keys and c not in dropped]
 
 
+def _marks(values: list[str], sequence: list[str], ignore_nulls: bool) -> list[tuple[str, Column]]:
+    def mark(column: str) -> Column:
+        pair = F.struct(_position(sequence).alias("position"), F.col(column).alias("value"))
+        return F.when(F.col(column).isNotNull(), pair) if ignore_nulls else pair
+
+    return [(MARK + c, mark(c)) for c in values]
+
+
 def scd1_fold(
     df: DataFrame,
     keys: Sequence[str],
@@ -39,14 +51,19 @@ def scd1_fold(
     columns: Sequence[str] | None = None,
     ignore_nulls: bool = True,
 ) -> DataFrame:
-    """Current state of a set of changes: keys and ``columns`` (default: all), one row per key."""
-    values = _values(df, keys, columns)
-    position = _position(sequence)
-    if not ignore_nulls:
-        last = df.groupBy(*keys).agg(F.max_by(F.struct(*values), position).alias("__last"))
-        return last.select(*keys, "__last.*")
+    """Current state of a set of changes: keys and ``columns`` (default: all), one row per key.
+
+    With one fixed-width sequence column over fixed-width values Spark aggregates by hash. Whole
+    rows under a composite sequence are folded as one struct, so that a column which is part of
+    the sequence is not carried twice.
+    """
+    values, order = _values(df, keys, columns), _names(sequence)
+    if len(order) > 1 and not ignore_nulls:
+        row = F.struct(*order, *(c for c in values if c not in order))
+        return df.groupBy(*keys).agg(F.max(row).alias("last")).select(*keys, *(f"last.`{c}`" for c in values))
+    position = _position(order)
     return df.groupBy(*keys).agg(
-        *(F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(c) for c in values)
+        *(F.max_by(c, F.when(F.col(c).isNotNull(), position) if ignore_nulls else position).alias(c) for c in values)
     )
 
 
@@ -58,27 +75,37 @@ def lift(
     ignore_nulls: bool = True,
     except_columns: Sequence[str] = (),
 ) -> DataFrame:
-    """Changes in the shape of a foldable state: every value next to its position."""
+    """Changes in the shape of a foldable state, not folded yet."""
+    values = _values(df, keys, columns, except_columns)
+    marks = _marks(values, _names(sequence), ignore_nulls)
+    return df.select(*keys, *(mark.alias(name) for name, mark in marks))
+
+
+def fold_changes(
+    df: DataFrame,
+    keys: Sequence[str],
+    sequence: str | Sequence[str],
+    columns: Sequence[str] | None = None,
+    ignore_nulls: bool = True,
+    except_columns: Sequence[str] = (),
+) -> DataFrame:
+    """``fold_lifted(lift(...))`` in one step: marks are built inside the aggregate, so what is
+    sorted before the map-side combine is the plain change."""
     values = _values(df, keys, columns, except_columns)
-    position = _position(sequence)
-    marks = [
-        (F.when(F.col(c).isNotNull(), position) if ignore_nulls else position).alias(SEQ + c) for c in values
-    ]
-    return df.select(*keys, *values, *marks)
+    marks = _marks(values, _names(sequence), ignore_nulls)
+    return df.groupBy(*keys).agg(*(F.max(mark).alias(name) for name, mark in marks))
 
 
 def fold_lifted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Fold lifted rows to one lifted row per key."""
-    values = [c for c in df.columns if SEQ + c in df.columns]
-    return df.groupBy(*keys).agg(
-        *(F.max_by(c, SEQ + c).alias(c) for c in values),
-        *(F.max(SEQ + c).alias(SEQ + c) for c in values),
-    )
+    return df.groupBy(*keys).agg(*(F.max(c).alias(c) for c in df.columns if c.startswith(MARK)))
 
 
 def publish(state: DataFrame) -> DataFrame:
-    """A lifted state without its bookkeeping columns."""
-    return state.drop(*(c for c in state.columns if c.startswith(SEQ)))
+    """The values of a lifted state, under their own names."""
+    return state.select(
+        *(F.col(f"{c}.value").alias(c.removeprefix(MARK)) if c.startswith(MARK) else F.col(c) for c in state.columns)
+    )
 
 
 def scd1_merge(
@@ -90,5 +117,7 @@ def scd1_merge(
     except_columns: Sequence[str] = (),
 ) -> DataFrame:
     """Next lifted state from the current one (``None`` at first) and a batch of changes."""
+    if current is None:
+        return fold_changes(changes, keys, sequence, ignore_nulls=ignore_nulls, except_columns=except_columns)
     lifted = lift(changes, keys, sequence, ignore_nulls=ignore_nulls, except_columns=except_columns)
-    return fold_lifted(lifted if current is None else current.unionByName(lifted), keys)
+    return fold_lifted(current.unionByName(lifted), keys)

@@ -53,12 +53,14 @@ DIM_SCHEMA = _columns(FARM_NO=T.IntegerType(), ID=T.StringType(), **{PROCESSING_
 class Lake:
     """All tables under one root folder.
 
-    ``partition_by`` lays out silver by key columns, for readers that filter on them.
+    ``partition_by`` lays out silver by key columns, for readers that filter on them. A silver
+    table is compacted when ``compact_after`` batches have come in since the last time.
     """
 
     root: str
     partition_by: tuple[str, ...] = ()
     keep_source_columns: bool = False
+    compact_after: int = 32
 
     def bronze(self, feed: FeedContract) -> AppendTarget:
         return AppendTarget(
@@ -157,6 +159,8 @@ def run_feeds(
     ]
     for query in upserts:
         query.awaitTermination()
+    for feed in feeds:
+        lake.silver(feed).compact(spark, lake.compact_after)
 
 
 def run_gold(spark: SparkSession, lake: Lake) -> tuple[int, int]:

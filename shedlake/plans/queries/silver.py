@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from shedlake.contracts import CAMERA, ENVIRONMENTAL, PROCESSING_TIME
 from shedlake.operators.activity import business_view
 from shedlake.operators.scd1 import publish, scd1_fold, scd1_merge
-from shedlake.operators.snapshots import change_feed
+from shedlake.operators.snapshots import change_feed, collapse_change_feed
 from shedlake.plans.oracle import HOURLY, feeds, silver
 from shedlake.plans.queries.inputs import after, before, feed_of, run_time, silver_of
 from shedlake.plans.registry import query
@@ -125,3 +125,13 @@ def silver_business_view(spark, sf_dir):
     nothing = silver_rows.where(F.lit(False))
     feed = change_feed(nothing, silver_rows, ENVIRONMENTAL.keys, 0, run_time(), unique=True)
     return business_view(feed)
+
+
+@query(silver("SELECT * FROM silver_camera"))
+def silver_batches_as_changes(spark, sf_dir):
+    """The change feed that the batches of a target leave behind, collapsed to the current state."""
+    events = load(spark, sf_dir, "events")
+    target = camera_target(scratch_dir(spark, "silver"))
+    target.merge_batch(camera_feed(after(events)), 0)
+    target.merge_batch(camera_feed(before(events)), 1)
+    return collapse_change_feed(target.read_changes(spark), CAMERA.keys)

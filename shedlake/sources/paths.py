@@ -22,6 +22,12 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in (fs.globStatus(hadoop_path) or []))
 
 
+def modified_at(spark: SparkSession, path: str) -> int:
+    """Modification time in milliseconds since the epoch."""
+    fs, hadoop_path = _open(spark, path)
+    return fs.getFileStatus(hadoop_path).getModificationTime()
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     fs, source_path = _open(spark, source)
     target_path = _open(spark, target)[1]

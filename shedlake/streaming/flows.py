@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shedlake.contracts import FeedContract
-from shedlake.functions.columns import split_quarantine, standardize
+from shedlake.functions.columns import incomplete_key, split_quarantine, standardize
 from shedlake.sources.landing import new_files_stream, read_files
 from shedlake.sources.tables import BATCH_ID
 from shedlake.streaming.targets import AppendTarget, KeyedTarget
@@ -64,9 +65,13 @@ def upsert_flow(
 
     def write(rows: DataFrame, batch_id: int) -> None:
         standard = standardize(rows.drop(BATCH_ID), contract, keep_source_columns)
-        keyed, broken = split_quarantine(standard, contract.keys)
-        silver.merge_batch(keyed, batch_id)
-        quarantine.append_batch(broken, batch_id)
+        seen = Observation()
+        incomplete = F.count_if(incomplete_key(contract.keys))
+        keyed = split_quarantine(standard.observe(seen, incomplete.alias("broken")), contract.keys)[0]
+        # The upsert counts the rows without a key on its way; only if there are any, or if this is a
+        # replay that need not repeat the upsert, is the batch scanned again for them.
+        if not silver.merge_batch(keyed, batch_id) or seen.get["broken"]:
+            quarantine.append_batch(split_quarantine(standard, contract.keys)[1], batch_id)
 
     return (
         bronze.read_stream(spark, max_files)

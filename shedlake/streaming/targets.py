@@ -11,13 +11,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shedlake.operators.scd1 import SEQ, fold_lifted, lift, publish
-from shedlake.sources.paths import complete_versions
+from shedlake.operators.scd1 import MARK, fold_changes, fold_lifted, publish
+from shedlake.operators.snapshots import change_feed
+from shedlake.sources.paths import complete_versions, modified_at
 from shedlake.sources.tables import BATCH_ID
 
 VERSION = "version"
@@ -116,7 +118,12 @@ class KeyedTarget(Target):
             if len(self.sequence) == 1
             else T.StructType([self.sequence_types[c] for c in self.sequence])
         )
-        return T.StructType([*self.schema.fields, *(T.StructField(SEQ + c, position) for c in self.values)])
+
+        def mark(column: str) -> T.StructField:
+            value = T.StructField("value", self.schema[column].dataType)
+            return T.StructField(MARK + column, T.StructType([T.StructField("position", position), value]))
+
+        return T.StructType([*(self.schema[k] for k in self.keys), *(mark(c) for c in self.values)])
 
     @property
     def deltas(self) -> str:
@@ -126,35 +133,43 @@ class KeyedTarget(Target):
     def bases(self) -> str:
         return f"{self.path}/base"
 
-    def merge_batch(self, changes: DataFrame, batch_id: int) -> None:
-        """Upsert one batch of changes; a null never replaces a stored value."""
-        if batch_id in complete_versions(changes.sparkSession, self.deltas, BATCH_ID):
-            return
-        lifted = lift(changes, self.keys, self.sequence, self.values)
-        self._write(fold_lifted(lifted, self.keys), f"{self.deltas}/{BATCH_ID}={batch_id}")
+    def merge_batch(self, changes: DataFrame, batch_id: int) -> bool:
+        """Upsert one batch of changes; a null never replaces a stored value. False if already done."""
+        if batch_id in self.versions(changes.sparkSession):
+            return False
+        folded = fold_changes(changes, self.keys, self.sequence, self.values)
+        self._write(folded, f"{self.deltas}/{BATCH_ID}={batch_id}")
+        return True
+
+    def versions(self, spark: SparkSession) -> list[int]:
+        return complete_versions(spark, self.deltas, BATCH_ID)
 
     def _base(self, spark: SparkSession, as_of: int | None) -> int | None:
         fit = [n for n in complete_versions(spark, self.bases, VERSION) if as_of is None or n <= as_of]
         return max(fit, default=None)
 
-    def _lifted(self, spark: SparkSession, as_of: int | None) -> tuple[DataFrame, int]:
-        """Rows to fold for the state after batch ``as_of``, and how many folders they come from."""
+    def _delta_rows(self, spark: SparkSession, batches: Sequence[int]) -> DataFrame:
+        return self._read(spark, self.deltas, [f"{self.deltas}/{BATCH_ID}={n}" for n in batches], self.state_schema)
+
+    def _pending(self, spark: SparkSession, as_of: int | None) -> list[int]:
+        """Batches up to ``as_of`` that no base covers."""
         base = self._base(spark, as_of)
-        fresh = [
-            n
-            for n in complete_versions(spark, self.deltas, BATCH_ID)
-            if (base is None or n > base) and (as_of is None or n <= as_of)
+        return [
+            n for n in self.versions(spark) if (base is None or n > base) and (as_of is None or n <= as_of)
         ]
-        rows = self._read(spark, self.deltas, [f"{self.deltas}/{BATCH_ID}={n}" for n in fresh], self.state_schema)
+
+    def _lifted(self, spark: SparkSession, as_of: int | None) -> tuple[DataFrame, bool]:
+        """Rows to fold for the state after batch ``as_of``, and whether they are folded already."""
+        base, pending = self._base(spark, as_of), self._pending(spark, as_of)
         if base is None:
-            return rows, len(fresh)
+            return self._delta_rows(spark, pending), len(pending) <= 1
         stored = self._read(spark, self.bases, [f"{self.bases}/{VERSION}={base}"], self.state_schema)
-        return (stored.unionByName(rows) if fresh else stored), len(fresh) + 1
+        return (stored.unionByName(self._delta_rows(spark, pending)) if pending else stored), not pending
 
     def state(self, spark: SparkSession, as_of: int | None = None) -> DataFrame:
-        """One lifted row per key. A single folder is already folded."""
-        rows, folders = self._lifted(spark, as_of)
-        return rows if folders == 1 else fold_lifted(rows, self.keys)
+        """One lifted row per key."""
+        rows, folded = self._lifted(spark, as_of)
+        return rows if folded else fold_lifted(rows, self.keys)
 
     def read(self, spark: SparkSession, as_of: int | None = None) -> DataFrame:
         """Current state, or the state right after batch ``as_of``."""
@@ -164,16 +179,33 @@ class KeyedTarget(Target):
         """Key columns of every stored row, unfolded: folding never adds or removes a key."""
         return self._lifted(spark, None)[0].select(*columns)
 
-    def versions(self, spark: SparkSession) -> list[int]:
-        return complete_versions(spark, self.deltas, BATCH_ID)
-
-    def compact(self, spark: SparkSession) -> int | None:
-        """Fold everything stored so far into a base named after its last delta."""
-        stored = self.versions(spark)
-        if not stored or self._base(spark, None) == stored[-1]:
+    def read_changes(self, spark: SparkSession, start: int = 0, end: int | None = None) -> DataFrame:
+        """Change feed of batches ``start`` to ``end``, each batch a commit of its own.
+
+        Before and after are folded only for the keys that a batch touched.
+        """
+        feeds = []
+        for batch in (n for n in self.versions(spark) if n >= start and (end is None or n <= end)):
+            touched = self._delta_rows(spark, [batch]).select(*self.keys)
+
+            def image(as_of: int) -> DataFrame:
+                rows = self._lifted(spark, as_of)[0].join(touched, list(self.keys), "left_semi")
+                return publish(fold_lifted(rows, self.keys))
+
+            committed = F.timestamp_millis(F.lit(modified_at(spark, f"{self.deltas}/{BATCH_ID}={batch}/_SUCCESS")))
+            feeds.append(change_feed(image(batch - 1), image(batch), self.keys, batch, committed, unique=True))
+        if not feeds:
+            nothing = self.read(spark).where(F.lit(False))
+            return change_feed(nothing, nothing, self.keys, start, F.current_timestamp(), unique=True)
+        return reduce(DataFrame.unionByName, feeds)
+
+    def compact(self, spark: SparkSession, at_least: int = 1) -> int | None:
+        """Fold everything stored so far into a base, once ``at_least`` batches have piled up."""
+        pending = self._pending(spark, None)
+        if len(pending) < max(at_least, 1):
             return None
-        self._write(self.state(spark), f"{self.bases}/{VERSION}={stored[-1]}")
-        return stored[-1]
+        self._write(self.state(spark), f"{self.bases}/{VERSION}={pending[-1]}")
+        return pending[-1]
 
 
 @dataclass(frozen=True)
