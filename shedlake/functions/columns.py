@@ -12,6 +12,27 @@ from pyspark.sql import types as T
 from shedlake.contracts import OPERATIONAL, PROCESSING_TIME, SOURCE_FILE, FeedContract
 
 
+def plausible(text: Column, kind: T.DataType) -> Column:
+    """False for text that cannot be cast to ``kind`` by its looks alone.
+
+    Casting a misfit raises and catches an exception inside Spark, at some twenty times the price
+    of a good cast, so a column full of words would slow down its whole batch. No number starts
+    with a letter, and every boolean is one of a few short words.
+    """
+    if isinstance(kind, T.BooleanType):
+        return text.rlike(r"^[\x00-\x20\x7f]*(?i:t|true|y|yes|1|f|false|n|no|0)[\x00-\x20\x7f]*$")
+    first = F.ascii(text)
+    return (first < ord(":")) | (first > ord("~"))
+
+
+def fit(df: DataFrame, column: str, kind: T.DataType) -> Column:
+    """``column`` as another type, or null where it does not fit."""
+    value = F.col(f"`{column}`")
+    if isinstance(df.schema[column].dataType, T.StringType):
+        value = F.when(plausible(value, kind), value)
+    return value.try_cast(kind)
+
+
 def stamp_operational(df: DataFrame, processing_time: Column | None = None) -> DataFrame:
     """Add the ingest time and the name of the file each row was read from.
 
@@ -35,7 +56,7 @@ def cast_contract(df: DataFrame, contract: FeedContract, keep_source_columns: bo
         if source is None:
             casts.append(F.lit(None).cast(rule.type).alias(rule.name))
             continue
-        casts.append(F.col(f"`{source}`").try_cast(rule.type).alias(rule.name))
+        casts.append(fit(df, source, rule.type).alias(rule.name))
         if not (keep_source_columns and source.lower() != rule.name.lower()):
             consumed.add(source)
     allowed = None if keep_source_columns else {*OPERATIONAL, *contract.key_patterns}
@@ -46,7 +67,10 @@ def cast_contract(df: DataFrame, contract: FeedContract, keep_source_columns: bo
 def derive_keys(df: DataFrame, patterns: Mapping[str, str], source: str = SOURCE_FILE) -> DataFrame:
     """Integer keys from the first match of each pattern; null where the name has no match."""
     return df.withColumns(
-        {key: F.regexp_extract(source, pattern, 1).try_cast("int") for key, pattern in patterns.items()}
+        {
+            key: F.nullif(F.regexp_extract(source, pattern, 1), F.lit("")).try_cast("int")
+            for key, pattern in patterns.items()
+        }
     )
 
 

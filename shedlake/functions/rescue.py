@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shedlake.contracts import OPERATIONAL, RESCUED, FeedContract
+from shedlake.functions.columns import fit
 
 CORRUPT = "_corrupt_record"
+FIT = "__fit_"
 
 
 def rescue(df: DataFrame, contract: FeedContract) -> DataFrame:
@@ -26,23 +28,28 @@ def rescue(df: DataFrame, contract: FeedContract) -> DataFrame:
         if source is not None:
             rule_of[source] = rule
 
-    fits, rescued = {}, []
+    # Casts are done once, in a projection of their own; what follows only compares with null.
+    fits = {
+        FIT + name: F.when(fit(df, name, rule.type).isNotNull(), F.col(f"`{name}`")) for name, rule in rule_of.items()
+    }
+    checked = df.select("*", *(value.alias(name) for name, value in fits.items()))
+    rescued = []
     for name in df.columns:
         value = F.col(f"`{name}`")
-        if name in OPERATIONAL:
-            continue
-        if name not in rule_of:
+        if name in rule_of:
+            rescued.append(F.when(F.col(f"`{FIT}{name}`").isNull(), value).alias(name))
+        elif name not in OPERATIONAL:
             rescued.append(value.alias(name))
-            continue
-        bad = value.isNotNull() & value.try_cast(rule_of[name].type).isNull()
-        fits[rule_of[name].name] = F.when(~bad, value)
-        rescued.append(F.when(bad, value).alias(name))
 
     if rescued:
         found = reduce(lambda a, b: a | b, (c.isNotNull() for c in rescued))
         payload = F.when(found, F.to_json(F.struct(*rescued)))
     else:
         payload = F.lit(None).cast("string")
-    kept = [fits.get(r.name, F.lit(None).cast("string")).alias(r.raw_name) for r in contract.columns]
+    source_of = {rule.name: name for name, rule in rule_of.items()}
+    kept = [
+        (F.col(f"`{FIT}{source_of[r.name]}`") if r.name in source_of else F.lit(None).cast("string")).alias(r.raw_name)
+        for r in contract.columns
+    ]
     stamps = [F.col(c) for c in OPERATIONAL if c in df.columns and c != RESCUED]
-    return df.select(*kept, *stamps, payload.alias(RESCUED))
+    return checked.select(*kept, *stamps, payload.alias(RESCUED))

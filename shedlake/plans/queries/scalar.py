@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shedlake.contracts import CAMERA, KEY_PATTERNS, SOURCE_FILE
-from shedlake.functions.columns import cast_contract, derive_keys, split_quarantine
+from shedlake.functions.columns import cast_contract, derive_keys, fit, split_quarantine
 from shedlake.functions.headers import sanitize_headers
 from shedlake.functions.rescue import rescue
 from shedlake.plans.oracle import feeds
 from shedlake.plans.registry import query
-from shedlake.sources.derived import FIRST_DAY, load
+from shedlake.sources.derived import FIRST_DAY, load, reading_number
 
 
 def text_rows(spark, sf_dir):
@@ -20,7 +21,7 @@ def text_rows(spark, sf_dir):
     where a sensor failed, and the operational flag is a number of which only 0 and 1 are valid.
     """
     day = F.date_diff(F.to_date("ts"), F.lit(FIRST_DAY).cast("date")) + 1
-    k = F.get_json_object("props", "$.k")
+    k = reading_number()
     return load(spark, sf_dir, "events").select(
         day.cast("string").alias("DAY"),
         F.hour("ts").cast("string").alias("HOUR"),
@@ -114,8 +115,8 @@ FROM (SELECT l_orderkey, l_returnflag, l_linestatus, CAST(l_linenumber AS VARCHA
 def cast_boolean(spark, sf_dir):
     """Letters and digits as booleans: some spell one, the others become null."""
     lines = load(spark, sf_dir, "lineitem")
-    texts = [F.col(c).cast("string").try_cast("boolean").alias(c) for c in ("l_returnflag", "l_linestatus", "l_linenumber")]
-    return lines.select("l_orderkey", *texts)
+    texts = lines.select("l_orderkey", "l_returnflag", "l_linestatus", F.col("l_linenumber").cast("string"))
+    return texts.select("l_orderkey", *(fit(texts, c, T.BooleanType()).alias(c) for c in texts.columns[1:]))
 
 
 @query("""

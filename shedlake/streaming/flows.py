@@ -13,7 +13,7 @@ from shedlake.sources.tables import BATCH_ID
 from shedlake.streaming.targets import AppendTarget, KeyedTarget
 
 ONCE = {"availableNow": True}
-BYTES_PER_FILE = 256 * 1024 * 1024
+BYTES_PER_TASK = 16 * 1024 * 1024
 
 
 def append_flow(
@@ -35,7 +35,8 @@ def append_flow(
         if not files:
             return
         rows = read_files(spark, sorted(files), contract, processing_time)
-        enough = 1 + sum(files.values()) // BYTES_PER_FILE
+        # Many small files become few tasks and stored files; large ones are left as they are split.
+        enough = 1 + sum(files.values()) // BYTES_PER_TASK
         bronze.append_batch(rows.coalesce(enough) if enough < len(files) else rows, batch_id)
 
     listing = new_files_stream(spark, landing, contract.glob, max_files or contract.max_files, clean_source)

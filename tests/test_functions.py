@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shedlake.contracts import CAMERA, ENVIRONMENTAL, FEEDS, SYNTHETIC
+from shedlake.functions.columns import fit
 from shedlake.functions import (
     cast_contract,
     clean_header,
@@ -110,3 +111,18 @@ def test_decimals_to_double_leaves_other_types(spark):
     rows = spark.range(1).select(F.lit("1.25").cast("decimal(10,6)").alias("a"), F.lit(1).alias("b"), F.lit("x").alias("c"))
     assert decimals_to_double(rows).dtypes == [("a", "double"), ("b", "int"), ("c", "string")]
     assert tuple(decimals_to_double(rows).first()) == (1.25, 1, "x")
+
+
+ODD_TEXTS = [
+    "1", " 1 ", "+1", "-1", "1.", ".5", "1e2", "1E-2", "0x1", "", " ", "\t7\n", "\x7f7", "007", "32767", "32768", "99999",
+    "2147483648", "1_000", "--1", "-", "+", ".", "e5", "NaN", "Infinity", "bad", "N/A", "t", "T", "true ", " TRUE",
+    "yes", "Yes", "y", "no", "n", "f", "false", "falsey", "on", "1.0", "0", "10", "\u0663", "9999.99", "9999.995", "#REF!",
+    "12345.678", "1,5", "\u00a01", "truefalse", "none",
+]
+
+
+@pytest.mark.parametrize("kind", [c.type for c in CAMERA.columns[1:3]] + [CAMERA.columns[5].type, ENVIRONMENTAL.standard_schema()["FARM_NO"].dataType])
+def test_fit_is_a_try_cast(spark, kind):
+    texts = spark.createDataFrame([(t,) for t in ODD_TEXTS], "t string")
+    wrong = texts.where(~fit(texts, "t", kind).eqNullSafe(F.col("t").try_cast(kind)))
+    assert [r.t for r in wrong.collect()] == []
