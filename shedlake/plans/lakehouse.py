@@ -140,10 +140,13 @@ def run_feeds(
     max_files: int | None = None,
     clean_source: bool = False,
     processing_time: Column | None = None,
+    bronze_files: int | None = None,
 ) -> None:
     """Bring silver up to date with the landing folders, given by feed name.
 
-    The feeds do not depend on each other, so their flows run side by side.
+    The feeds do not depend on each other, so their flows run side by side. ``max_files`` limits
+    the landing files of a batch (the contract says how many otherwise), ``bronze_files`` the
+    stored files that one upsert takes in.
     """
     feeds = [FEEDS[name] for name in landing]
     appends = [
@@ -153,7 +156,9 @@ def run_feeds(
     for query in appends:
         query.awaitTermination()
     upserts = [
-        upsert_flow(spark, f, lake.bronze(f), lake.silver(f), lake.quarantine(f), lake.keep_source_columns)
+        upsert_flow(
+            spark, f, lake.bronze(f), lake.silver(f), lake.quarantine(f), lake.keep_source_columns, bronze_files
+        )
         for f in feeds
         if exists(spark, lake.bronze(f).data)
     ]

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shedlake.contracts import FeedContract
+from shedlake.contracts import OPERATIONAL, FeedContract
 from shedlake.functions.columns import stamp_operational
 from shedlake.functions.headers import sanitize_headers
 from shedlake.functions.rescue import CORRUPT, rescue
@@ -35,13 +35,15 @@ def new_files_stream(
 ) -> DataFrame:
     """Stream of (path, length) of the files that match ``glob``, at most ``max_files`` per batch.
 
-    The file content is never read: only the selected columns of the listing are. With
-    ``clean_source`` Spark deletes files of a batch once a later batch has been committed.
+    Folders below ``directory`` are searched too. The file content is never read: only the
+    selected columns of the listing are. With ``clean_source`` Spark deletes the files of a batch
+    once a later batch has been committed.
     """
     reader = (
         spark.readStream.format("binaryFile")
         .schema(FILE_LISTING)
         .option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files)
     )
     if clean_source:
@@ -67,10 +69,11 @@ def read_csv_group(spark: SparkSession, header: Sequence[str], paths: Sequence[s
     """All values of files that share one header, as text, with cleaned column names.
 
     Records with more fields than the header keep their whole line in an extra column; a record
-    with fewer fields has nulls and loses nothing. Files stay splittable, so one large file is
-    read by many tasks.
+    with fewer fields has nulls and loses nothing. A header that is the name of an operational
+    column is set apart from it. Files stay splittable, so one large file is read by many tasks.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, CORRUPT]])
+    names = [f"{c}_in_file" if c.lower() in OPERATIONAL else c for c in header]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
     rows = (
         spark.read.schema(schema)
         .option("header", True)
@@ -105,6 +108,7 @@ def infer_feed_schema(spark: SparkSession, directory: str, glob: str) -> DataFra
     """Discovery helper: type and number of filled values of every column found in a landing folder."""
     rows = (
         spark.read.option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", True)
         .option("header", True)
         .option("sep", ",")
         .option("inferSchema", True)

@@ -69,3 +69,10 @@ def test_inferred_types(spark, scratch):
 def test_no_files_give_an_empty_bronze_frame(spark):
     rows = read_files(spark, [], CAMERA)
     assert rows.count() == 0 and rows.schema == CAMERA.bronze_schema()
+
+
+def test_header_named_like_an_operational_column_is_rescued(spark, scratch):
+    path = put(scratch, "Camera_Farm_1_Shed_1.csv", "DAY,HOUR,_source_file_name\n1,2,mine\n")
+    row = read_files(spark, [path], CAMERA).first()
+    assert row._source_file_name == "Camera_Farm_1_Shed_1.csv"
+    assert json.loads(row._rescued_data) == {"_source_file_name_in_file": "mine"}

@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from shedlake.contracts import CAMERA, ENVIRONMENTAL
+from shedlake.contracts import CAMERA, ENVIRONMENTAL, SYNTHETIC
 from shedlake.operators.snapshots import collapse_change_feed
 from shedlake.plans.lakehouse import Lake, publish_views, run_all, run_dimension, run_feeds, run_gold
 from shedlake.sources.tables import BATCH_ID
@@ -203,3 +203,30 @@ def test_gold_versions_and_source_columns(spark, scratch, landing):
     ]
     facts = lake.silver(ENVIRONMENTAL).metadata()
     assert facts["keys"] == "FARM_NO,SHED_NO,DAY,HOUR" and facts["quality"] == "silver"
+
+
+def test_folders_below_the_landing_folder_are_searched(spark, lake, landing):
+    put(f"{landing['camera']}/2024/week=1", "Camera_Farm_1_Shed_1.csv", HEADER + "1,0,1,1,1,true\n")
+    put(landing["camera"], "Camera_Farm_2_Shed_1.csv", HEADER + "1,0,1,1,1,true\n")
+    run_feeds(spark, lake, {"camera": landing["camera"]})
+    assert sorted(r.FARM_NO for r in lake.silver(CAMERA).read(spark).collect()) == [1, 2]
+
+
+def test_files_with_different_headers_in_one_batch(spark, lake, landing):
+    put(landing["synthetic"], "Synthetic_Poultry_Farm_1_Shed_1.csv", "Day,Weight(g)\n1,40\n")
+    put(landing["synthetic"], "Synthetic_Poultry_Farm_1_Shed_2.csv", "Weight (g),DAY,Vet\n41,1,x\n")
+    run_feeds(spark, lake, {"synthetic": landing["synthetic"]})
+    silver = lake.silver(SYNTHETIC).read(spark).drop("_processing_timestamp")
+    assert rows_of(silver) == [(1, 1, 1, Decimal("40.00")), (1, 2, 1, Decimal("41.00"))]
+
+
+def test_upserts_of_few_files_at_a_time_give_the_same_state(spark, scratch, landing):
+    for i in range(6):
+        put(landing["camera"], f"Camera_Farm_1_Shed_{i % 2}_{i}.csv", HEADER + f"1,0,{i},{i if i % 3 else ''},1,true\n")
+    at_once, in_steps = Lake(f"{scratch}/a"), Lake(f"{scratch}/b", compact_after=2)
+    moment = F.lit("2024-02-01 00:00:00").cast("timestamp")
+    run_feeds(spark, at_once, {"camera": landing["camera"]}, 100, processing_time=moment)
+    run_feeds(spark, in_steps, {"camera": landing["camera"]}, 2, processing_time=moment, bronze_files=1)
+    assert len(in_steps.silver(CAMERA).versions(spark)) == 3
+    assert os.path.exists(in_steps.silver(CAMERA).bases)
+    assert rows_of(in_steps.silver(CAMERA).read(spark)) == rows_of(at_once.silver(CAMERA).read(spark))
