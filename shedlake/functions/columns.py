@@ -42,13 +42,22 @@ def stamp_operational(df: DataFrame, processing_time: Column | None = None) -> D
     return df.withColumns({PROCESSING_TIME: when, SOURCE_FILE: F.col("_metadata.file_name")})
 
 
-def cast_contract(df: DataFrame, contract: FeedContract, keep_source_columns: bool = False) -> DataFrame:
+def _must_fit(df: DataFrame, column: str, kind: T.DataType) -> Column:
+    value, fitted = F.col(f"`{column}`"), fit(df, column, kind)
+    complaint = F.concat(F.lit(f"{column} is not a {kind.simpleString()}: "), value.cast("string"))
+    return F.when(value.isNotNull() & fitted.isNull(), F.raise_error(complaint)).otherwise(fitted)
+
+
+def cast_contract(
+    df: DataFrame, contract: FeedContract, keep_source_columns: bool = False, strict: bool = False
+) -> DataFrame:
     """Contract columns in their contract types, followed by the columns that pass through.
 
-    A value that does not fit its type becomes null (``rescue`` has kept its text). A column
-    that the input lacks is null. ``keep_source_columns`` also retains every column outside the
-    contract and the sources of renamed columns.
+    A value that does not fit its type becomes null (``rescue`` has kept its text), or fails the
+    query when ``strict``. A column that the input lacks is null. ``keep_source_columns`` also
+    retains every column outside the contract and the sources of renamed columns.
     """
+    cast = _must_fit if strict else fit
     names = df.columns
     casts, consumed = [], set()
     for rule in contract.columns:
@@ -56,7 +65,7 @@ def cast_contract(df: DataFrame, contract: FeedContract, keep_source_columns: bo
         if source is None:
             casts.append(F.lit(None).cast(rule.type).alias(rule.name))
             continue
-        casts.append(fit(df, source, rule.type).alias(rule.name))
+        casts.append(cast(df, source, rule.type).alias(rule.name))
         if not (keep_source_columns and source.lower() != rule.name.lower()):
             consumed.add(source)
     allowed = None if keep_source_columns else {*OPERATIONAL, *contract.key_patterns}

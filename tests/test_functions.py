@@ -2,6 +2,7 @@ import json
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from shedlake.contracts import CAMERA, ENVIRONMENTAL, FEEDS, SYNTHETIC
@@ -113,6 +114,14 @@ def test_decimals_to_double_leaves_other_types(spark):
     assert tuple(decimals_to_double(rows).first()) == (1.25, 1, "x")
 
 
+def test_strict_casts_fail_on_what_they_would_lose(spark):
+    good = spark.createDataFrame([("1", None, "3", "4", "5", "1")], CAMERA_TEXT)
+    assert tuple(cast_contract(good, CAMERA, strict=True).first())[:2] == (1, None)
+    bad = spark.createDataFrame([("1", "2", "12345.678", "4", "5", "1")], CAMERA_TEXT)
+    with pytest.raises(PySparkException, match="BRIGHTNESS is not a decimal"):
+        cast_contract(bad, CAMERA, strict=True).collect()
+
+
 ODD_TEXTS = [
     "1", " 1 ", "+1", "-1", "1.", ".5", "1e2", "1E-2", "0x1", "", " ", "\t7\n", "\x7f7", "007", "32767", "32768", "99999",
     "2147483648", "1_000", "--1", "-", "+", ".", "e5", "NaN", "Infinity", "bad", "N/A", "t", "T", "true ", " TRUE",

@@ -5,12 +5,15 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
-from shedlake.contracts import CAMERA, ENVIRONMENTAL
+from shedlake.contracts import CAMERA, ENVIRONMENTAL, OPERATIONAL
+from shedlake.functions import standardize
 from shedlake.operators.activity import aggregate_activity, join_activity
 from shedlake.plans.lakehouse import Lake
-from test_streaming import BATCHES, silver_changes
+from shedlake.sources.paths import glob
+from test_streaming import BATCHES, bronze_rows, silver_changes
 
 QUERIES = entry_points.queries()
 
@@ -42,16 +45,44 @@ def test_flagship_shuffles_each_feed_once_and_the_result_once(spark, sf_dir, no_
     assert "CAMERA_OPERATIONAL" not in plan and "BRIGHTNESS" not in plan
 
 
-def test_stored_deltas_join_without_a_shuffle_beyond_the_fold(spark, scratch, no_broadcast):
+def test_joining_stored_deltas_shuffles_no_more_than_folding_them(spark, scratch, no_broadcast):
     lake = Lake(scratch)
-    silver = lake.silver(CAMERA)
+    camera, environmental = lake.silver(CAMERA), lake.silver(ENVIRONMENTAL)
+    climate = bronze_rows(spark, *BATCHES[0]).select(
+        "DAY", "HOUR", F.lit("20").alias("temperature"), F.lit("60").alias("humidity"), *OPERATIONAL
+    )
     for number, batch in enumerate(BATCHES):
-        silver.merge_batch(silver_changes(spark, *batch), number)
-    climate = spark.createDataFrame([], lake.silver(ENVIRONMENTAL).schema).groupBy(*CAMERA.keys).agg(
-        {"TEMPRATURE": "max", "HUMIDITY": "max"}
-    ).withColumnsRenamed({"max(TEMPRATURE)": "TEMPRATURE", "max(HUMIDITY)": "HUMIDITY"})
-    plan = plan_of(aggregate_activity(join_activity(climate, silver.read(spark))))
-    assert plan.count("SortMergeJoin") <= 1 and exchanges(plan) <= 3
+        camera.merge_batch(silver_changes(spark, *batch), number)
+        environmental.merge_batch(standardize(climate, ENVIRONMENTAL), number)
+    daily = aggregate_activity(join_activity(environmental.read(spark), camera.read(spark)))
+    plan = plan_of(daily)
+    assert exchanges(plan) == 3 and plan.count("SortMergeJoin") == 1
+    assert daily.count() == 2
+
+
+def test_a_hot_partition_value_is_written_by_several_tasks(spark, scratch):
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        silver = Lake(scratch, partition_by=("FARM_NO",)).silver(CAMERA)
+        changes = spark.range(0, 60_000, 1, 8).selectExpr(
+            "CAST(CASE WHEN id % 3 > 0 THEN 0 ELSE id % 7 END AS INT) AS FARM_NO", "CAST(id AS INT) AS SHED_NO",
+            "CAST(id % 30 AS SMALLINT) AS DAY", "CAST(id % 24 AS SMALLINT) AS HOUR",
+            "CAST(id % 100 AS DECIMAL(6,2)) AS BRIGHTNESS", "CAST(id % 90 AS DECIMAL(6,2)) AS BIRD_ACTIVITY",
+            "CAST(id % 80 AS DECIMAL(6,2)) AS SOUND_LEVEL", "id % 2 = 0 AS CAMERA_OPERATIONAL",
+            "timestamp'2024-01-01 00:00:00' AS _processing_timestamp", "concat('f', id) AS _source_file_name",
+        )
+        silver.merge_batch(changes, 0)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    files = {f: len(glob(spark, f"{silver.deltas}/*/FARM_NO={f}/part-*")) for f in range(7)}
+    assert files[0] >= 4 and max(files[f] for f in range(1, 7)) <= 2
+    assert silver.read(spark).count() == 60_000
 
 
 @pytest.mark.parametrize("name", ["snapshot_diff", "snapshot_apply", "snapshot_change_feed"])
