@@ -27,18 +27,26 @@ def _names(sequence: str | Sequence[str]) -> list[str]:
     return [sequence] if isinstance(sequence, str) else list(sequence)
 
 
-def _position(sequence: list[str]) -> Column:
-    return F.col(sequence[0]) if len(sequence) == 1 else F.struct(*sequence)
-
-
 def _values(df: DataFrame, keys: Sequence[str], columns: Sequence[str] | None, dropped: Sequence[str] = ()) -> list[str]:
     chosen = df.columns if columns is None else columns
     return [c for c in chosen if c not in keys and c not in dropped]
 
 
-def _marks(values: list[str], sequence: list[str], ignore_nulls: bool) -> list[tuple[str, Column]]:
+def mark_order(column: str, sequence: str | Sequence[str]) -> list[str]:
+    """What decides between two values of ``column``, before the values themselves do.
+
+    For a column that is part of the sequence, whatever the sequence compares after it can no
+    longer change which value wins, so only the columns before it count.
+    """
+    order = _names(sequence)
+    return order[: order.index(column)] if column in order else order
+
+
+def _marks(values: list[str], sequence: str | Sequence[str], ignore_nulls: bool) -> list[tuple[str, Column]]:
     def mark(column: str) -> Column:
-        pair = F.struct(_position(sequence).alias("position"), F.col(column).alias("value"))
+        before = mark_order(column, sequence)
+        position = [F.struct(*before).alias("position")] if before else []
+        pair = F.struct(*position, F.col(column).alias("value"))
         return F.when(F.col(column).isNotNull(), pair) if ignore_nulls else pair
 
     return [(MARK + c, mark(c)) for c in values]
@@ -58,13 +66,15 @@ def scd1_fold(
     the sequence is not carried twice.
     """
     values, order = _values(df, keys, columns), _names(sequence)
-    if len(order) > 1 and not ignore_nulls:
-        row = F.struct(*order, *(c for c in values if c not in order))
-        return df.groupBy(*keys).agg(F.max(row).alias("last")).select(*keys, *(f"last.`{c}`" for c in values))
-    position = _position(order)
-    return df.groupBy(*keys).agg(
-        *(F.max_by(c, F.when(F.col(c).isNotNull(), position) if ignore_nulls else position).alias(c) for c in values)
-    )
+    if len(order) == 1:
+        seq = F.col(order[0])
+        return df.groupBy(*keys).agg(
+            *(F.max_by(c, F.when(F.col(c).isNotNull(), seq) if ignore_nulls else seq).alias(c) for c in values)
+        )
+    if ignore_nulls:
+        return publish(fold_changes(df, keys, order, values))
+    row = F.struct(*order, *(c for c in values if c not in order))
+    return df.groupBy(*keys).agg(F.max(row).alias("last")).select(*keys, *(f"last.`{c}`" for c in values))
 
 
 def lift(
@@ -77,7 +87,7 @@ def lift(
 ) -> DataFrame:
     """Changes in the shape of a foldable state, not folded yet."""
     values = _values(df, keys, columns, except_columns)
-    marks = _marks(values, _names(sequence), ignore_nulls)
+    marks = _marks(values, sequence, ignore_nulls)
     return df.select(*keys, *(mark.alias(name) for name, mark in marks))
 
 
@@ -92,7 +102,7 @@ def fold_changes(
     """``fold_lifted(lift(...))`` in one step: marks are built inside the aggregate, so what is
     sorted before the map-side combine is the plain change."""
     values = _values(df, keys, columns, except_columns)
-    marks = _marks(values, _names(sequence), ignore_nulls)
+    marks = _marks(values, sequence, ignore_nulls)
     return df.groupBy(*keys).agg(*(F.max(mark).alias(name) for name, mark in marks))
 
 

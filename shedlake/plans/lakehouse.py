@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, SparkSession
@@ -183,10 +183,15 @@ def run_gold(spark: SparkSession, lake: Lake) -> tuple[int, int]:
     return hourly_version, daily_version
 
 
-def run_dimension(spark: SparkSession, lake: Lake, processing_time: Column | None = None) -> int:
-    """Add unseen farms of the camera and environmental feeds to the farm dimension."""
-    feeds = [lake.silver(f).read_keys(spark, "FARM_NO") for f in (CAMERA, ENVIRONMENTAL)]
-    farms = maintain_dimension(lake.farms.read_or_none(spark), feeds, processing_time=processing_time)
+def run_dimension(
+    spark: SparkSession,
+    lake: Lake,
+    processing_time: Column | None = None,
+    feeds: Sequence[FeedContract] = (CAMERA, ENVIRONMENTAL),
+) -> int:
+    """Add the unseen farms of some feeds to the farm dimension."""
+    keys = [lake.silver(f).read_keys(spark, "FARM_NO") for f in feeds]
+    farms = maintain_dimension(lake.farms.read_or_none(spark), keys, processing_time=processing_time)
     return lake.farms.write_version(farms)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shedlake.contracts import FeedContract
 from shedlake.functions.columns import incomplete_key, split_quarantine, standardize
 from shedlake.sources.landing import new_files_stream, read_files
+from shedlake.sources.paths import exists
 from shedlake.sources.tables import BATCH_ID
 from shedlake.streaming.targets import AppendTarget, KeyedTarget
 
@@ -16,6 +17,12 @@ ONCE = {"availableNow": True}
 BYTES_PER_TASK = 16 * 1024 * 1024
 
 
+def _check_start(spark: SparkSession, target: AppendTarget | KeyedTarget) -> None:
+    """Without its checkpoint a stream counts batches from zero again, and new batches would pass for replays."""
+    if target.versions(spark) and not exists(spark, target.checkpoint):
+        raise ValueError(f"{target.name} holds batches but its checkpoint {target.checkpoint} is gone")
+
+
 def append_flow(
     spark: SparkSession,
     contract: FeedContract,
@@ -39,6 +46,7 @@ def append_flow(
         enough = 1 + sum(files.values()) // BYTES_PER_TASK
         bronze.append_batch(rows.coalesce(enough) if enough < len(files) else rows, batch_id)
 
+    _check_start(spark, bronze)
     listing = new_files_stream(spark, landing, contract.glob, max_files or contract.max_files, clean_source)
     return (
         listing.writeStream.queryName(f"append_{contract.name}")
@@ -74,6 +82,7 @@ def upsert_flow(
         if not silver.merge_batch(keyed, batch_id) or seen.get["broken"]:
             quarantine.append_batch(split_quarantine(standard, contract.keys)[1], batch_id)
 
+    _check_start(spark, silver)
     return (
         bronze.read_stream(spark, max_files)
         .writeStream.queryName(f"upsert_{contract.name}")

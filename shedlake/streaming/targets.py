@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shedlake.operators.scd1 import MARK, fold_changes, fold_lifted, publish
+from shedlake.operators.scd1 import MARK, fold_changes, fold_lifted, mark_order, publish
 from shedlake.operators.snapshots import change_feed
 from shedlake.sources.paths import complete_versions, modified_at
 from shedlake.sources.tables import BATCH_ID
@@ -77,12 +77,16 @@ class AppendTarget(Target):
     def stored_schema(self) -> T.StructType:
         return T.StructType([*self.schema.fields, T.StructField(BATCH_ID, T.LongType())])
 
+    def versions(self, spark: SparkSession) -> list[int]:
+        return complete_versions(spark, self.data, BATCH_ID)
+
     def append_batch(self, batch: DataFrame, batch_id: int) -> None:
-        if batch_id not in complete_versions(batch.sparkSession, self.data, BATCH_ID):
+        """Store one batch, unless that has been done already."""
+        if batch_id not in self.versions(batch.sparkSession):
             self._write(batch.select(*self.schema.names), f"{self.data}/{BATCH_ID}={batch_id}")
 
     def read(self, spark: SparkSession, with_batch_id: bool = False) -> DataFrame:
-        folders = [f"{self.data}/{BATCH_ID}={n}" for n in complete_versions(spark, self.data, BATCH_ID)]
+        folders = [f"{self.data}/{BATCH_ID}={n}" for n in self.versions(spark)]
         rows = self._read(spark, self.data, folders, self.stored_schema)
         return rows if with_batch_id else rows.drop(BATCH_ID)
 
@@ -113,15 +117,11 @@ class KeyedTarget(Target):
 
     @property
     def state_schema(self) -> T.StructType:
-        position = (
-            self.sequence_types[0].dataType
-            if len(self.sequence) == 1
-            else T.StructType([self.sequence_types[c] for c in self.sequence])
-        )
-
         def mark(column: str) -> T.StructField:
+            before = [self.sequence_types[c] for c in mark_order(column, self.sequence)]
+            position = [T.StructField("position", T.StructType(before))] if before else []
             value = T.StructField("value", self.schema[column].dataType)
-            return T.StructField(MARK + column, T.StructType([T.StructField("position", position), value]))
+            return T.StructField(MARK + column, T.StructType([*position, value]))
 
         return T.StructType([*(self.schema[k] for k in self.keys), *(mark(c) for c in self.values)])
 

@@ -190,6 +190,13 @@ def test_flow_that_lost_its_checkpoint_progress_repeats_nothing(spark, lake, lan
     assert bronze.read(spark).count() == 1 and rows_of(silver.read(spark)) == before
 
 
+def test_flow_refuses_to_start_on_batches_without_their_checkpoint(spark, lake, landing):
+    lake.bronze(CAMERA).append_batch(bronze_rows(spark, *BATCHES[0]), 0)
+    put(landing["camera"], "Camera_Farm_1_Shed_1.csv", HEADER + "1,0,1,1,1,true\n")
+    with pytest.raises(ValueError, match="checkpoint"):
+        run_feeds(spark, lake, {"camera": landing["camera"]})
+
+
 def test_gold_versions_and_source_columns(spark, scratch, landing):
     lake = Lake(f"{scratch}/lake", keep_source_columns=True)
     put(landing["environmental"], "Environmental_Farm_1_Shed_2.csv", CLIMATE + "1,0,20,60\n")
