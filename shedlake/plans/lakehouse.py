@@ -54,13 +54,15 @@ class Lake:
     """All tables under one root folder.
 
     ``partition_by`` lays out silver by key columns, for readers that filter on them. A silver
-    table is compacted when ``compact_after`` batches have come in since the last time.
+    table is compacted when ``compact_after`` batches have come in since the last time and they
+    have grown to ``compact_share`` of what was there.
     """
 
     root: str
     partition_by: tuple[str, ...] = ()
     keep_source_columns: bool = False
     compact_after: int = 32
+    compact_share: float = 0.1
 
     def bronze(self, feed: FeedContract) -> AppendTarget:
         return AppendTarget(
@@ -165,7 +167,7 @@ def run_feeds(
     for query in upserts:
         query.awaitTermination()
     for feed in feeds:
-        lake.silver(feed).compact(spark, lake.compact_after)
+        lake.silver(feed).compact(spark, lake.compact_after, lake.compact_share)
 
 
 def run_gold(spark: SparkSession, lake: Lake) -> tuple[int, int]:

@@ -28,6 +28,12 @@ def modified_at(spark: SparkSession, path: str) -> int:
     return fs.getFileStatus(hadoop_path).getModificationTime()
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes stored under a folder."""
+    fs, hadoop_path = _open(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength()
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     fs, source_path = _open(spark, source)
     target_path = _open(spark, target)[1]

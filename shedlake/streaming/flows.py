@@ -49,8 +49,7 @@ def append_flow(
     _check_start(spark, bronze)
     listing = new_files_stream(spark, landing, contract.glob, max_files or contract.max_files, clean_source)
     return (
-        listing.writeStream.queryName(f"append_{contract.name}")
-        .option("checkpointLocation", bronze.checkpoint)
+        listing.writeStream.option("checkpointLocation", bronze.checkpoint)
         .trigger(**(trigger or ONCE))
         .foreachBatch(write)
         .start()
@@ -85,8 +84,7 @@ def upsert_flow(
     _check_start(spark, silver)
     return (
         bronze.read_stream(spark, max_files)
-        .writeStream.queryName(f"upsert_{contract.name}")
-        .option("checkpointLocation", silver.checkpoint)
+        .writeStream.option("checkpointLocation", silver.checkpoint)
         .trigger(**(trigger or ONCE))
         .foreachBatch(write)
         .start()

@@ -19,10 +19,11 @@ from pyspark.sql import types as T
 
 from shedlake.operators.scd1 import MARK, fold_changes, fold_lifted, mark_order, publish
 from shedlake.operators.snapshots import change_feed
-from shedlake.sources.paths import complete_versions, modified_at
+from shedlake.sources.paths import complete_versions, modified_at, size
 from shedlake.sources.tables import BATCH_ID
 
 VERSION = "version"
+MANY = 16
 
 
 @dataclass(frozen=True)
@@ -199,11 +200,19 @@ class KeyedTarget(Target):
             return change_feed(nothing, nothing, self.keys, start, F.current_timestamp(), unique=True)
         return reduce(DataFrame.unionByName, feeds)
 
-    def compact(self, spark: SparkSession, at_least: int = 1) -> int | None:
-        """Fold everything stored so far into a base, once ``at_least`` batches have piled up."""
-        pending = self._pending(spark, None)
+    def compact(self, spark: SparkSession, at_least: int = 1, share: float = 0.0) -> int | None:
+        """Fold everything stored so far into a base, when that is due.
+
+        It is once ``at_least`` batches have piled up and they amount to ``share`` of the base, so
+        that a large table is not rewritten for a trickle; many times as many batches are due anyhow.
+        """
+        base, pending = self._base(spark, None), self._pending(spark, None)
         if len(pending) < max(at_least, 1):
             return None
+        if base is not None and share > 0 and len(pending) < MANY * at_least:
+            fresh = sum(size(spark, f"{self.deltas}/{BATCH_ID}={n}") for n in pending)
+            if fresh < share * size(spark, f"{self.bases}/{VERSION}={base}"):
+                return None
         self._write(self.state(spark), f"{self.bases}/{VERSION}={pending[-1]}")
         return pending[-1]
 

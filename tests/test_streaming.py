@@ -152,6 +152,18 @@ def test_keyed_target_folds_replays_and_compacts(spark, scratch, partition_by):
     assert rows_of(second) == [(0, "update_postimage", 1), (0, "update_preimage", 1), (1, "insert", 1)]
 
 
+def test_a_large_base_is_not_rewritten_for_a_trickle(spark, scratch):
+    silver = Lake(scratch).silver(CAMERA)
+    many = [(farm, day, hour, str(hour), str(day), 0) for farm in range(5) for day in range(30) for hour in range(24)]
+    silver.merge_batch(silver_changes(spark, *many), 0)
+    assert silver.compact(spark, 1, 0.5) == 0
+    silver.merge_batch(silver_changes(spark, (1, 1, 0, "9", "9", 1)), 1)
+    assert silver.compact(spark, 1, 0.9) is None
+    assert silver.compact(spark, 2, 0.0) is None
+    assert silver.compact(spark, 1, 0.0) == 1
+    assert silver.read(spark).count() == 3600
+
+
 def test_batch_that_broke_off_is_written_again(spark, scratch):
     silver = Lake(scratch).silver(CAMERA)
     silver.merge_batch(silver_changes(spark, *BATCHES[0]), 0)
