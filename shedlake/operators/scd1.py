@@ -27,7 +27,9 @@ def _names(sequence: str | Sequence[str]) -> list[str]:
     return [sequence] if isinstance(sequence, str) else list(sequence)
 
 
-def _values(df: DataFrame, keys: Sequence[str], columns: Sequence[str] | None, dropped: Sequence[str] = ()) -> list[str]:
+def _values(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str] | None, dropped: Sequence[str] = ()
+) -> list[str]:
     chosen = df.columns if columns is None else columns
     return [c for c in chosen if c not in keys and c not in dropped]
 

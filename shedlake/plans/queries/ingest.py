@@ -204,7 +204,9 @@ def ingest_clean_source(spark, sf_dir):
     return two_deliveries(spark, sf_dir, max_files=ONE_BATCH, clean_source=True)
 
 
-@query(feeds(f"SELECT {file_name('Synthetic_Poultry')} AS _source_file_name, {PER_FILE} FROM synthetic GROUP BY FARM_NO, SHED_NO"))
+@query(feeds(f"""
+SELECT {file_name('Synthetic_Poultry')} AS _source_file_name, {PER_FILE}
+FROM synthetic GROUP BY FARM_NO, SHED_NO"""))
 def ingest_glob(spark, sf_dir):
     """One feed out of a folder that holds the files of all three."""
     bronze = fresh_bronze(spark, SYNTHETIC)

@@ -85,12 +85,11 @@ def scd1_merge_out_of_order(spark, sf_dir):
     """The later half of the cycle is merged first, the earlier half afterwards, then both again."""
     events = load(spark, sf_dir, "events")
     halves = [environmental_feed(after(events)), environmental_feed(before(events))]
-    state = reduce(
-        lambda current, changes: scd1_merge(current, changes, ENVIRONMENTAL.keys, "event_id", except_columns=["event_id"]),
-        [*halves, halves[0]],
-        None,
-    )
-    return publish(state)
+
+    def merge(state, changes):
+        return scd1_merge(state, changes, ENVIRONMENTAL.keys, "event_id", except_columns=["event_id"])
+
+    return publish(reduce(merge, [*halves, halves[0]], None))
 
 
 def camera_target(root: str) -> KeyedTarget:

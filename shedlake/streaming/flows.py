@@ -78,7 +78,7 @@ def upsert_flow(
         keyed = split_quarantine(standard.observe(seen, incomplete.alias("broken")), contract.keys)[0]
         # The upsert counts the rows without a key on its way; only if there are any, or if this is a
         # replay that need not repeat the upsert, is the batch scanned again for them.
-        if not silver.merge_batch(keyed, batch_id) or seen.get["broken"]:
+        if not silver.merge_batch(keyed, batch_id) or seen.get.get("broken", 1):
             quarantine.append_batch(split_quarantine(standard, contract.keys)[1], batch_id)
 
     _check_start(spark, silver)

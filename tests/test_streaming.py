@@ -249,3 +249,30 @@ def test_upserts_of_few_files_at_a_time_give_the_same_state(spark, scratch, land
     assert len(in_steps.silver(CAMERA).versions(spark)) == 3
     assert os.path.exists(in_steps.silver(CAMERA).bases)
     assert rows_of(in_steps.silver(CAMERA).read(spark)) == rows_of(at_once.silver(CAMERA).read(spark))
+
+
+@pytest.mark.parametrize("partition_by", [(), ("FARM_NO",)])
+def test_batch_without_a_single_key(spark, scratch, landing, partition_by):
+    lake = Lake(f"{scratch}/lake", partition_by=partition_by)
+    put(landing["camera"], "Camera_Farm_x.csv", HEADER + "1,0,2,2,2,true\n")
+    run_feeds(spark, lake, {"camera": landing["camera"]})
+    assert lake.silver(CAMERA).read(spark).count() == 0
+    assert lake.quarantine(CAMERA).read(spark).count() == 1
+    put(landing["camera"], "Camera_Farm_1_Shed_1.csv", HEADER)
+    run_feeds(spark, lake, {"camera": landing["camera"]})
+    put(landing["camera"], "Camera_Farm_1_Shed_2.csv", HEADER + "1,0,2,2,2,true\n")
+    run_feeds(spark, lake, {"camera": landing["camera"]})
+    assert lake.silver(CAMERA).read(spark).count() == 1
+    assert lake.quarantine(CAMERA).read(spark).count() == 1
+
+
+def test_flow_that_keeps_running(spark, lake, landing):
+    bronze = lake.bronze(CAMERA)
+    query = append_flow(spark, CAMERA, landing["camera"], bronze, trigger={"processingTime": "200 milliseconds"})
+    try:
+        for i in range(2):
+            put(landing["camera"], f"Camera_Farm_{i}_Shed_1.csv", HEADER + "1,0,1,1,1,true\n")
+            query.processAllAvailable()
+    finally:
+        query.stop()
+    assert bronze.read(spark).count() == 2
