@@ -14,13 +14,18 @@ COMMIT_TIMESTAMP = "_commit_timestamp"
 CHANGE_COLUMNS = (CHANGE_TYPE, COMMIT_VERSION, COMMIT_TIMESTAMP)
 
 
+def _row(values: Sequence[str]) -> Column:
+    """The value columns as one struct, which is there even when a table is all keys."""
+    return F.struct(*(values or [F.lit(True).alias("__present")]))
+
+
 def _one_row_per_key(df: DataFrame, keys: Sequence[str], values: Sequence[str], unique: bool, side: str) -> DataFrame:
     """Rows as (keys, struct of values), failing on a null or repeated key.
 
     The check groups by the join keys, so the join that follows reuses its shuffle, and a key
     repeated without bound is combined before it moves rather than multiplied by the join.
     """
-    row = F.struct(*values)
+    row = _row(values)
     if unique:
         return df.select(*keys, row.alias(side))
     complete = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
@@ -91,7 +96,7 @@ def snapshot_apply(
     values = [c for c in snapshot.columns if c not in keys]
     if current is None or compare is None:
         rows = _one_row_per_key(snapshot, keys, values, unique, "new")
-        return rows.select(*keys, "new.*")
+        return rows.select(*keys, *(F.col("new")[c].alias(c) for c in values))
     pairs, values, label = _pair(current, snapshot, keys, unique, compare)
     kept = F.when(label == "unchanged", F.col("old")).otherwise(F.col("new"))
     return pairs.where(F.col("new").isNotNull()).select(*keys, *(kept[c].alias(c) for c in values))
@@ -142,9 +147,9 @@ def collapse_change_feed(feed: DataFrame, keys: Sequence[str]) -> DataFrame:
         .groupBy(*keys)
         .agg(
             F.max_by(
-                F.struct(survives.alias("alive"), F.struct(*values).alias("row")),
+                F.struct(survives.alias("alive"), _row(values).alias("row")),
                 F.struct(COMMIT_VERSION, survives),
             ).alias("last")
         )
     )
-    return last.where("last.alive").select(*keys, "last.row.*")
+    return last.where("last.alive").select(*keys, *(F.col("last.row")[c].alias(c) for c in values))

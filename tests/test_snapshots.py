@@ -66,6 +66,14 @@ def test_delete_and_insert_in_one_commit_leave_the_insert(spark):
     assert rows_of(collapse_change_feed(feed, ["k"])) == [(1, "new")]
 
 
+def test_tables_that_are_all_keys(spark):
+    old, new = (spark.createDataFrame([(k,) for k in ks], "k int") for ks in ((1, 2), (2, 3)))
+    assert rows_of(snapshot_diff(old, new, ["k"])) == [(1, "delete"), (2, "unchanged"), (3, "insert")]
+    assert rows_of(snapshot_apply(old, new, ["k"])) == [(2,), (3,)]
+    feed = change_feed(old.limit(0), old, ["k"], 0, stamp()).unionByName(change_feed(old, new, ["k"], 1, stamp()))
+    assert rows_of(collapse_change_feed(feed, ["k"])) == [(2,), (3,)]
+
+
 snapshot = st.dictionaries(st.integers(0, 6), st.one_of(st.none(), st.sampled_from("xyz")), max_size=7)
 
 
