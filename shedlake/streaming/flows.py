@@ -36,8 +36,7 @@ def append_flow(
     """Start the flow that appends the rows of each new landing file to bronze exactly once."""
 
     def write(listing: DataFrame, batch_id: int) -> None:
-        # At most max_files short rows; the data itself never leaves the executors. A file name
-        # with glob characters can be listed twice, hence the dictionary.
+        # At most max_files short rows; the data itself never leaves the executors.
         files = {row.path: row.length for row in listing.collect()}
         if not files:
             return

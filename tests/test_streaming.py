@@ -276,3 +276,11 @@ def test_flow_that_keeps_running(spark, lake, landing):
     finally:
         query.stop()
     assert bronze.read(spark).count() == 2
+
+
+def test_file_names_with_glob_characters_are_ingested_once_each(spark, lake, landing):
+    for name in ("Camera_Farm_1_Shed_[12].csv", "Camera_Farm_1_Shed_1.csv", "Camera_Farm_1_Shed_{1}.csv"):
+        put(landing["camera"], name, HEADER + "1,0,1,1,1,true\n")
+    run_feeds(spark, lake, {"camera": landing["camera"]}, max_files=1)
+    names = [r._source_file_name for r in lake.bronze(CAMERA).read(spark).collect()]
+    assert len(names) == 3 and len(set(names)) == 3
