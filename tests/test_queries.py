@@ -4,9 +4,7 @@ import pytest
 from oracle import connect, differences
 
 import __spark_entry__ as entry_points
-
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+from shedlake.plans.registry import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +14,8 @@ def duck(sf_dir):
 
 def test_every_query_has_sql():
     assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 def test_entry_is_the_flagship(spark):
