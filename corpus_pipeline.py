@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shedlake.llm import line_dedup, simhash, toxicity
+from shedlake.llm import decontamination, line_dedup, mixing, simhash, toxicity
 from shedlake.llm.common import load, stored
 
 
@@ -28,10 +28,22 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return simhash.keep_first(docs)
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a span of the benchmark go."""
+    return decontamination.drop_contaminated(docs, load(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the mix by source weights takes of each document."""
+    return mixing.mix_query(docs)
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("line dedup", drop_repeated_lines),
     ("simhash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("source mix", mix),
 ]
 
 #: Training a classifier is beyond SQL, so the rows of a run have none; the tests hold each stage

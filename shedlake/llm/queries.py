@@ -6,10 +6,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shedlake.llm import line_dedup, simhash, toxicity
+from shedlake.llm import (
+    chat,
+    decontamination,
+    extraction,
+    line_dedup,
+    mixing,
+    near_vectors,
+    quality,
+    simhash,
+    substrings,
+    toxicity,
+)
 from shedlake.llm.common import load
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract_pages(load(spark, sf_dir, "pages"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination_query(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.dedup_vectors(load(spark, sf_dir, "embeddings"))
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_query(load(spark, sf_dir, "conversations"))
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(load(spark, sf_dir, "documents"))
 
@@ -22,6 +53,88 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.substring_query(load(spark, sf_dir, "documents"))
+
+
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_query(load(spark, sf_dir, "documents"))
+
+
+_WORDS = r"""regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+_AHEAD = ", ".join(f"lead(word, {i}) OVER o" for i in range(1, 10))
+DECONTAMINATION_SQL = f"""
+WITH worded AS (
+    SELECT doc_id, {_WORDS} AS words FROM documents
+), items AS (
+    SELECT coalesce(item_id::VARCHAR, '') AS item, {_WORDS} AS words FROM benchmark
+), sized AS (
+    SELECT *, least(len(words), 10) AS span FROM items WHERE len(words) > 0
+), spans AS (
+    SELECT DISTINCT item, span, array_to_string(words[start:start + span - 1], ' ') AS text
+    FROM (SELECT *, unnest(range(1, len(words) - span + 2)) AS start FROM sized)
+), tokens AS (
+    SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM worded
+), ahead AS (
+    SELECT doc_id, p, [word, {_AHEAD}] AS words FROM tokens WINDOW o AS (PARTITION BY doc_id ORDER BY p)
+), runs AS (
+    SELECT doc_id, p, span, array_to_string(words[1:span], ' ') AS text
+    FROM ahead, (SELECT DISTINCT span FROM spans) WHERE words[span] IS NOT NULL
+), hits AS (
+    SELECT doc_id, p, span, item FROM runs JOIN spans USING (span, text)
+), covered AS (
+    SELECT doc_id, count(DISTINCT spot) AS n_hit
+    FROM (SELECT doc_id, unnest(range(p, p + span)) AS spot FROM hits) GROUP BY doc_id
+), found AS (
+    SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS list
+    FROM hits GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM worded LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+NEAR_VECTORS_SQL = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), linked AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), reach(vec_id, other) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION
+    SELECT reach.vec_id, linked.b FROM reach JOIN linked ON reach.other = linked.a
+), least AS (
+    SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id
+), degree AS (
+    SELECT a AS vec_id, count(*) AS n_links FROM linked GROUP BY a
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM least LEFT JOIN degree USING (vec_id)
+"""
+
+CHAT_SQL = r"""
+WITH turns AS (
+    SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(14 + CASE WHEN role IS NULL THEN 1 WHEN role IN ('system', 'user', 'assistant') THEN length(role)
+                ELSE 1 + length(regexp_replace(role, '(\\|: |\n)', '\\\1', 'g')) END
+           + length(regexp_replace(text, '(\\|###|</turn>)', '\\\1', 'g')))::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
 LINE_DEDUP_SQL = """
 WITH lines AS (
     SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -43,11 +156,21 @@ FROM marked GROUP BY doc_id
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op2_html_extraction": op2_html_extraction,
+    "op3_decontamination": op3_decontamination,
+    "op4_near_vectors": op4_near_vectors,
+    "op5_chat_format": op5_chat_format,
     "op6_simhash_dedup": op6_simhash_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op8_toxicity": op8_toxicity,
+    "op9_substring_dedup": op9_substring_dedup,
+    "op10_source_mix": op10_source_mix,
 }
 
 ORACLES: dict[str, str] = {
+    "op3_decontamination": DECONTAMINATION_SQL,
+    "op4_near_vectors": NEAR_VECTORS_SQL,
+    "op5_chat_format": CHAT_SQL,
     "op7_line_dedup": LINE_DEDUP_SQL,
 }

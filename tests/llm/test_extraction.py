@@ -1,0 +1,102 @@
+import pytest
+from shedlake.llm import extraction as x
+from shedlake.llm.common import load
+
+
+@pytest.fixture(scope="module")
+def pages(spark):
+    return load(spark, "/root/testdata/sf0.01", "pages")
+
+
+@pytest.fixture(scope="module")
+def model(pages):
+    return x.train(pages)
+
+
+LAYOUT = """<!DOCTYPE html><html><head><title>No</title><style>p{}</style><script>var a="<p>no</p>";</script></head><body>
+<header class="site-header"><h1>The site</h1></header><div class="menu"><ul><li><a href="/">Home</a></li><li><a href=x>News</a></li></ul></div>
+<div class="cookie-notice">We use cookies to improve your visit.</div>
+<div class="post-body"><h1>A headline</h1><p>First paragraph of the text, with a <b>bold</b> word &amp; a reference&nbsp;here.
+<p>Second paragraph   of
+the text, which is long enough, and goes on for a while.<br>And a line after a break.</p>
+<div class="ad">Buy now, special offer!</div><p>Third paragraph of the text, with an end.</p></div>
+<div class="sidebar"><p>Most read</p><a href="#">Another story</a></div>
+<form id="newsletter"><label>Your e-mail</label><input name=q><button>Send</button></form>
+<section class="comments"><h3>Comments</h3><div class="comment"><p>Great post! I do not agree with all of this, though.</p></div></section>
+<footer>&copy; 2020 The site</footer></body></html>"""
+
+
+def test_article_without_its_surroundings(model):
+    assert model.extract(LAYOUT, {}) == (
+        "A headline\nFirst paragraph of the text, with a bold word & a reference here.\n"
+        "Second paragraph of the text, which is long enough, and goes on for a while. And a line after a break.\n"
+        "Third paragraph of the text, with an end."
+    )
+
+
+def test_pages_of_the_table(pages, model):
+    """Pages beyond the sample: the article as its markup tells it."""
+    wrong = 0
+    rows = pages.collect()
+    for r in rows:
+        wanted = "\n".join(b.text for b in x.labelled_by_article(r.html) if b.label)
+        wrong += model.extract(r.html, {}) != wanted
+    assert wrong <= len(rows) // 100
+
+
+def test_layouts_never_seen(model):
+    texts = ["Some words of a text that is set in a page, and a few more.", "A short one.", "Another text, 3 of them."]
+    blocks = wrong = 0
+    for page in x.generated_pages(texts, 200, seed=99):
+        blocks += len(page)
+        wrong += sum(a != b.label for a, b in zip(model.decode(page, {}), page, strict=True))
+    assert wrong / blocks < 0.03
+
+
+def test_viterbi_is_the_best_labelling(model):
+    from itertools import product
+
+    page = x.blocks_of(LAYOUT)[:8]
+
+    def value(labels):
+        total = 0.0
+        for n, (b, y) in enumerate(zip(page, labels, strict=True)):
+            names = [*set(b.path), *x.text_features(b, n / len(page))]
+            total += y * sum(model.weights.get(f, 0.0) for f in names)
+            total += model.transitions[labels[n - 1]][y] if n else 0.0
+        return total
+
+    best = max(product((0, 1), repeat=len(page)), key=value)
+    assert value(model.decode(page, {})) == pytest.approx(value(best))
+
+
+@pytest.mark.parametrize(
+    "page,texts",
+    [
+        (None, []),
+        ("", []),
+        ("plain", ["plain"]),
+        ("<p>a<p>b", ["a", "b"]),
+        ("a < b &lt; c", ["a < b < c"]),
+        ("<p>cut <b>off &am", ["cut off &am"]),
+        ("<p>x</p><!-- <p>no</p> --><p>y", ["x", "y"]),
+        ("<script>if (a<b) {}</script>z<style>q</style>", ["z"]),
+        ("<script>never closed", []),
+        ("<p title='a>b'>q</p></div></p>r", ["q", "r"]),
+        ("<ul><li>1<li>2</ul><table><tr><td>3<td>4</table>", ["1", "2", "3", "4"]),
+        ("<p class=\"un", []),
+        ("x<br/>y\u00a0\n z", ["x y z"]),
+        ("<div>" * 3000 + "deep", ["deep"]),
+    ],
+)
+def test_blocks(page, texts):
+    assert [b.text for b in x.blocks_of(page)] == texts
+
+
+def test_odd_rows(spark, pages):
+    rows = [(1, "u", None, 1), (2, None, "", 1), (None, "u", LAYOUT, 1), (3, "u", "<p>" + "w " * 300_000, 1), (3, "u", "<<<>>>&&&;", 1)]
+    odd = spark.createDataFrame(rows * 2, "page_id long, url string, html string, text int")
+    found = x.extract_pages(odd).collect()
+    assert len(found) == 10 and all(r.n_chars == len(r.text) for r in found)
+    assert all(r.text == "" for r in found if r.page_id in (1, 2))
+    assert x.extract_pages(odd.limit(0)).count() == 0
