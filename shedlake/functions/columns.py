@@ -16,21 +16,32 @@ def plausible(text: Column, kind: T.DataType) -> Column:
     """False for text that cannot be cast to ``kind`` by its looks alone.
 
     Casting a misfit raises and catches an exception inside Spark, at some twenty times the price
-    of a good cast, so a column full of words would slow down its whole batch. No number starts
-    with a letter, and every boolean is one of a few short words.
+    of a good cast, so a column full of words would slow down its whole batch. No whole or decimal
+    number starts with a letter, and every boolean is one of a few short words. Other types are left
+    to the cast: a double may be NaN, and text is always text.
     """
     if isinstance(kind, T.BooleanType):
         return text.rlike(r"^[\x00-\x20\x7f]*(?i:t|true|y|yes|1|f|false|n|no|0)[\x00-\x20\x7f]*$")
+    if not isinstance(kind, (T.IntegralType, T.DecimalType)):
+        return F.lit(True)
     first = F.ascii(text)
     return (first < ord(":")) | (first > ord("~"))
 
 
+def quoted(column: str) -> str:
+    """A column name as a reference, whatever characters it has."""
+    return "`" + column.replace("`", "``") + "`"
+
+
+def fitted(text: Column, kind: T.DataType) -> Column:
+    """Text as another type, or null where it does not fit."""
+    return F.when(plausible(text, kind), text).try_cast(kind)
+
+
 def fit(df: DataFrame, column: str, kind: T.DataType) -> Column:
     """``column`` as another type, or null where it does not fit."""
-    value = F.col(f"`{column}`")
-    if isinstance(df.schema[column].dataType, T.StringType):
-        value = F.when(plausible(value, kind), value)
-    return value.try_cast(kind)
+    value = F.col(quoted(column))
+    return fitted(value, kind) if isinstance(df.schema[column].dataType, T.StringType) else value.try_cast(kind)
 
 
 def stamp_operational(df: DataFrame, processing_time: Column | None = None) -> DataFrame:
@@ -43,7 +54,7 @@ def stamp_operational(df: DataFrame, processing_time: Column | None = None) -> D
 
 
 def _must_fit(df: DataFrame, column: str, kind: T.DataType) -> Column:
-    value, fitted = F.col(f"`{column}`"), fit(df, column, kind)
+    value, fitted = F.col(quoted(column)), fit(df, column, kind)
     complaint = F.concat(F.lit(f"{column} is not a {kind.simpleString()}: "), value.cast("string"))
     return F.when(value.isNotNull() & fitted.isNull(), F.raise_error(complaint)).otherwise(fitted)
 
@@ -69,7 +80,7 @@ def cast_contract(
         if not (keep_source_columns and source.lower() != rule.name.lower()):
             consumed.add(source)
     allowed = None if keep_source_columns else {*OPERATIONAL, *contract.key_patterns}
-    rest = [F.col(f"`{c}`") for c in names if c not in consumed and (allowed is None or c in allowed)]
+    rest = [F.col(quoted(c)) for c in names if c not in consumed and (allowed is None or c in allowed)]
     return df.select(*casts, *rest)
 
 
@@ -87,7 +98,7 @@ def standardize(df: DataFrame, contract: FeedContract, keep_source_columns: bool
     """Bronze rows to silver shape: casts, then keys, in the column order of the contract."""
     rows = derive_keys(cast_contract(df, contract, keep_source_columns), contract.key_patterns)
     front = [*contract.key_patterns, *(c.name for c in contract.columns)]
-    return rows.select(*front, *(f"`{c}`" for c in rows.columns if c not in front))
+    return rows.select(*front, *(quoted(c) for c in rows.columns if c not in front))
 
 
 def incomplete_key(keys: Iterable[str]) -> Column:
@@ -104,9 +115,9 @@ def decimals_to_double(df: DataFrame) -> DataFrame:
     """Every decimal column as a double, decided by the schema rather than by looking at values."""
     return df.select(
         *(
-            F.col(f"`{f.name}`").cast("double").alias(f.name)
+            F.col(quoted(f.name)).cast("double").alias(f.name)
             if isinstance(f.dataType, T.DecimalType)
-            else F.col(f"`{f.name}`")
+            else F.col(quoted(f.name))
             for f in df.schema.fields
         )
     )

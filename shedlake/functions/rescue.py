@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shedlake.contracts import OPERATIONAL, RESCUED, FeedContract
-from shedlake.functions.columns import fit
+from shedlake.functions.columns import fit, quoted
 
 CORRUPT = "_corrupt_record"
 FIT = "__fit_"
@@ -30,14 +30,14 @@ def rescue(df: DataFrame, contract: FeedContract) -> DataFrame:
 
     # Casts are done once, in a projection of their own; what follows only compares with null.
     fits = {
-        FIT + name: F.when(fit(df, name, rule.type).isNotNull(), F.col(f"`{name}`")) for name, rule in rule_of.items()
+        FIT + name: F.when(fit(df, name, rule.type).isNotNull(), F.col(quoted(name))) for name, rule in rule_of.items()
     }
     checked = df.select("*", *(value.alias(name) for name, value in fits.items()))
     rescued = []
     for name in df.columns:
-        value = F.col(f"`{name}`")
+        value = F.col(quoted(name))
         if name in rule_of:
-            rescued.append(F.when(F.col(f"`{FIT}{name}`").isNull(), value).alias(name))
+            rescued.append(F.when(F.col(quoted(FIT + name)).isNull(), value).alias(name))
         elif name not in OPERATIONAL:
             rescued.append(value.alias(name))
 
@@ -48,7 +48,7 @@ def rescue(df: DataFrame, contract: FeedContract) -> DataFrame:
         payload = F.lit(None).cast("string")
     source_of = {rule.name: name for name, rule in rule_of.items()}
     kept = [
-        (F.col(f"`{FIT}{source_of[r.name]}`") if r.name in source_of else F.lit(None).cast("string")).alias(r.raw_name)
+        (F.col(quoted(FIT + source_of[r.name])) if r.name in source_of else F.lit(None).cast("string")).alias(r.raw_name)
         for r in contract.columns
     ]
     stamps = [F.col(c) for c in OPERATIONAL if c in df.columns and c != RESCUED]

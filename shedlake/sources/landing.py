@@ -7,23 +7,30 @@ own header: a streaming CSV scan would map columns by position.
 
 from __future__ import annotations
 
+import csv
 from collections import defaultdict
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shedlake.contracts import OPERATIONAL, FeedContract
-from shedlake.functions.columns import stamp_operational
+from shedlake.functions.columns import fitted, quoted, stamp_operational
 from shedlake.functions.headers import sanitize_headers
 from shedlake.functions.rescue import CORRUPT, rescue
-from shedlake.sources.paths import literal
+from shedlake.sources.paths import literal, same_file
 
 FILE_LISTING = "path string, modificationTime timestamp, length long, content binary"
-HEADER_READERS = 16
+# The file source forgets files that are this much older than the newest one, and then ignores them;
+# a restored backup or a copy that keeps times must not be lost. The price is that the stream's log
+# keeps the name of every file it has seen.
+NEVER_TOO_OLD = "36500d"
+IN_FILE = "_in_file"
+# Candidate types of a column, the narrowest first; text is what is left.
+INFERRED_TYPES = (T.IntegerType(), T.LongType(), T.DoubleType(), T.TimestampType(), T.BooleanType())
 
 
 def new_files_stream(
@@ -36,7 +43,7 @@ def new_files_stream(
     """Stream of (path, length) of the files that match ``glob``, at most ``max_files`` per batch.
 
     Folders below ``directory`` are searched too. The file content is never read: only the
-    selected columns of the listing are. With ``clean_source`` Spark deletes the files of a batch
+    selected columns of the listing are. A file counts as new by its name, however old it is. With ``clean_source`` Spark deletes the files of a batch
     once a later batch has been committed.
     """
     reader = (
@@ -45,6 +52,7 @@ def new_files_stream(
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", NEVER_TOO_OLD)
     )
     if clean_source:
         reader = reader.option("cleanSource", "delete")
@@ -52,27 +60,48 @@ def new_files_stream(
 
 
 def header_groups(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by header. Each look-up reads the first line of one file; several run at a time."""
-
-    def header(path: str) -> tuple[str, ...]:
-        return tuple(spark.read.option("header", True).option("sep", ",").csv(literal(path)).columns)
+    """Files by header, from one distributed scan for the first line of each, however many they are.
 
+    Only a path and a header line per file reach the driver, which has the paths already.
+    """
+    if not paths:
+        return {}
+    lines = spark.read.text([literal(p) for p in paths])
+    first = (
+        lines.where((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
+        .select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("place"))
+        .groupBy("path")
+        .agg(F.min_by("value", "place").alias("line"))
+    )
+    path_of = {same_file(p): p for p in paths}
+    names: dict[str, tuple[str, ...]] = {}
     groups = defaultdict(list)
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        for path, columns in zip(paths, pool.map(header, paths)):
-            if columns:
-                groups[columns].append(path)
+    for row in sorted(first.collect()):
+        if row.line not in names:
+            names[row.line] = header_names(row.line)
+        host, below = same_file(unquote(row.path))
+        groups[names[row.line]].append(path_of.get((host, below)) or path_of["", below])
     return dict(groups)
 
 
+def header_names(line: str) -> tuple[str, ...]:
+    """Column names of a header line: unnamed ones get their position, and so do repeated ones."""
+    cells = [c.strip() for c in next(csv.reader([line.removeprefix("\ufeff")], skipinitialspace=True), [])]
+    lower = [c.lower() for c in cells]
+    return tuple(
+        f"_c{i}" if not c else f"{c}{i}" if lower.count(c.lower()) > 1 else c for i, c in enumerate(cells)
+    )
+
+
 def read_csv_group(spark: SparkSession, header: Sequence[str], paths: Sequence[str]) -> DataFrame:
     """All values of files that share one header, as text, with cleaned column names.
 
     Records with more fields than the header keep their whole line in an extra column; a record
     with fewer fields has nulls and loses nothing. A header that is the name of an operational
-    column is set apart from it. Files stay splittable, so one large file is read by many tasks.
+    column, or of that extra one, is set apart from it. Files stay splittable, so one large file is
+    read by many tasks.
     """
-    names = [f"{c}_in_file" if c.lower() in OPERATIONAL else c for c in header]
+    names = [c + IN_FILE if c.lower() in (*OPERATIONAL, CORRUPT) else c for c in header]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
     rows = (
         spark.read.schema(schema)
@@ -105,23 +134,31 @@ def read_files(
 
 
 def infer_feed_schema(spark: SparkSession, directory: str, glob: str) -> DataFrame:
-    """Discovery helper: type and number of filled values of every column found in a landing folder."""
-    rows = (
-        spark.read.option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True)
-        .option("header", True)
-        .option("sep", ",")
-        .option("inferSchema", True)
-        .csv(directory)
-    )
-    rows = sanitize_headers(rows)
-    described = [
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("inferred_type"),
-            F.count(f"`{f.name}`").alias("filled"),
-        )
-        for i, f in enumerate(rows.schema.fields)
+    """Discovery helper: type and number of filled values of every column found in a landing folder.
+
+    Files are read by header, as ingest reads them, so a column is counted under its own name
+    wherever it stands; its type is the narrowest that all its values fit, in all files.
+    """
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    paths = [r.path for r in reader.load(directory).select("path").collect()]
+    cells, order = None, {}
+    for header, files in header_groups(spark, sorted(paths)).items():
+        rows = read_csv_group(spark, header, files).drop(CORRUPT)
+        for name in rows.columns:
+            order.setdefault(name, len(order))
+        named = [F.struct(F.lit(c).alias("column_name"), F.col(quoted(c)).alias("value")) for c in rows.columns]
+        group = rows.select(F.inline(F.array(*named)))
+        cells = group if cells is None else cells.unionByName(group)
+    if cells is None:
+        return spark.createDataFrame([], "position int, column_name string, inferred_type string, filled bigint")
+    misfits = [
+        F.count_if(F.col("value").isNotNull() & fitted(F.col("value"), k).isNull()).alias(k.simpleString())
+        for k in INFERRED_TYPES
     ]
-    return rows.agg(F.array(*described).alias("columns")).select(F.inline("columns"))
+    found = cells.groupBy("column_name").agg(F.count("value").alias("filled"), *misfits)
+    kind = F.coalesce(
+        *(F.when((F.col("filled") > 0) & (F.col(k) == 0), F.lit(k)) for k in (t.simpleString() for t in INFERRED_TYPES)),
+        F.lit("string"),
+    )
+    position = F.coalesce(*(F.when(F.col("column_name") == c, F.lit(i)) for c, i in order.items()))
+    return found.select(position.alias("position"), "column_name", kind.alias("inferred_type"), "filled")

@@ -42,6 +42,15 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot rename {source} to {target}")
 
 
+def same_file(path: str) -> tuple[str, str]:
+    """What spellings of a file's name agree in: with or without a scheme, of a local file or not."""
+    scheme, separator, rest = path.partition(":/")
+    if not separator:
+        return "", path
+    host, slash, below = rest.removeprefix("/").partition("/") if rest.startswith("/") else ("", "/", rest)
+    return ("" if scheme == "file" else f"{scheme}://{host}"), slash + below
+
+
 def literal(path: str) -> str:
     """``path`` spelled so that readers do not take its characters for a glob."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)

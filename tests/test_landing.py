@@ -1,8 +1,10 @@
 import json
 import os
 
+import pytest
+
 from shedlake.contracts import CAMERA, ENVIRONMENTAL
-from shedlake.sources.landing import header_groups, infer_feed_schema, read_files
+from shedlake.sources.landing import header_groups, header_names, infer_feed_schema, read_files
 
 HEADER = "DAY,HOUR,BRIGHTNESS,BIRD_ACTIVITY,SOUND_LEVEL,CAMERA_OPERATIONAL\n"
 
@@ -66,6 +68,35 @@ def test_inferred_types(spark, scratch):
     }
 
 
+def test_inferred_types_of_files_whose_headers_differ(spark, scratch):
+    put(scratch, "Camera_Farm_1_Shed_1.csv", "DAY,HOUR,SOUND_LEVEL\n1,2,3.5\n")
+    put(scratch, "Camera_Farm_1_Shed_2.csv", "SOUND_LEVEL,DAY,HOUR,EXTRA\n4.5,1,3,word\n,1,3,word\n")
+    found = {r.column_name: (r.inferred_type, r.filled) for r in infer_feed_schema(spark, scratch, CAMERA.glob).collect()}
+    assert found == {"DAY": ("int", 3), "HOUR": ("int", 3), "SOUND_LEVEL": ("double", 2), "EXTRA": ("string", 2)}
+
+
+@pytest.mark.parametrize("odd", ["a`b", "_corrupt_record", "a.b", "x y", "`", "_rescued_data"])
+def test_odd_headers_are_rescued(spark, scratch, odd):
+    path = put(scratch, "Camera_Farm_1_Shed_1.csv", f"DAY,HOUR,{odd}\n1,2,mine\n")
+    row = read_files(spark, [path], CAMERA).first()
+    assert (row.DAY, row.HOUR) == ("1", "2")
+    assert list(json.loads(row._rescued_data).values()) == ["mine"]
+
+
+def test_header_names():
+    assert header_names('a,"b,c",,A, d ') == ("a0", "b,c", "_c2", "A3", "d")
+    assert header_names("\ufeffDAY,HOUR") == ("DAY", "HOUR")
+
+
+def test_one_job_finds_the_headers_of_many_files(spark, scratch):
+    paths = [put(scratch, f"file {n}%20.csv", f"DAY,HOUR,C{n % 2}\n1,2,3\n") for n in range(60)]
+    spark.sparkContext.setJobGroup("headers", "")
+    groups = header_groups(spark, paths)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("headers")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(map(len, groups.values())) == [30, 30] and len(jobs) <= 3
+
+
 def test_no_files_give_an_empty_bronze_frame(spark):
     rows = read_files(spark, [], CAMERA)
     assert rows.count() == 0 and rows.schema == CAMERA.bronze_schema()
