@@ -57,18 +57,13 @@ class FeedContract:
     except_columns: tuple[str, ...] = (SOURCE_FILE, RESCUED)
     max_files: int = 5
     properties: dict[str, str] = field(
-        default_factory=lambda: {"quality": "bronze", "change_feed": "on", "optimized_writes": "on"}
+        default_factory=lambda: {"quality": "bronze"}
     )
 
     @property
     def value_columns(self) -> list[str]:
         return [c.name for c in self.columns if c.name not in self.keys]
 
-    @property
-    def tie_break(self) -> list[str]:
-        """Total order of changes: ingest time, then file name, then the values of the row."""
-        return [self.sequence, SOURCE_FILE, *self.value_columns]
-
     def stored_columns(self, keep_source_columns: bool = False) -> list[str]:
         """Non-key columns kept in silver."""
         leftovers = [c.raw_name for c in self.columns if c.leaves_source_behind]

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MARK = "__mark_"
+AT = "__at_"
 
 
 def _names(sequence: str | Sequence[str]) -> list[str]:
@@ -101,13 +102,41 @@ def fold_changes(
     ignore_nulls: bool = True,
     except_columns: Sequence[str] = (),
 ) -> DataFrame:
-    """``fold_lifted(lift(...))`` in one step: marks are built inside the aggregate, so what is
-    sorted before the map-side combine is the plain change."""
-    values = _values(df, keys, columns, except_columns)
+    """``fold_lifted(lift(...))`` in one step.
+
+    Under one sequence column, fixed-width values are aggregated by hash. Otherwise marks are built
+    inside the aggregate, so what is sorted before the map-side combine is the plain change.
+    """
+    values, order = _values(df, keys, columns, except_columns), _names(sequence)
+    if len(order) == 1:
+        return _fold_by_hash(df, keys, order[0], values, ignore_nulls)
     marks = _marks(values, sequence, ignore_nulls)
     return df.groupBy(*keys).agg(*(F.max(mark).alias(name) for name, mark in marks))
 
 
+def _fold_by_hash(
+    df: DataFrame, keys: Sequence[str], sequence: str, values: list[str], ignore_nulls: bool
+) -> DataFrame:
+    """Marks under one sequence column: first the greatest value of each moment, then the last moment."""
+    rest = [c for c in values if c != sequence]
+    moments = df.groupBy(*keys, sequence).agg(*(F.max(c).alias(c) for c in rest))
+    at = {c: F.when(F.col(c).isNotNull(), F.col(sequence)) if ignore_nulls else F.col(sequence) for c in rest}
+    last = moments.groupBy(*keys).agg(
+        F.max(sequence).alias(sequence),
+        *(F.max(at[c]).alias(f"{AT}{c}") for c in rest),
+        *(F.max_by(c, at[c]).alias(c) for c in rest),
+    )
+
+    def mark(column: str) -> Column:
+        if column == sequence:
+            return F.when(F.col(column).isNotNull(), F.struct(F.col(column).alias("value")))
+        moment = F.col(f"{AT}{column}")
+        pair = F.struct(F.struct(moment.alias(sequence)).alias("position"), F.col(column).alias("value"))
+        return F.when(moment.isNotNull(), pair)
+
+    return last.select(*keys, *(mark(c).alias(MARK + c) for c in values))
+
+
 def fold_lifted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Fold lifted rows to one lifted row per key."""
     return df.groupBy(*keys).agg(*(F.max(c).alias(c) for c in df.columns if c.startswith(MARK)))

@@ -42,12 +42,12 @@ def _one_row_per_key(df: DataFrame, keys: Sequence[str], values: Sequence[str],
 
 
 def _pair(
-    old: DataFrame, new: DataFrame, keys: Sequence[str], unique: bool, compare: Sequence[str] | None
+    old: DataFrame, new: DataFrame, keys: Sequence[str], unique: bool | str, compare: Sequence[str] | None
 ) -> tuple[DataFrame, list[str], Column]:
     """Both versions side by side, the value columns, and the change label of a pair."""
     values = [c for c in new.columns if c not in keys]
-    pairs = _one_row_per_key(old, keys, values, unique, "old").join(
-        _one_row_per_key(new, keys, values, unique, "new"), list(keys), "full_outer"
+    pairs = _one_row_per_key(old, keys, values, unique in (True, "old"), "old").join(
+        _one_row_per_key(new, keys, values, unique in (True, "new"), "new"), list(keys), "full_outer"
     )
     same = reduce(
         lambda a, b: a & b,
@@ -67,14 +67,15 @@ def snapshot_diff(
     old: DataFrame,
     new: DataFrame,
     keys: Sequence[str],
-    unique: bool = False,
+    unique: bool | str = False,
     compare: Sequence[str] | None = None,
 ) -> DataFrame:
     """Every key of either version, labelled insert, update, delete or unchanged.
 
     Value columns hold the new row, or the old one for a delete. ``compare`` limits which columns
     make a row count as updated. Pass ``unique=True`` when both sides are known to hold one row
-    per non-null key, as the result of a grouping does; otherwise that is checked.
+    per non-null key, as the result of a grouping does, or the name of the side ("old" or "new") that
+    is; otherwise that is checked.
     """
     pairs, values, label = _pair(old, new, keys, unique, compare)
     shown = F.coalesce("new", "old")
@@ -112,6 +113,14 @@ def change_feed(
 ) -> DataFrame:
     """Row-level changes that turn ``old`` into ``new``; an update gives its pre and post image."""
     pairs, values, label = _pair(old, new, keys, unique, None)
+    version = F.lit(version) if isinstance(version, int) else version
+    return change_images(pairs.withColumn("label", label), keys, values, version, timestamp)
+
+
+def change_images(
+    pairs: DataFrame, keys: Sequence[str], values: Sequence[str], version: Column, timestamp: Column
+) -> DataFrame:
+    """Change rows of (keys, old, new, label): structs of the values, and what became of the key."""
 
     def image(side: str, kind: str) -> Column:
         return F.struct(F.col(side).alias("row"), F.lit(kind).alias("kind"))
@@ -122,15 +131,14 @@ def change_feed(
         .otherwise(F.array(image("old", "update_preimage"), image("new", "update_postimage")))
     )
     return (
-        pairs.withColumn("label", label)
-        .where(F.col("label") != "unchanged")
-        .select(*keys, F.explode(images).alias("image"))
+        pairs.where(F.col("label") != "unchanged")
+        .select(*keys, version.cast("bigint").alias(COMMIT_VERSION), timestamp.alias(COMMIT_TIMESTAMP), F.explode(images).alias("image"))
         .select(
             *keys,
             *(F.col("image.row")[c].alias(c) for c in values),
             F.col("image.kind").alias(CHANGE_TYPE),
-            (F.lit(version) if isinstance(version, int) else version).cast("bigint").alias(COMMIT_VERSION),
-            timestamp.alias(COMMIT_TIMESTAMP),
+            COMMIT_VERSION,
+            COMMIT_TIMESTAMP,
         )
     )
 

@@ -53,16 +53,13 @@ DIM_SCHEMA = _columns(FARM_NO=T.IntegerType(), ID=T.StringType(), **{PROCESSING_
 class Lake:
     """All tables under one root folder.
 
-    ``partition_by`` lays out silver by key columns, for readers that filter on them. A silver
-    table is compacted when ``compact_after`` batches have come in since the last time and they
-    have grown to ``compact_share`` of what was there.
+    ``partition_by`` lays out silver by key columns, for readers that filter on them. Silver tables
+    grow by a delta per upsert; call ``silver(feed).compact(spark)`` when reads should get shorter.
     """
 
     root: str
     partition_by: tuple[str, ...] = ()
     keep_source_columns: bool = False
-    compact_after: int = 32
-    compact_share: float = 0.1
 
     def bronze(self, feed: FeedContract) -> AppendTarget:
         return AppendTarget(
@@ -84,7 +81,7 @@ class Lake:
             partition_by=self.partition_by,
             comment=f"{feed.name} readings, current value per key",
             properties={"quality": "silver"},
-            sequence=tuple(feed.tie_break),
+            sequence=(feed.sequence,),
             sequence_types=standard,
         )
 
@@ -142,13 +139,13 @@ def run_feeds(
     max_files: int | None = None,
     clean_source: bool = False,
     processing_time: Column | None = None,
-    bronze_files: int | None = None,
+    bronze_batches: int = 1000,
 ) -> None:
     """Bring silver up to date with the landing folders, given by feed name.
 
     The feeds do not depend on each other, so their flows run side by side. ``max_files`` limits
-    the landing files of a batch (the contract says how many otherwise), ``bronze_files`` the
-    stored files that one upsert takes in.
+    the landing files of a batch (the contract says how many otherwise), ``bronze_batches`` the
+    batches of bronze that one upsert takes in.
     """
     feeds = [FEEDS[name] for name in landing]
     appends = [
@@ -159,15 +156,13 @@ def run_feeds(
         query.awaitTermination()
     upserts = [
         upsert_flow(
-            spark, f, lake.bronze(f), lake.silver(f), lake.quarantine(f), lake.keep_source_columns, bronze_files
+            spark, f, lake.bronze(f), lake.silver(f), lake.quarantine(f), lake.keep_source_columns, bronze_batches
         )
         for f in feeds
-        if exists(spark, lake.bronze(f).data)
+        if exists(spark, lake.bronze(f).commits)
     ]
     for query in upserts:
         query.awaitTermination()
-    for feed in feeds:
-        lake.silver(feed).compact(spark, lake.compact_after, lake.compact_share)
 
 
 def run_gold(spark: SparkSession, lake: Lake) -> tuple[int, int]:

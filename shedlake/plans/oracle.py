@@ -41,10 +41,8 @@ def fold(source: str, keys: str, values: tuple[str, ...]) -> str:
 
 
 def tied_fold(source: str, keys: str, values: tuple[str, ...]) -> str:
-    """Fold when every change of a key has the same time and file: the greatest row decides."""
-    order = ", ".join(f"{v} DESC NULLS LAST" for v in values)
-    picks = ", ".join(f"first({v} ORDER BY {order}) FILTER (WHERE {v} IS NOT NULL) AS {v}" for v in values)
-    return f"SELECT {keys}, {picks} FROM {source} GROUP BY {keys}"
+    """Fold when every change of a key has the same time: the greatest value of each column decides."""
+    return f"SELECT {keys}, {', '.join(f'max({v}) AS {v}' for v in values)} FROM {source} GROUP BY {keys}"
 
 
 def silver_ctes(folder=fold) -> str:

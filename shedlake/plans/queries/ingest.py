@@ -13,7 +13,7 @@ from shedlake.plans.lakehouse import Lake
 from shedlake.plans.oracle import feeds
 from shedlake.plans.queries.inputs import (
     MID_CYCLE,
-    ONE_BATCH,
+    FILES_PER_BATCH,
     RUN_TIME,
     after,
     before,
@@ -25,9 +25,12 @@ from shedlake.plans.registry import query
 from shedlake.session import scratch_dir
 from shedlake.sources.derived import FILE_PREFIXES, land_feed, load
 from shedlake.sources.landing import header_groups, infer_feed_schema, read_csv_group, read_files
-from shedlake.sources.paths import glob
+from shedlake.sources.paths import glob, modified_at, set_modified
 from shedlake.sources.tables import BATCH_ID, batch_table, bronze_change_feed, register_table, stream_table
 from shedlake.streaming.flows import ONCE, append_flow
+from shedlake.streaming.targets import AppendTarget
+
+TEN_DAYS = 10 * 24 * 3600 * 1000
 
 
 def landed_files(spark, sf_dir, contract):
@@ -43,14 +46,14 @@ def fresh_bronze(spark, contract):
 
 
 def camera_bronze(spark, sf_dir):
-    """All camera landing files, appended by a stream in one batch."""
+    """All camera landing files, appended by a stream in several batches."""
     bronze = fresh_bronze(spark, CAMERA)
-    ingest(spark, CAMERA, landing_folder(spark, sf_dir), bronze, max_files=ONE_BATCH)
+    ingest(spark, CAMERA, landing_folder(spark, sf_dir), bronze, max_files=FILES_PER_BATCH)
     return bronze
 
 
 def file_name(prefix: str, suffix: str = "") -> str:
-    return f"'{prefix}_Farm_' || FARM_NO || '_Shed_' || SHED_NO || '{suffix}.csv'"
+    return f"'{prefix}_Farm_' || FARM_NO || '_Shed_' || SHED_NO || '_Period_' || ((DAY - 1) // 10) || '{suffix}.csv'"
 
 
 CAMERA_TEXT = """CAST(DAY AS VARCHAR) AS DAY, CAST(HOUR AS VARCHAR) AS HOUR, CAST(BRIGHTNESS AS VARCHAR) AS BRIGHTNESS,
@@ -129,13 +132,25 @@ def bronze_append(spark, sf_dir):
     return wall_clock(camera_bronze(spark, sf_dir).read(spark))
 
 
-@query(feeds(f"""{BRONZE_SQL}, 'insert' AS _change_type, CAST(0 AS BIGINT) AS _commit_version,
+@query(feeds(f"""{BRONZE_SQL}, 'insert' AS _change_type, CAST(1 AS BIGINT) AS versions_of_file,
   TIMESTAMP '{RUN_TIME}' AS _commit_timestamp FROM camera"""), name="bronze_change_feed")
 def stream_bronze_changes(spark, sf_dir):
-    """Change feed of bronze as a stream, stored by a file sink and read back."""
+    """Change feed of bronze as a stream of its commits. Which batch took a file is up to the source,
+    but each file has one version."""
     bronze = camera_bronze(spark, sf_dir)
-    changes = bronze_change_feed(bronze.read_stream(spark))
-    return wall_clock(drain(spark, changes, "changes"), PROCESSING_TIME, "_commit_timestamp")
+    out = AppendTarget("changes", scratch_dir(spark, "changes"), bronze_change_feed(bronze.read(spark, True)).schema)
+
+    def copy(commits, batch_id):
+        rows = bronze.read_batches(spark, sorted(row[BATCH_ID] for row in commits.collect()))
+        out.append_batch(bronze_change_feed(rows), batch_id)
+
+    stream = bronze.commit_stream(spark, max_batches=1)
+    writer = stream.writeStream.option("checkpointLocation", out.checkpoint).trigger(**ONCE)
+    writer.foreachBatch(copy).start().awaitTermination()
+    changes = out.read(spark)
+    versions = changes.groupBy(SOURCE_FILE).agg(F.count_distinct("_commit_version").alias("versions_of_file"))
+    told = changes.join(versions, SOURCE_FILE).drop("_commit_version")
+    return wall_clock(told, PROCESSING_TIME, "_commit_timestamp")
 
 
 def drain(spark, stream, label):
@@ -154,27 +169,27 @@ def drain(spark, stream, label):
 def registered_bronze(spark, sf_dir):
     bronze = camera_bronze(spark, sf_dir)
     name = f"bronze_camera_{uuid.uuid4().hex[:8]}"
-    register_table(spark, name, f"{bronze.data}/{BATCH_ID}=0", bronze.schema)
+    register_table(spark, name, bronze.data, bronze.stored_schema)
     return name
 
 
 @query(feeds(f"{BRONZE_SQL} FROM camera"))
 def stream_table_scan(spark, sf_dir):
-    return wall_clock(drain(spark, stream_table(spark, registered_bronze(spark, sf_dir)), "scan"))
+    return wall_clock(drain(spark, stream_table(spark, registered_bronze(spark, sf_dir)), "scan").drop(BATCH_ID))
 
 
 @query(feeds(f"{BRONZE_SQL} FROM camera"))
 def batch_table_scan(spark, sf_dir):
-    return wall_clock(batch_table(spark, registered_bronze(spark, sf_dir)))
+    return wall_clock(batch_table(spark, registered_bronze(spark, sf_dir)).drop(BATCH_ID))
 
 
 PER_FILE = "CAST(count(*) AS BIGINT) AS n_rows"
 TWO_DELIVERIES = feeds(f"""
 SELECT {file_name('Camera')} AS _source_file_name, {PER_FILE}
-FROM camera WHERE ts < TIMESTAMP '{MID_CYCLE}' GROUP BY FARM_NO, SHED_NO
+FROM camera WHERE ts < TIMESTAMP '{MID_CYCLE}' GROUP BY 1
 UNION ALL
 SELECT {file_name('Camera', '_Late')}, count(*)
-FROM camera WHERE ts >= TIMESTAMP '{MID_CYCLE}' GROUP BY FARM_NO, SHED_NO""")
+FROM camera WHERE ts >= TIMESTAMP '{MID_CYCLE}' GROUP BY 1""")
 
 
 def rows_per_file(bronze, spark):
@@ -182,12 +197,16 @@ def rows_per_file(bronze, spark):
 
 
 def two_deliveries(spark, sf_dir, **options):
-    """Files of the first half of the cycle, then those of the second, then nothing new."""
+    """Files of the first half of the cycle, then those of the second, then nothing new.
+
+    The second delivery keeps old modification times, as a restored backup does.
+    """
     events = load(spark, sf_dir, "events")
     landing, bronze = scratch_dir(spark, "landing"), fresh_bronze(spark, CAMERA)
     land_feed(before(events), "camera", landing)
     ingest(spark, CAMERA, landing, bronze, **options)
-    land_feed(after(events), "camera", landing, tag="_Late")
+    for path in land_feed(after(events), "camera", landing, tag="_Late"):
+        set_modified(spark, path, modified_at(spark, path) - TEN_DAYS)
     ingest(spark, CAMERA, landing, bronze, **options)
     ingest(spark, CAMERA, landing, bronze, **options)
     return rows_per_file(bronze, spark)
@@ -195,28 +214,28 @@ def two_deliveries(spark, sf_dir, **options):
 
 @query(TWO_DELIVERIES)
 def ingest_incremental(spark, sf_dir):
-    return two_deliveries(spark, sf_dir, max_files=ONE_BATCH)
+    return two_deliveries(spark, sf_dir, max_files=FILES_PER_BATCH)
 
 
 @query(TWO_DELIVERIES)
 def ingest_clean_source(spark, sf_dir):
     """Processed files are deleted along the way, which must not change what was read."""
-    return two_deliveries(spark, sf_dir, max_files=ONE_BATCH, clean_source=True)
+    return two_deliveries(spark, sf_dir, max_files=FILES_PER_BATCH, clean_source=True)
 
 
 @query(feeds(f"""
 SELECT {file_name('Synthetic_Poultry')} AS _source_file_name, {PER_FILE}
-FROM synthetic GROUP BY FARM_NO, SHED_NO"""))
+FROM synthetic GROUP BY 1"""))
 def ingest_glob(spark, sf_dir):
     """One feed out of a folder that holds the files of all three."""
     bronze = fresh_bronze(spark, SYNTHETIC)
-    ingest(spark, SYNTHETIC, landing_folder(spark, sf_dir), bronze, max_files=ONE_BATCH)
+    ingest(spark, SYNTHETIC, landing_folder(spark, sf_dir), bronze, max_files=FILES_PER_BATCH)
     return rows_per_file(bronze, spark)
 
 
 @query(feeds("""
 SELECT CAST(b AS BIGINT) AS batch_id, CAST(least(5, n - 5 * b) AS BIGINT) AS n_files
-FROM (SELECT count(*) AS n FROM (SELECT DISTINCT FARM_NO, SHED_NO FROM camera)), range(1000) r(b)
+FROM (SELECT count(*) AS n FROM (SELECT DISTINCT FARM_NO, SHED_NO, (DAY - 1) // 10 FROM camera)), range(1000) r(b)
 WHERE 5 * b < n"""))
 def ingest_rate_limit(spark, sf_dir):
     """Files per micro-batch under the limit of the contract."""

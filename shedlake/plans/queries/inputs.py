@@ -15,7 +15,8 @@ RUN_TIME = "2024-02-01 00:00:00"
 SECOND_RUN_TIME = "2024-02-02 00:00:00"
 MID_CYCLE = "2024-01-16 00:00:00"
 
-ONE_BATCH = 10_000
+# Landing files per batch in these queries: fewer than a feed has, so that each takes several batches.
+FILES_PER_BATCH = 12
 
 _landed: dict[tuple[str, str], str] = {}
 

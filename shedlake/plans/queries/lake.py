@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shedlake.contracts import CAMERA, ENVIRONMENTAL, FEEDS, SYNTHETIC
 from shedlake.plans.lakehouse import Lake, run_all, run_feeds
 from shedlake.plans.oracle import landed_gold, landed_silver
-from shedlake.plans.queries.inputs import ONE_BATCH, RUN_TIME, landing_folder, run_time, wall_clock
+from shedlake.plans.queries.inputs import FILES_PER_BATCH, RUN_TIME, landing_folder, run_time, wall_clock
 from shedlake.plans.registry import query
 from shedlake.session import scratch_dir
 
@@ -21,7 +21,7 @@ def landing_of(spark, sf_dir, *feeds):
 
 def landed_lake(spark, sf_dir, *feeds, **options):
     lake = Lake(scratch_dir(spark, "lake"), **options)
-    run_feeds(spark, lake, landing_of(spark, sf_dir, *feeds), ONE_BATCH, processing_time=run_time())
+    run_feeds(spark, lake, landing_of(spark, sf_dir, *feeds), FILES_PER_BATCH, processing_time=run_time())
     return lake
 
 
@@ -47,7 +47,7 @@ def lake_silver_synthetic(spark, sf_dir):
 
 def finished_lake(spark, sf_dir):
     lake = Lake(scratch_dir(spark, "lake"))
-    run_all(spark, lake, landing_of(spark, sf_dir), ONE_BATCH, processing_time=run_time())
+    run_all(spark, lake, landing_of(spark, sf_dir), FILES_PER_BATCH, processing_time=run_time())
     return lake
 
 

@@ -106,12 +106,11 @@ def camera_target(root: str) -> KeyedTarget:
 
 @query(silver("SELECT * FROM silver_camera"))
 def silver_incremental(spark, sf_dir):
-    """Upserts in three batches, newest first, with a compaction and a replay in between."""
+    """Upserts in three batches, newest first, and a replay."""
     events = load(spark, sf_dir, "events")
     target = camera_target(scratch_dir(spark, "silver"))
     target.merge_batch(camera_feed(after(events)), 0)
     target.merge_batch(camera_feed(before(events, "2024-01-08 00:00:00")), 1)
-    target.compact(spark)
     target.merge_batch(camera_feed(after(before(events), "2024-01-08 00:00:00")), 2)
     target.merge_batch(camera_feed(after(events)), 0)
     return target.read(spark)
@@ -128,9 +127,9 @@ def silver_business_view(spark, sf_dir):
 
 @query(silver("SELECT * FROM silver_camera"))
 def silver_batches_as_changes(spark, sf_dir):
-    """The change feed that the batches of a target leave behind, collapsed to the current state."""
+    """The change feed that eight batches of a target leave behind, collapsed to the current state."""
     events = load(spark, sf_dir, "events")
     target = camera_target(scratch_dir(spark, "silver"))
-    target.merge_batch(camera_feed(after(events)), 0)
-    target.merge_batch(camera_feed(before(events)), 1)
+    for number in range(8):
+        target.merge_batch(camera_feed(events.where((F.day("ts") - 1 >= 28 - 4 * number) & (F.day("ts") - 1 < 32 - 4 * number))), number)
     return collapse_change_feed(target.read_changes(spark), CAMERA.keys)

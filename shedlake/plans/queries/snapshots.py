@@ -52,7 +52,7 @@ SELECT o_orderkey, coalesce(n.o_orderstatus, o.o_orderstatus) AS o_orderstatus,
 FROM (SELECT *, true AS had FROM old) o FULL JOIN (SELECT *, true AS has FROM new) n USING (o_orderkey)""")
 def snapshot_diff_orders(spark, sf_dir):
     recorded, shown = order_versions(spark, sf_dir)
-    return snapshot_diff(recorded, shown, ["o_orderkey"])
+    return snapshot_diff(recorded, shown, ["o_orderkey"], unique="new")
 
 
 # What each user did last at each hour of the day, in the first and in the second half of the cycle.

@@ -14,6 +14,7 @@ CAMERA_EVENTS = ("click", "view", "purchase")
 ENVIRONMENTAL_EVENTS = ("signup", "error")
 SYNTHETIC_EVENTS = ("purchase",)
 FIRST_DAY = "2024-01-01"
+PERIOD_DAYS = 10
 FILE_PREFIXES = {
     "camera": "Camera",
     "environmental": "Environmental",
@@ -86,28 +87,26 @@ def landing_rows(feed: DataFrame) -> DataFrame:
 
 
 def write_landing_files(rows: DataFrame, folder: str, prefix: str, tag: str = "") -> list[str]:
-    """Write rows as CSV files named after their farm and shed, and return the file paths.
+    """Write rows as CSV files named after their farm, shed and ten-day period, and return the paths.
 
-    A site with many rows gets several files: the rebalance hint splits it over tasks.
+    The names follow from the rows alone, whatever the session's settings for files and tasks.
     """
     spark = rows.sparkSession
     staging = f"{folder}/_staging_{prefix}{tag}"
+    named_by = ["FARM_NO", "SHED_NO", "PERIOD"]
     (
-        rows.hint("rebalance", "FARM_NO", "SHED_NO")
-        .write.partitionBy("FARM_NO", "SHED_NO")
+        rows.withColumn("PERIOD", F.expr(f"(DAY - 1) div {PERIOD_DAYS}"))
+        .repartition(*named_by)
+        .write.partitionBy(*named_by)
         .option("header", True)
+        .option("maxRecordsPerFile", 0)
         .csv(staging)
     )
     landed = []
-    site, number = None, 0
-    for part in glob(spark, f"{staging}/FARM_NO=*/SHED_NO=*/part-*"):
-        farm, shed = (p.split("=")[1] for p in part.split("/")[-3:-1])
-        number = number + 1 if site == (farm, shed) else 1
-        site = (farm, shed)
-        suffix = "" if number == 1 else f"_Part_{number}"
-        target = f"{folder}/{prefix}_Farm_{farm}_Shed_{shed}{tag}{suffix}.csv"
-        rename(spark, part, target)
-        landed.append(target)
+    for part in glob(spark, f"{staging}/FARM_NO=*/SHED_NO=*/PERIOD=*/part-*"):
+        farm, shed, period = (p.split("=")[1] for p in part.split("/")[-4:-1])
+        landed.append(f"{folder}/{prefix}_Farm_{farm}_Shed_{shed}_Period_{period}{tag}.csv")
+        rename(spark, part, landed[-1])
     return landed
 
 

@@ -28,10 +28,18 @@ def modified_at(spark: SparkSession, path: str) -> int:
     return fs.getFileStatus(hadoop_path).getModificationTime()
 
 
-def size(spark: SparkSession, path: str) -> int:
-    """Bytes stored under a folder."""
+def put_name(spark: SparkSession, folder: str, name: str) -> None:
+    """Make a small file whose name is all it says; it is there at once and whole, or not at all."""
+    fs, hidden = _open(spark, f"{folder}/_{name}")
+    out = fs.create(hidden, True)
+    out.write(bytearray(name, "utf-8"))
+    out.close()
+    rename(spark, f"{folder}/_{name}", f"{folder}/{name}")
+
+
+def set_modified(spark: SparkSession, path: str, millis: int) -> None:
     fs, hadoop_path = _open(spark, path)
-    return fs.getContentSummary(hadoop_path).getLength()
+    fs.setTimes(hadoop_path, millis, -1)
 
 
 def rename(spark: SparkSession, source: str, target: str) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,7 +15,6 @@ from shedlake.sources.tables import BATCH_ID
 from shedlake.streaming.targets import AppendTarget, KeyedTarget
 
 ONCE = {"availableNow": True}
-BYTES_PER_TASK = 16 * 1024 * 1024
 
 
 def _check_start(spark: SparkSession, target: AppendTarget | KeyedTarget) -> None:
@@ -23,6 +23,14 @@ def _check_start(spark: SparkSession, target: AppendTarget | KeyedTarget) -> Non
         raise ValueError(f"{target.name} holds batches but its checkpoint {target.checkpoint} is gone")
 
 
+def _counted(seen: Observation, name: str) -> int:
+    """An observed count. Where Spark found a step empty it drops what was observed; then assume one."""
+    try:
+        return seen.get.get(name, 1)
+    except Py4JJavaError:
+        return 1
+
+
 def append_flow(
     spark: SparkSession,
     contract: FeedContract,
@@ -32,8 +40,13 @@ def append_flow(
     clean_source: bool = False,
     trigger: dict | None = None,
     processing_time: Column | None = None,
+    bytes_per_task: int = 16 * 1024 * 1024,
 ) -> StreamingQuery:
-    """Start the flow that appends the rows of each new landing file to bronze exactly once."""
+    """Start the flow that appends the rows of each new landing file to bronze exactly once.
+
+    ``bytes_per_task`` is what one task takes in when a batch is many small files, which then become
+    few tasks and stored files. It changes neither rows nor the splitting of large files.
+    """
 
     def write(listing: DataFrame, batch_id: int) -> None:
         # At most max_files short rows; the data itself never leaves the executors.
@@ -41,8 +54,7 @@ def append_flow(
         if not files:
             return
         rows = read_files(spark, sorted(files), contract, processing_time)
-        # Many small files become few tasks and stored files; large ones are left as they are split.
-        enough = 1 + sum(files.values()) // BYTES_PER_TASK
+        enough = 1 + sum(files.values()) // bytes_per_task
         bronze.append_batch(rows.coalesce(enough) if enough < len(files) else rows, batch_id)
 
     _check_start(spark, bronze)
@@ -62,27 +74,31 @@ def upsert_flow(
     silver: KeyedTarget,
     quarantine: AppendTarget,
     keep_source_columns: bool = False,
-    max_files: int | None = None,
+    max_batches: int = 1000,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Start the flow that standardises new bronze rows and upserts them into silver.
 
-    Rows without a complete key cannot be upserted and go to quarantine instead.
+    One upsert takes in at most ``max_batches`` committed batches of bronze. Rows without a complete key cannot be upserted and go to quarantine instead.
     """
 
-    def write(rows: DataFrame, batch_id: int) -> None:
-        standard = standardize(rows.drop(BATCH_ID), contract, keep_source_columns)
+    def write(commits: DataFrame, batch_id: int) -> None:
+        batches = sorted(row[BATCH_ID] for row in commits.collect())  # at most max_batches numbers
+        if not batches:
+            return
+        rows = bronze.read_batches(spark, batches).drop(BATCH_ID)
+        standard = standardize(rows, contract, keep_source_columns)
         seen = Observation()
         incomplete = F.count_if(incomplete_key(contract.keys))
         keyed = split_quarantine(standard.observe(seen, incomplete.alias("broken")), contract.keys)[0]
         # The upsert counts the rows without a key on its way; only if there are any, or if this is a
         # replay that need not repeat the upsert, is the batch scanned again for them.
-        if not silver.merge_batch(keyed, batch_id) or seen.get.get("broken", 1):
+        if not silver.merge_batch(keyed, batch_id) or _counted(seen, "broken"):
             quarantine.append_batch(split_quarantine(standard, contract.keys)[1], batch_id)
 
     _check_start(spark, silver)
     return (
-        bronze.read_stream(spark, max_files)
+        bronze.commit_stream(spark, max_batches)
         .writeStream.option("checkpointLocation", silver.checkpoint)
         .trigger(**(trigger or ONCE))
         .foreachBatch(write)

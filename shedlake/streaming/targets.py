@@ -1,8 +1,9 @@
 """Write targets on plain Parquet folders.
 
-Each target writes a batch or version into a folder of its own, and only folders that Spark has
-marked complete are read. A batch that is replayed after a crash finds its folder either complete,
-and is skipped, or incomplete, and is overwritten. Nothing that can be read is ever rewritten.
+Each target writes a batch or version into a folder of its own, and only folders that are marked
+complete are read: by Spark's own marker, or, where the batches are streamed on, by a small file
+that names the batch. A batch that is replayed after a crash finds its folder either complete, and
+is skipped, or incomplete, and is overwritten. Nothing that can be read is ever rewritten.
 One writer per target; its stream checkpoint lives beside the data, so batch numbers and folders
 cannot drift apart.
 """
@@ -11,19 +12,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shedlake.operators.scd1 import MARK, fold_changes, fold_lifted, mark_order, publish
-from shedlake.operators.snapshots import change_feed
-from shedlake.sources.paths import complete_versions, modified_at, size
+from shedlake.operators.snapshots import change_images
+from shedlake.sources.landing import new_files_stream
+from shedlake.sources.paths import complete_versions, exists, glob, modified_at, put_name
 from shedlake.sources.tables import BATCH_ID
 
 VERSION = "version"
-MANY = 16
+COMMIT = ".commit"
 
 
 @dataclass(frozen=True)
@@ -78,25 +79,38 @@ class AppendTarget(Target):
     def stored_schema(self) -> T.StructType:
         return T.StructType([*self.schema.fields, T.StructField(BATCH_ID, T.LongType())])
 
+    @property
+    def commits(self) -> str:
+        return f"{self.path}/commits"
+
     def versions(self, spark: SparkSession) -> list[int]:
-        return complete_versions(spark, self.data, BATCH_ID)
+        """Numbers of the committed batches."""
+        found = glob(spark, f"{self.commits}/*{COMMIT}")
+        return sorted(int(p.rsplit("/", 1)[1].removesuffix(COMMIT)) for p in found)
 
     def append_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """Store one batch, unless that has been done already."""
-        if batch_id not in self.versions(batch.sparkSession):
+        """Store one batch and commit it, unless that has been done already: one look-up."""
+        spark, commit = batch.sparkSession, f"{self.commits}/{batch_id}{COMMIT}"
+        if not exists(spark, commit):
             self._write(batch.select(*self.schema.names), f"{self.data}/{BATCH_ID}={batch_id}")
+            put_name(spark, self.commits, f"{batch_id}{COMMIT}")
 
     def read(self, spark: SparkSession, with_batch_id: bool = False) -> DataFrame:
-        folders = [f"{self.data}/{BATCH_ID}={n}" for n in self.versions(spark)]
-        rows = self._read(spark, self.data, folders, self.stored_schema)
+        rows = self.read_batches(spark, self.versions(spark))
         return rows if with_batch_id else rows.drop(BATCH_ID)
 
-    def read_stream(self, spark: SparkSession, max_files: int | None = None) -> DataFrame:
-        """The rows as a stream, batch number included."""
-        reader = spark.readStream.schema(self.stored_schema)
-        if max_files is not None:
-            reader = reader.option("maxFilesPerTrigger", max_files)
-        return reader.parquet(self.data)
+    def read_batches(self, spark: SparkSession, batches: Sequence[int]) -> DataFrame:
+        """The rows of some committed batches, batch number included."""
+        folders = [f"{self.data}/{BATCH_ID}={n}" for n in batches]
+        return self._read(spark, self.data, folders, self.stored_schema)
+
+    def commit_stream(self, spark: SparkSession, max_batches: int = 1000) -> DataFrame:
+        """The numbers of committed batches as a stream, for ``read_batches`` in its micro-batches.
+
+        Streaming the data folder itself would also show what a crash left half written.
+        """
+        names = new_files_stream(spark, self.commits, f"*{COMMIT}", max_batches)
+        return names.select(F.regexp_extract("path", rf"(\d+)\{COMMIT}$", 1).cast("bigint").alias(BATCH_ID))
 
 
 @dataclass(frozen=True)
@@ -106,7 +120,9 @@ class KeyedTarget(Target):
     A batch is folded by itself and stored as a small delta; the state is the fold of all deltas,
     which does not depend on their order or on replays. Writing a batch therefore costs as much as
     the batch, not as much as the table, and reading costs no shuffle beyond the one a join on the
-    keys needs anyway. ``compact`` folds the deltas so far into a base, to keep reads short.
+    keys needs anyway. Under one sequence column a batch is folded by hash, and the state holds one
+    position and one value per column. ``compact`` folds the deltas so far into a base, to keep reads
+    short; when to do that is up to the owner of the table.
     """
 
     sequence: tuple[str, ...] = ()
@@ -136,7 +152,7 @@ class KeyedTarget(Target):
 
     def merge_batch(self, changes: DataFrame, batch_id: int) -> bool:
         """Upsert one batch of changes; a null never replaces a stored value. False if already done."""
-        if batch_id in self.versions(changes.sparkSession):
+        if exists(changes.sparkSession, f"{self.deltas}/{BATCH_ID}={batch_id}/_SUCCESS"):
             return False
         folded = fold_changes(changes, self.keys, self.sequence, self.values)
         self._write(folded, f"{self.deltas}/{BATCH_ID}={batch_id}")
@@ -152,6 +168,9 @@ class KeyedTarget(Target):
     def _delta_rows(self, spark: SparkSession, batches: Sequence[int]) -> DataFrame:
         return self._read(spark, self.deltas, [f"{self.deltas}/{BATCH_ID}={n}" for n in batches], self.state_schema)
 
+    def _base_rows(self, spark: SparkSession, base: int) -> DataFrame:
+        return self._read(spark, self.bases, [f"{self.bases}/{VERSION}={base}"], self.state_schema)
+
     def _pending(self, spark: SparkSession, as_of: int | None) -> list[int]:
         """Batches up to ``as_of`` that no base covers."""
         base = self._base(spark, as_of)
@@ -164,13 +183,21 @@ class KeyedTarget(Target):
         base, pending = self._base(spark, as_of), self._pending(spark, as_of)
         if base is None:
             return self._delta_rows(spark, pending), len(pending) <= 1
-        stored = self._read(spark, self.bases, [f"{self.bases}/{VERSION}={base}"], self.state_schema)
+        stored = self._base_rows(spark, base)
         return (stored.unionByName(self._delta_rows(spark, pending)) if pending else stored), not pending
 
     def state(self, spark: SparkSession, as_of: int | None = None) -> DataFrame:
-        """One lifted row per key."""
+        """One lifted row per key. Only keys that deltas touch are folded; other base rows pass through."""
         rows, folded = self._lifted(spark, as_of)
-        return rows if folded else fold_lifted(rows, self.keys)
+        if folded:
+            return rows
+        base, pending = self._base(spark, as_of), self._pending(spark, as_of)
+        if base is None:
+            return fold_lifted(rows, self.keys)
+        keys, fresh = list(self.keys), self._delta_rows(spark, pending)
+        touched, stored = fresh.select(*keys).distinct(), self._base_rows(spark, base)
+        again = fold_lifted(stored.join(touched, keys, "left_semi").unionByName(fresh), keys)
+        return stored.join(touched, keys, "left_anti").unionByName(again)
 
     def read(self, spark: SparkSession, as_of: int | None = None) -> DataFrame:
         """Current state, or the state right after batch ``as_of``."""
@@ -183,36 +210,38 @@ class KeyedTarget(Target):
     def read_changes(self, spark: SparkSession, start: int = 0, end: int | None = None) -> DataFrame:
         """Change feed of batches ``start`` to ``end``, each batch a commit of its own.
 
-        Before and after are folded only for the keys that a batch touched.
+        One pass, however many batches: the stored rows of a key, in the order of the batches, are
+        folded step by step, and each step is compared with the one before it.
         """
-        feeds = []
-        for batch in (n for n in self.versions(spark) if n >= start and (end is None or n <= end)):
-            touched = self._delta_rows(spark, [batch]).select(*self.keys)
-
-            def image(as_of: int) -> DataFrame:
-                rows = self._lifted(spark, as_of)[0].join(touched, list(self.keys), "left_semi")
-                return publish(fold_lifted(rows, self.keys))
-
-            committed = F.timestamp_millis(F.lit(modified_at(spark, f"{self.deltas}/{BATCH_ID}={batch}/_SUCCESS")))
-            feeds.append(change_feed(image(batch - 1), image(batch), self.keys, batch, committed, unique=True))
-        if not feeds:
-            nothing = self.read(spark).where(F.lit(False))
-            return change_feed(nothing, nothing, self.keys, start, F.current_timestamp(), unique=True)
-        return reduce(DataFrame.unionByName, feeds)
-
-    def compact(self, spark: SparkSession, at_least: int = 1, share: float = 0.0) -> int | None:
-        """Fold everything stored so far into a base, when that is due.
-
-        It is once ``at_least`` batches have piled up and they amount to ``share`` of the base, so
-        that a large table is not rewritten for a trickle; many times as many batches are due anyhow.
-        """
-        base, pending = self._base(spark, None), self._pending(spark, None)
-        if len(pending) < max(at_least, 1):
+        base = self._base(spark, start - 1)
+        batches = [n for n in self.versions(spark) if (base is None or n > base) and (end is None or n <= end)]
+        schema = T.StructType([*self.state_schema.fields, T.StructField(BATCH_ID, T.LongType())])
+        rows = self._read(spark, self.deltas, [f"{self.deltas}/{BATCH_ID}={n}" for n in batches], schema)
+        if base is not None:
+            rows = rows.unionByName(self._base_rows(spark, base).withColumn(BATCH_ID, F.lit(base).cast("bigint")))
+        committed = [
+            (n, modified_at(spark, f"{self.deltas}/{BATCH_ID}={n}/_SUCCESS")) for n in batches if n >= start
+        ]
+        times = spark.createDataFrame(committed, "number bigint, millis bigint")
+        steps = Window.partitionBy(*self.keys).orderBy(BATCH_ID)
+        before = steps.rowsBetween(Window.unboundedPreceding, -1)
+        up_to = steps.rowsBetween(Window.unboundedPreceding, 0)
+
+        def image(window: WindowSpec) -> Column:
+            return F.struct(*(F.max(MARK + c).over(window)["value"].alias(c) for c in self.values))
+
+        first = F.row_number().over(steps) == 1
+        same = F.col("old").eqNullSafe(F.col("new"))
+        pairs = rows.select(*self.keys, BATCH_ID, first.alias("first"), image(before).alias("old"), image(up_to).alias("new"))
+        label = F.when(F.col("first"), "insert").when(same, "unchanged").otherwise("update")
+        told = pairs.withColumn("label", label).join(times, F.col(BATCH_ID) == F.col("number"))
+        return change_images(told, self.keys, self.values, F.col("number"), F.timestamp_millis("millis"))
+
+    def compact(self, spark: SparkSession) -> int | None:
+        """Fold everything stored so far into a base. None if there is nothing new to fold."""
+        pending = self._pending(spark, None)
+        if not pending:
             return None
-        if base is not None and share > 0 and len(pending) < MANY * at_least:
-            fresh = sum(size(spark, f"{self.deltas}/{BATCH_ID}={n}") for n in pending)
-            if fresh < share * size(spark, f"{self.bases}/{VERSION}={base}"):
-                return None
         self._write(self.state(spark), f"{self.bases}/{VERSION}={pending[-1]}")
         return pending[-1]
 

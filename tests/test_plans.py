@@ -7,17 +7,15 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
 from shedlake.contracts import CAMERA, ENVIRONMENTAL, OPERATIONAL
 from shedlake.functions import standardize
 from shedlake.operators.activity import aggregate_activity, join_activity
+from shedlake.plans import queries as _queries  # noqa: F401  (fills the registry)
 from shedlake.plans.lakehouse import Lake
+from shedlake.plans.registry import QUERIES
 from shedlake.sources.paths import glob
 from test_streaming import BATCHES, bronze_rows, silver_changes
 
-QUERIES = entry_points.queries()
-
-
 def plan_of(df):
     out = io.StringIO()
     with contextlib.redirect_stdout(out):

@@ -152,18 +152,6 @@ def test_keyed_target_folds_replays_and_compacts(spark, scratch, partition_by):
     assert rows_of(second) == [(0, "update_postimage", 1), (0, "update_preimage", 1), (1, "insert", 1)]
 
 
-def test_a_large_base_is_not_rewritten_for_a_trickle(spark, scratch):
-    silver = Lake(scratch).silver(CAMERA)
-    many = [(farm, day, hour, str(hour), str(day), 0) for farm in range(5) for day in range(30) for hour in range(24)]
-    silver.merge_batch(silver_changes(spark, *many), 0)
-    assert silver.compact(spark, 1, 0.5) == 0
-    silver.merge_batch(silver_changes(spark, (1, 1, 0, "9", "9", 1)), 1)
-    assert silver.compact(spark, 1, 0.9) is None
-    assert silver.compact(spark, 2, 0.0) is None
-    assert silver.compact(spark, 1, 0.0) == 1
-    assert silver.read(spark).count() == 3600
-
-
 def test_batch_that_broke_off_is_written_again(spark, scratch):
     silver = Lake(scratch).silver(CAMERA)
     silver.merge_batch(silver_changes(spark, *BATCHES[0]), 0)
@@ -176,7 +164,7 @@ def test_batch_that_broke_off_is_written_again(spark, scratch):
     bronze.append_batch(bronze_rows(spark, *BATCHES[0]), 0)
     bronze.append_batch(bronze_rows(spark, *BATCHES[1]), 0)
     assert bronze.read(spark).count() == 2
-    os.remove(f"{bronze.data}/{BATCH_ID}=0/_SUCCESS")
+    os.remove(f"{bronze.commits}/0.commit")
     assert bronze.read(spark).count() == 0
     bronze.append_batch(bronze_rows(spark, *BATCHES[0]), 0)
     assert bronze.read(spark).count() == 2
@@ -242,12 +230,12 @@ def test_files_with_different_headers_in_one_batch(spark, lake, landing):
 def test_upserts_of_few_files_at_a_time_give_the_same_state(spark, scratch, landing):
     for i in range(6):
         put(landing["camera"], f"Camera_Farm_1_Shed_{i % 2}_{i}.csv", HEADER + f"1,0,{i},{i if i % 3 else ''},1,true\n")
-    at_once, in_steps = Lake(f"{scratch}/a"), Lake(f"{scratch}/b", compact_after=2)
+    at_once, in_steps = Lake(f"{scratch}/a"), Lake(f"{scratch}/b")
     moment = F.lit("2024-02-01 00:00:00").cast("timestamp")
     run_feeds(spark, at_once, {"camera": landing["camera"]}, 100, processing_time=moment)
-    run_feeds(spark, in_steps, {"camera": landing["camera"]}, 2, processing_time=moment, bronze_files=1)
+    run_feeds(spark, in_steps, {"camera": landing["camera"]}, 2, processing_time=moment, bronze_batches=1)
     assert len(in_steps.silver(CAMERA).versions(spark)) == 3
-    assert os.path.exists(in_steps.silver(CAMERA).bases)
+    assert in_steps.silver(CAMERA).compact(spark) == 2
     assert rows_of(in_steps.silver(CAMERA).read(spark)) == rows_of(at_once.silver(CAMERA).read(spark))
 
 
