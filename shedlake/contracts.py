@@ -56,6 +56,7 @@ class FeedContract:
     sequence: str = PROCESSING_TIME
     except_columns: tuple[str, ...] = (SOURCE_FILE, RESCUED)
     max_files: int = 5
+    pass_through: tuple[str, ...] = ()  # columns outside the contract that bronze keeps as text
     properties: dict[str, str] = field(
         default_factory=lambda: {"quality": "bronze"}
     )
@@ -67,11 +68,14 @@ class FeedContract:
     def stored_columns(self, keep_source_columns: bool = False) -> list[str]:
         """Non-key columns kept in silver."""
         leftovers = [c.raw_name for c in self.columns if c.leaves_source_behind]
-        everything = [*self.value_columns, *(leftovers if keep_source_columns else []), *OPERATIONAL]
+        everything = [
+            *self.value_columns, *(leftovers if keep_source_columns else []), *self.pass_through, *OPERATIONAL
+        ]
         return [c for c in everything if c not in self.except_columns]
 
     def bronze_schema(self) -> T.StructType:
-        raw = [T.StructField(c.raw_name, T.StringType()) for c in self.columns]
+        names = [*(c.raw_name for c in self.columns), *self.pass_through]
+        raw = [T.StructField(name, T.StringType()) for name in names]
         return T.StructType(
             raw
             + [
@@ -92,6 +96,8 @@ class FeedContract:
             for rule in self.columns:
                 if rule.leaves_source_behind:
                     schema.add(rule.raw_name, T.StringType())
+        for name in self.pass_through:
+            schema.add(name, T.StringType())
         for name in OPERATIONAL:
             schema.add(self.bronze_schema()[name])
         return schema

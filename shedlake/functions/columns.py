@@ -79,7 +79,7 @@ def cast_contract(
         casts.append(cast(df, source, rule.type).alias(rule.name))
         if not (keep_source_columns and source.lower() != rule.name.lower()):
             consumed.add(source)
-    allowed = None if keep_source_columns else {*OPERATIONAL, *contract.key_patterns}
+    allowed = None if keep_source_columns else {*OPERATIONAL, *contract.pass_through, *contract.key_patterns}
     rest = [F.col(quoted(c)) for c in names if c not in consumed and (allowed is None or c in allowed)]
     return df.select(*casts, *rest)
 

@@ -18,7 +18,7 @@ def rescue(df: DataFrame, contract: FeedContract) -> DataFrame:
     """Narrow text columns to the contract and fold everything else into the rescue column.
 
     Rescued are: a value that its contract type cannot represent, every value of a column that
-    the contract does not know, and the full line of a record with more fields than its header.
+    the contract neither knows nor passes through, and the full line of a record with more fields than its header.
     The schema therefore never widens and no input value is lost. Rows with nothing to rescue
     get null, and only rows with something to rescue pay for building the JSON.
     """
@@ -32,13 +32,15 @@ def rescue(df: DataFrame, contract: FeedContract) -> DataFrame:
     fits = {
         FIT + name: F.when(fit(df, name, rule.type).isNotNull(), F.col(quoted(name))) for name, rule in rule_of.items()
     }
+    by_lower = {c.lower(): c for c in df.columns if c not in rule_of}
+    passing = {name: by_lower.get(name.lower()) for name in contract.pass_through}
     checked = df.select("*", *(value.alias(name) for name, value in fits.items()))
     rescued = []
     for name in df.columns:
         value = F.col(quoted(name))
         if name in rule_of:
             rescued.append(F.when(F.col(quoted(FIT + name)).isNull(), value).alias(name))
-        elif name not in OPERATIONAL:
+        elif name not in OPERATIONAL and name not in passing.values():
             rescued.append(value.alias(name))
 
     if rescued:
@@ -51,5 +53,9 @@ def rescue(df: DataFrame, contract: FeedContract) -> DataFrame:
         (F.col(quoted(FIT + source_of[r.name])) if r.name in source_of else F.lit(None).cast("string")).alias(r.raw_name)
         for r in contract.columns
     ]
+    kept += [
+        (F.lit(None).cast("string") if source is None else F.col(quoted(source))).alias(name)
+        for name, source in passing.items()
+    ]
     stamps = [F.col(c) for c in OPERATIONAL if c in df.columns and c != RESCUED]
     return checked.select(*kept, *stamps, payload.alias(RESCUED))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from shedlake.contracts import (
@@ -27,10 +28,9 @@ from shedlake.operators.activity import (
     join_activity,
 )
 from shedlake.operators.dimension import maintain_dimension
-from shedlake.operators.snapshots import snapshot_apply
 from shedlake.sources.paths import exists
 from shedlake.streaming.flows import append_flow, upsert_flow
-from shedlake.streaming.targets import AppendTarget, KeyedTarget, SnapshotTarget, Target
+from shedlake.streaming.targets import AppendTarget, GroupTarget, KeyedTarget, SnapshotTarget, Target
 
 MEAN = T.DecimalType(10, 6)
 MEASURES = (*ACTIVITY_MEASURES, *CLIMATE_MEASURES)
@@ -95,23 +95,25 @@ class Lake:
         )
 
     @property
-    def hourly(self) -> SnapshotTarget:
-        return SnapshotTarget(
+    def hourly(self) -> GroupTarget:
+        return GroupTarget(
             name="gold_activity_hourly",
             path=f"{self.root}/gold_activity_hourly",
             schema=HOURLY_SCHEMA,
             keys=HOURLY_KEYS,
+            group=DAILY_KEYS,
             comment="hourly climate and activity per shed",
             properties={"quality": "gold"},
         )
 
     @property
-    def daily(self) -> SnapshotTarget:
-        return SnapshotTarget(
+    def daily(self) -> GroupTarget:
+        return GroupTarget(
             name="gold_activity_daily",
             path=f"{self.root}/gold_activity_daily",
             schema=DAILY_SCHEMA,
             keys=DAILY_KEYS,
+            group=DAILY_KEYS,
             comment="daily mean climate and activity per shed",
             properties={"quality": "gold"},
         )
@@ -166,18 +168,30 @@ def run_feeds(
 
 
 def run_gold(spark: SparkSession, lake: Lake) -> tuple[int, int]:
-    """Recompute both gold tables from silver; the daily one reads the hourly one as written."""
-    environmental = business_view(lake.silver(ENVIRONMENTAL).read(spark))
-    camera = business_view(lake.silver(CAMERA).read(spark))
-    hourly = join_activity(environmental, camera)
-    hourly_version = lake.hourly.write_version(
-        snapshot_apply(lake.hourly.read_or_none(spark), hourly, HOURLY_KEYS, unique=True)
-    )
-    daily = aggregate_activity(lake.hourly.read(spark, hourly_version))
-    daily_version = lake.daily.write_version(
-        snapshot_apply(lake.daily.read_or_none(spark), daily, DAILY_KEYS, unique=True)
-    )
-    return hourly_version, daily_version
+    """Bring both gold tables up to date with silver; the daily one reads the hourly one as written.
+
+    Only the shed days that silver has got changes for are recomputed. Without any, nothing is stored.
+    """
+    sources = lake.silver(CAMERA), lake.silver(ENVIRONMENTAL)
+    now = tuple(max(s.versions(spark), default=-1) for s in sources)
+
+    def refresh(target: GroupTarget, rows_of: Callable[[DataFrame], DataFrame]) -> int:
+        last = target.progress(spark)
+        if last == now:
+            return max(target.versions(spark))
+        seen = last or (-1,) * len(sources)
+        touched = reduce(
+            DataFrame.union, (s.touched_groups(spark, n, DAILY_KEYS) for s, n in zip(sources, seen, strict=True))
+        ).distinct()
+        return target.replace_groups(rows_of(touched), touched, now)
+
+    def hourly_rows(touched: DataFrame) -> DataFrame:
+        camera, environmental = (business_view(s.read_groups(spark, touched)) for s in sources)
+        return join_activity(environmental, camera)
+
+    hourly = refresh(lake.hourly, hourly_rows)
+    daily = refresh(lake.daily, lambda touched: aggregate_activity(lake.hourly.read(spark, groups=touched)))
+    return hourly, daily
 
 
 def run_dimension(

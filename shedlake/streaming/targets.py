@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shedlake.operators.scd1 import MARK, fold_changes, fold_lifted, mark_order, publish
-from shedlake.operators.snapshots import change_images
+from shedlake.operators.snapshots import CHANGE_TYPE, change_images, snapshot_apply, snapshot_diff
 from shedlake.sources.landing import new_files_stream
 from shedlake.sources.paths import complete_versions, exists, glob, modified_at, put_name
 from shedlake.sources.tables import BATCH_ID
@@ -171,6 +171,19 @@ class KeyedTarget(Target):
     def _base_rows(self, spark: SparkSession, base: int) -> DataFrame:
         return self._read(spark, self.bases, [f"{self.bases}/{VERSION}={base}"], self.state_schema)
 
+    def read_groups(self, spark: SparkSession, groups: DataFrame) -> DataFrame:
+        """Current state of the keys that belong to some groups, which name a part of the key columns.
+
+        Rows of other groups are left out before anything is folded.
+        """
+        rows, folded = self._lifted(spark, None)
+        rows = rows.join(groups, groups.columns, "left_semi")
+        return publish(rows if folded else fold_lifted(rows, self.keys)).select(*self.schema.names)
+
+    def touched_groups(self, spark: SparkSession, after: int, columns: Sequence[str]) -> DataFrame:
+        """Groups that the batches after number ``after`` brought changes for."""
+        return self._delta_rows(spark, [n for n in self.versions(spark) if n > after]).select(*columns).distinct()
+
     def _pending(self, spark: SparkSession, as_of: int | None) -> list[int]:
         """Batches up to ``as_of`` that no base covers."""
         base = self._base(spark, as_of)
@@ -270,3 +283,67 @@ class SnapshotTarget(Target):
     def read_or_none(self, spark: SparkSession) -> DataFrame | None:
         """Current version, or ``None`` before the first one: an explicit test, not a caught error."""
         return self.read(spark) if self.versions(spark) else None
+
+
+@dataclass(frozen=True)
+class GroupTarget(Target):
+    """Table derived from others and refreshed by groups of rows, each replaced as a whole.
+
+    A version stores the rows of the groups that it replaced, the names of these groups, and a report
+    of what changed. A group's rows are those of the last version that replaced it. The commit of a
+    version also names how far it has read each of its sources.
+    """
+
+    group: tuple[str, ...] = ()
+
+    @property
+    def commits(self) -> str:
+        return f"{self.path}/commits"
+
+    def _commits(self, spark: SparkSession) -> dict[int, tuple[int, ...]]:
+        names = (p.rsplit("/", 1)[1].removesuffix(COMMIT) for p in glob(spark, f"{self.commits}/*{COMMIT}"))
+        numbers = [tuple(int(n) for n in name.split("_")) for name in names]
+        return {n[0]: n[1:] for n in numbers}
+
+    def versions(self, spark: SparkSession) -> list[int]:
+        return sorted(self._commits(spark))
+
+    def progress(self, spark: SparkSession) -> tuple[int, ...] | None:
+        """How far the last version has read its sources; ``None`` before the first one."""
+        commits = self._commits(spark)
+        return commits[max(commits)] if commits else None
+
+    def _part(self, spark: SparkSession, part: str, versions: Sequence[int], schema: T.StructType) -> DataFrame:
+        stored = T.StructType([*schema.fields, T.StructField(VERSION, T.LongType())])
+        folders = [f"{self.path}/{part}/{VERSION}={n}" for n in versions]
+        return self._read(spark, f"{self.path}/{part}", folders, stored)
+
+    def read(self, spark: SparkSession, version: int | None = None, groups: DataFrame | None = None) -> DataFrame:
+        """The table as of a version (the last by default), or some of its groups."""
+        versions = [n for n in self.versions(spark) if version is None or n <= version]
+        names = T.StructType([self.schema[c] for c in self.group])
+        last = self._part(spark, "groups", versions, names).groupBy(*self.group).agg(F.max(VERSION).alias(VERSION))
+        if groups is not None:
+            last = last.join(groups, list(self.group), "left_semi")
+        rows = self._part(spark, "data", versions, self.schema)
+        return rows.join(last, [*self.group, VERSION], "left_semi").select(*self.schema.names)
+
+    def replace_groups(self, rows: DataFrame, groups: DataFrame, progress: Sequence[int]) -> int:
+        """Store a version in which ``groups`` consist of ``rows``. Rows that did not change stay as stored."""
+        spark = rows.sparkSession
+        version = max(self.versions(spark), default=-1) + 1
+        before = self.read(spark, groups=groups)
+        values = [c for c in self.schema.names if c not in self.keys]
+        rows = rows.select(*self.schema.names)
+        kept = snapshot_apply(before, rows, self.keys, unique=True, compare=values)
+        report = snapshot_diff(before, rows, self.keys, unique=True).where(F.col(CHANGE_TYPE) != "unchanged")
+        self._write(kept.select(*self.schema.names), f"{self.path}/data/{VERSION}={version}")
+        report.write.mode("overwrite").parquet(f"{self.path}/changes/{VERSION}={version}")
+        groups.select(*self.group).write.mode("overwrite").parquet(f"{self.path}/groups/{VERSION}={version}")
+        put_name(spark, self.commits, "_".join(map(str, (version, *progress))) + COMMIT)
+        return version
+
+    def read_report(self, spark: SparkSession) -> DataFrame:
+        """What each version inserted, updated and deleted."""
+        schema = T.StructType([*self.schema.fields, T.StructField(CHANGE_TYPE, T.StringType())])
+        return self._part(spark, "changes", self.versions(spark), schema)

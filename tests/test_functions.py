@@ -1,9 +1,11 @@
 import json
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shedlake.contracts import CAMERA, ENVIRONMENTAL, FEEDS, SYNTHETIC
 from shedlake.functions.columns import fit
@@ -126,12 +128,26 @@ ODD_TEXTS = [
     "1", " 1 ", "+1", "-1", "1.", ".5", "1e2", "1E-2", "0x1", "", " ", "\t7\n", "\x7f7", "007", "32767", "32768", "99999",
     "2147483648", "1_000", "--1", "-", "+", ".", "e5", "NaN", "Infinity", "bad", "N/A", "t", "T", "true ", " TRUE",
     "yes", "Yes", "y", "no", "n", "f", "false", "falsey", "on", "1.0", "0", "10", "\u0663", "9999.99", "9999.995", "#REF!",
-    "12345.678", "1,5", "\u00a01", "truefalse", "none",
+    "12345.678", "cam-7", "2024-02-30", "2024-02-29", "2024-02-29 10:00:00", "1,5", "\u00a01", "truefalse", "none",
 ]
 
 
-@pytest.mark.parametrize("kind", [c.type for c in CAMERA.columns[1:3]] + [CAMERA.columns[5].type, ENVIRONMENTAL.standard_schema()["FARM_NO"].dataType])
+KINDS = [T.ShortType(), T.IntegerType(), T.LongType(), T.DecimalType(6, 2), T.BooleanType(), T.StringType(), T.DoubleType(), T.FloatType(), T.DateType(), T.TimestampType(), T.BinaryType()]
+
+
+@pytest.mark.parametrize("kind", KINDS, ids=lambda k: k.simpleString())
 def test_fit_is_a_try_cast(spark, kind):
     texts = spark.createDataFrame([(t,) for t in ODD_TEXTS], "t string")
     wrong = texts.where(~fit(texts, "t", kind).eqNullSafe(F.col("t").try_cast(kind)))
     assert [r.t for r in wrong.collect()] == []
+
+
+def test_columns_pass_through_to_the_standard_rows(spark):
+    contract = replace(CAMERA, pass_through=("Batch", "Gone"))
+    df = spark.createDataFrame([("1", "2", "3", "b7", "x")], "DAY string, HOUR string, SOUND_LEVEL string, BATCH string, other string")
+    df = df.withColumn("_processing_timestamp", F.current_timestamp()).withColumn("_source_file_name", F.lit("Camera_Farm_1_Shed_1.csv"))
+    bronze = rescue(df, contract)
+    assert bronze.schema.names == contract.bronze_schema().names
+    row = standardize(bronze, contract).first()
+    assert (row.Batch, row.Gone) == ("b7", None) and json.loads(row._rescued_data) == {"other": "x"}
+    assert standardize(bronze, contract, True).schema.names == contract.standard_schema(True).names

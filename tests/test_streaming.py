@@ -203,7 +203,13 @@ def test_gold_versions_and_source_columns(spark, scratch, landing):
     put(landing["camera"], "Camera_Farm_1_Shed_2.csv", HEADER + "1,0,50,10,20,true\n")
     run_feeds(spark, lake, landing)
     assert "temperature" in lake.silver(ENVIRONMENTAL).read(spark).columns
-    assert run_gold(spark, lake) == (0, 0) and run_gold(spark, lake) == (1, 1)
+    assert run_gold(spark, lake) == (0, 0) and run_gold(spark, lake) == (0, 0)
+    put(landing["camera"], "Camera_Farm_1_Shed_2_Later.csv", HEADER + "1,0,50,11,20,true\n2,0,50,11,20,true\n")
+    run_feeds(spark, lake, landing)
+    assert run_gold(spark, lake) == (1, 1)
+    report = lake.hourly.read_report(spark).select("version", "DAY", "BIRD_ACTIVITY", "_change_type")
+    assert rows_of(report) == [(0, 1, Decimal("10.00"), "insert"), (1, 1, Decimal("11.00"), "update")]
+    assert lake.hourly.read(spark, 0).first().BIRD_ACTIVITY == Decimal("10.00")
     assert run_dimension(spark, lake) == 0
     assert lake.hourly.read(spark).columns == [
         "DAY", "HOUR", "FARM_NO", "SHED_NO", "BIRD_ACTIVITY", "SOUND_LEVEL", "TEMPRATURE", "HUMIDITY",
