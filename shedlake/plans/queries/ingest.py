@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -23,7 +24,15 @@ from shedlake.plans.queries.inputs import (
 )
 from shedlake.plans.registry import query
 from shedlake.session import scratch_dir
-from shedlake.sources.derived import FILE_PREFIXES, land_feed, load
+from shedlake.sources.derived import (
+    FILE_PREFIXES,
+    camera_feed,
+    land_feed,
+    landing_rows,
+    load,
+    synthetic_feed,
+    write_landing_files,
+)
 from shedlake.sources.landing import header_groups, infer_feed_schema, read_csv_group, read_files
 from shedlake.sources.paths import glob, modified_at, set_modified
 from shedlake.sources.tables import BATCH_ID, batch_table, bronze_change_feed, register_table, stream_table
@@ -124,6 +133,36 @@ def standardize_synthetic(spark, sf_dir):
     return standard_rows(spark, sf_dir, SYNTHETIC)
 
 
+@query(standard_sql("DAY, WEIGHT_GM, 'flock ' || (DAY % 3) AS Flock", "synthetic"))
+def standardize_pass_through(spark, sf_dir):
+    """A column outside the contract that the feed passes through as text."""
+    rows = landing_rows(synthetic_feed(load(spark, sf_dir, "events")))
+    folder = scratch_dir(spark, "landing")
+    flock = F.concat(F.lit("flock "), (F.col("DAY") % 3).cast("string"))
+    files = write_landing_files(rows.withColumn("Flock", flock), folder, FILE_PREFIXES["synthetic"])
+    contract = replace(SYNTHETIC, pass_through=("Flock",))
+    return wall_clock(standardize(read_files(spark, files, contract, run_time()), contract))
+
+
+@query(feeds("""
+SELECT v.column_name, v.inferred_type, CASE v.column_name
+         WHEN 'DAY' THEN 2 * count(DAY) WHEN 'HOUR' THEN 2 * count(HOUR) WHEN 'BRIGHTNESS' THEN 2 * count(BRIGHTNESS)
+         WHEN 'BIRD_ACTIVITY' THEN 2 * count(BIRD_ACTIVITY) WHEN 'SOUND_LEVEL' THEN 2 * count(SOUND_LEVEL)
+         WHEN 'CAMERA_OPERATIONAL' THEN 2 * count(CAMERA_OPERATIONAL) ELSE count(*) END AS filled
+FROM camera, (VALUES ('DAY', 'int'), ('HOUR', 'int'), ('BRIGHTNESS', 'double'), ('BIRD_ACTIVITY', 'double'),
+                     ('SOUND_LEVEL', 'double'), ('CAMERA_OPERATIONAL', 'boolean'), ('Vet', 'string')) v(column_name, inferred_type)
+GROUP BY v.column_name, v.inferred_type"""))
+def infer_mixed_headers(spark, sf_dir):
+    """The feed twice, the second time with its columns turned round and one more."""
+    rows = landing_rows(camera_feed(load(spark, sf_dir, "events")))
+    folder = scratch_dir(spark, "landing")
+    write_landing_files(rows, folder, FILE_PREFIXES["camera"])
+    keys = ["FARM_NO", "SHED_NO"]
+    turned = [c for c in reversed(rows.columns) if c not in keys]
+    write_landing_files(rows.select(*keys, F.lit("none").alias("Vet"), *turned), folder, FILE_PREFIXES["camera"], "_Turned")
+    return infer_feed_schema(spark, folder, CAMERA.glob).drop("position")
+
+
 # Streams.
 
 
