@@ -24,7 +24,7 @@ WEIGHTS = (5, 2, 1)
 MOST_TIMES = 3  # a source fills at most so many times its own size
 BLOCK = 256  # words
 SHARD_SLOTS = 1024  # blocks of an output shard
-LANE = 20_000  # documents that one task numbers one after the other, on average
+LANE = 4_000  # documents that one task numbers one after the other, on average
 CHUNK = 1 << 16  # slots that one row stands for until they are dealt out
 SEED = 11
 
