@@ -183,7 +183,7 @@ def run_gold(spark: SparkSession, lake: Lake) -> tuple[int, int]:
         touched = reduce(
             DataFrame.union, (s.touched_groups(spark, n, DAILY_KEYS) for s, n in zip(sources, seen, strict=True))
         ).distinct()
-        return target.replace_groups(rows_of(touched), touched, now)
+        return target.replace_groups(touched, rows_of, now)
 
     def hourly_rows(touched: DataFrame) -> DataFrame:
         camera, environmental = (business_view(s.read_groups(spark, touched)) for s in sources)

@@ -10,7 +10,7 @@ cannot drift apart.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shedlake.operators.scd1 import MARK, fold_changes, fold_lifted, mark_order, publish
-from shedlake.operators.snapshots import CHANGE_TYPE, change_images, snapshot_apply, snapshot_diff
+from shedlake.operators.snapshots import CHANGE_TYPE, change_images, snapshot_diff
 from shedlake.sources.landing import new_files_stream
 from shedlake.sources.paths import complete_versions, exists, glob, modified_at, put_name
 from shedlake.sources.tables import BATCH_ID
@@ -289,8 +289,8 @@ class SnapshotTarget(Target):
 class GroupTarget(Target):
     """Table derived from others and refreshed by groups of rows, each replaced as a whole.
 
-    A version stores the rows of the groups that it replaced, the names of these groups, and a report
-    of what changed. A group's rows are those of the last version that replaced it. The commit of a
+    A version stores the rows of the groups that it replaced, each with what became of it, and the
+    names of these groups. A group's rows are those of the last version that replaced it. The commit of a
     version also names how far it has read each of its sources.
     """
 
@@ -318,32 +318,46 @@ class GroupTarget(Target):
         folders = [f"{self.path}/{part}/{VERSION}={n}" for n in versions]
         return self._read(spark, f"{self.path}/{part}", folders, stored)
 
+    @property
+    def _stored(self) -> T.StructType:
+        return T.StructType([*self.schema.fields, T.StructField(CHANGE_TYPE, T.StringType())])
+
     def read(self, spark: SparkSession, version: int | None = None, groups: DataFrame | None = None) -> DataFrame:
         """The table as of a version (the last by default), or some of its groups."""
         versions = [n for n in self.versions(spark) if version is None or n <= version]
-        names = T.StructType([self.schema[c] for c in self.group])
-        last = self._part(spark, "groups", versions, names).groupBy(*self.group).agg(F.max(VERSION).alias(VERSION))
+        rows = self._part(spark, "data", versions, self._stored).where(F.col(CHANGE_TYPE) != "delete")
+        if len(versions) > 1:
+            names = T.StructType([self.schema[c] for c in self.group])
+            last = self._part(spark, "groups", versions, names).groupBy(*self.group).agg(F.max(VERSION).alias(VERSION))
+            rows = rows.join(last, [*self.group, VERSION], "left_semi")
         if groups is not None:
-            last = last.join(groups, list(self.group), "left_semi")
-        rows = self._part(spark, "data", versions, self.schema)
-        return rows.join(last, [*self.group, VERSION], "left_semi").select(*self.schema.names)
-
-    def replace_groups(self, rows: DataFrame, groups: DataFrame, progress: Sequence[int]) -> int:
-        """Store a version in which ``groups`` consist of ``rows``. Rows that did not change stay as stored."""
-        spark = rows.sparkSession
-        version = max(self.versions(spark), default=-1) + 1
-        before = self.read(spark, groups=groups)
-        values = [c for c in self.schema.names if c not in self.keys]
-        rows = rows.select(*self.schema.names)
-        kept = snapshot_apply(before, rows, self.keys, unique=True, compare=values)
-        report = snapshot_diff(before, rows, self.keys, unique=True).where(F.col(CHANGE_TYPE) != "unchanged")
-        self._write(kept.select(*self.schema.names), f"{self.path}/data/{VERSION}={version}")
-        report.write.mode("overwrite").parquet(f"{self.path}/changes/{VERSION}={version}")
-        groups.select(*self.group).write.mode("overwrite").parquet(f"{self.path}/groups/{VERSION}={version}")
+            rows = rows.join(groups, list(self.group), "left_semi")
+        return rows.select(*self.schema.names)
+
+    def replace_groups(
+        self, groups: DataFrame, rows_of: Callable[[DataFrame], DataFrame], progress: Sequence[int]
+    ) -> int:
+        """Store a version in which ``groups`` consist of the rows that ``rows_of`` makes for them.
+
+        The rows are stored with what became of them, deleted ones included, so the version is its own
+        change report.
+        """
+        spark = groups.sparkSession
+        versions = self.versions(spark)
+        version = max(versions, default=-1) + 1
+        folder = f"{self.path}/groups/{VERSION}={version}"
+        groups.select(*self.group).write.mode("overwrite").parquet(folder)
+        groups = spark.read.parquet(folder)
+        rows = rows_of(groups).select(*self.schema.names)
+        if versions:
+            rows = snapshot_diff(self.read(spark, groups=groups), rows, self.keys, unique=True)
+        else:
+            rows = rows.withColumn(CHANGE_TYPE, F.lit("insert"))
+        self._write(rows.select(*self._stored.names), f"{self.path}/data/{VERSION}={version}")
         put_name(spark, self.commits, "_".join(map(str, (version, *progress))) + COMMIT)
         return version
 
     def read_report(self, spark: SparkSession) -> DataFrame:
         """What each version inserted, updated and deleted."""
-        schema = T.StructType([*self.schema.fields, T.StructField(CHANGE_TYPE, T.StringType())])
-        return self._part(spark, "changes", self.versions(spark), schema)
+        rows = self._part(spark, "data", self.versions(spark), self._stored)
+        return rows.where(F.col(CHANGE_TYPE) != "unchanged")

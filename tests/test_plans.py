@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shedlake.contracts import CAMERA, ENVIRONMENTAL, OPERATIONAL
 from shedlake.functions import standardize
+from shedlake.operators.scd1 import fold_changes
 from shedlake.operators.activity import aggregate_activity, join_activity
 from shedlake.plans import queries as _queries  # noqa: F401  (fills the registry)
 from shedlake.plans.lakehouse import Lake
@@ -110,3 +111,22 @@ def test_no_python_and_no_cross_join(spark, sf_dir, name):
     plan = plan_of(QUERIES[name](spark, sf_dir))
     for operator in ("PythonUDF", "ArrowEvalPython", "MapInPandas", "BatchEvalPython", "CartesianProduct", "NestedLoop"):
         assert operator not in plan
+
+
+def test_upserts_fold_by_hash_and_state_grows_with_the_columns(spark, scratch):
+    silver = Lake(scratch).silver(CAMERA)
+    folded = fold_changes(silver_changes(spark, *BATCHES[0]), silver.keys, silver.sequence, silver.values)
+    assert "SortAggregate" not in plan_of(folded)
+    assert len(leaves(silver.state_schema)) <= len(silver.keys) + 2 * len(silver.values)
+
+
+def leaves(schema):
+    return [x for f in schema.fields for x in (leaves(f.dataType) if hasattr(f.dataType, "fields") else [f.name])]
+
+
+def test_change_feed_of_many_batches_is_one_pass(spark, scratch):
+    silver = Lake(scratch).silver(CAMERA)
+    for number in range(8):
+        silver.merge_batch(silver_changes(spark, *BATCHES[number % 3]), number)
+    plan = plan_of(silver.read_changes(spark))
+    assert exchanges(plan) == 1 and plan.count("FileScan parquet") == 1

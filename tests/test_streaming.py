@@ -278,3 +278,26 @@ def test_file_names_with_glob_characters_are_ingested_once_each(spark, lake, lan
     run_feeds(spark, lake, {"camera": landing["camera"]}, max_files=1)
     names = [r._source_file_name for r in lake.bronze(CAMERA).read(spark).collect()]
     assert len(names) == 3 and len(set(names)) == 3
+
+
+def test_late_dated_file_is_not_lost(spark, lake, landing):
+    """A copy that keeps old modification times lands after a newer file."""
+    put(landing["camera"], "Camera_Farm_1_Shed_1.csv", HEADER + "1,0,1,1,1,true\n")
+    run_feeds(spark, lake, {"camera": landing["camera"]})
+    late = put(landing["camera"], "Camera_Farm_2_Shed_1.csv", HEADER + "1,0,1,1,1,true\n")
+    moment = os.path.getmtime(late) - 10 * 24 * 3600
+    os.utime(late, (moment, moment))
+    for _ in range(2):
+        run_feeds(spark, lake, {"camera": landing["camera"]})
+    assert sorted(r.FARM_NO for r in lake.silver(CAMERA).read(spark).collect()) == [1, 2]
+
+
+def test_half_written_batch_is_not_streamed(spark, lake, landing):
+    bronze, silver, quarantine = lake.bronze(CAMERA), lake.silver(CAMERA), lake.quarantine(CAMERA)
+    bronze.append_batch(bronze_rows(spark, *BATCHES[0]), 0)
+    bronze_rows(spark, *BATCHES[1]).write.parquet(f"{bronze.data}/{BATCH_ID}=1")
+    upsert_flow(spark, CAMERA, bronze, silver, quarantine).awaitTermination()
+    assert bronze.read(spark).count() == 2 and silver.read(spark).count() == 2
+    bronze.append_batch(bronze_rows(spark, *BATCHES[1]), 1)
+    upsert_flow(spark, CAMERA, bronze, silver, quarantine).awaitTermination()
+    assert bronze.read(spark).count() == 4 and silver.read(spark).count() == 3
