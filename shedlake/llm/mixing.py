@@ -221,7 +221,7 @@ def mix_sources(
         .withColumn("until", F.least(F.lit(block).cast("long"), F.col("start") + F.col("size") - F.col("block") * block))
     )
     mix = (
-        pieces.join(slots, ["number", "block"])
+        pieces.join(slots.hint("merge"), ["number", "block"])  # made from a tiny table, but as many as blocks
         .withColumn("n_words", F.least("until", "take") - F.col("at"))
         .where("n_words > 0")
         .select(
@@ -248,7 +248,7 @@ def slot_texts(documents: DataFrame, placed: DataFrame, mix: DataFrame) -> DataF
     texts = documents.select(
         F.col("doc_id").alias("own_id"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("own_row"), "text"
     ).dropDuplicates(["own_id", "own_row"])
-    named = mix.join(placed.where("size > 0").select("number", "start", "doc_id", "row"), ["number", "start"])
+    named = mix.hint("merge").join(placed.where("size > 0").select("number", "start", "doc_id", "row"), ["number", "start"])
     same = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("row") == F.col("own_row"))
     parts = named.join(texts, same).select("shard", "slot", "at", cut("text", "first_word", "n_words").alias("part"))
     joined = F.array_sort(F.collect_list(F.struct("at", "part")))
@@ -263,6 +263,6 @@ def mix_query(documents: DataFrame, **settings: int) -> DataFrame:
     placed, mix = mix_sources(documents, **settings)
     taken = mix.groupBy(F.col("number").alias("n"), F.col("start").alias("s")).agg(F.sum("n_words").alias("taken"))
     same = (F.col("number") == F.col("n")) & (F.col("start") == F.col("s")) & (F.col("size") > 0)
-    return placed.join(taken, same, "left").select(
+    return placed.join(taken.hint("merge"), same, "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken")
     )
