@@ -357,6 +357,7 @@ def dedup_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK
     least = (
         named.select("node", "component").join(holders, "node").groupBy("component").agg(F.min("least").alias("component_id"))
     )
+    least = stored(least, "vector-components")  # read back, so that the join below can be split at a large component
     told = named.join(least, "component").select("node", "n", "weight", "component_id")
     result = rows.join(told, "node", "left").select(
         "vec_id",

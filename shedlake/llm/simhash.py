@@ -235,6 +235,7 @@ def print_groups(rows: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> D
         "print", "least", F.coalesce("component", "print").alias("group_print")
     )
     least = labelled.groupBy("group_print").agg(F.min("least").alias("component_id"))
+    least = stored(least, "simhash-components")  # read back, so that the join below can be split at a large group
     return labelled.join(least, "group_print").select("print", "group_print", "component_id")
 
 
