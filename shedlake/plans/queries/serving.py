@@ -23,7 +23,9 @@ def serve_gold(spark, sf_dir):
     path = scratch_dir(spark, "serve")
     gold_daily(spark, sf_dir).write.parquet(path)
     spark.read.schema(DAILY_SCHEMA).parquet(path).createOrReplaceTempView(name)
-    return serve_table(spark, name, DAILY_KEYS)
+    rows = serve_table(spark, name, DAILY_KEYS)
+    spark.catalog.dropTempView(name)
+    return rows
 
 
 @query(gold("SELECT * FROM daily"), name="serve_csv_extract")

@@ -31,7 +31,8 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return f"{shared.rstrip('/')}/shedlake/{label}-{uuid.uuid4().hex[:12]}"
