@@ -42,6 +42,16 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+def among_few(key: Column, wanted: int, count: int) -> Column:
+    """True for about three times ``wanted`` of ``count`` rows, chosen by a hash; for all if there are no more.
+
+    Taken before a sort with a limit, it keeps each task from handing over as many rows as the limit.
+    """
+    span = 2**31
+    bar = span if count <= 3 * wanted else -(-3 * wanted * span // count)
+    return F.pmod(F.xxhash64(F.lit("few"), key), F.lit(span)) < F.lit(bar)
+
+
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_class: int) -> list[tuple[str, int]]:
     """Whole texts and labels of at most ``per_class`` documents of either class, the same ones each time.
 
@@ -54,9 +64,11 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_cla
         .agg(F.min(label).alias("low"), F.max(label).alias("high"))
         .where("low = high")
     )
+    counts = {r.high: r.n for r in known.groupBy("high").agg(F.count(F.lit(1)).alias("n")).collect()}
     picked = None
     for value in (0, 1):
-        part = known.where(F.col("high") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        few = known.where((F.col("high") == value) & among_few(F.col("doc_id"), per_class, counts.get(value, 0)))
+        part = few.orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         picked = part if picked is None else picked.union(part)
     ids = picked.select(F.col("doc_id").alias("picked_id"), F.col("high").cast("int").alias("picked_label"))
     rows = (

@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shedlake.llm.common import among_few
+
 SAMPLE_PAGES = 400  # the bound of the training sample: pages of the table
 LAYOUTS = 1500  # generated pages
 PASSES = 10
@@ -398,12 +400,10 @@ def generated_pages(texts: list[str], count: int, seed: int = 17) -> list[list[B
 
 def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, layouts: int = LAYOUTS) -> ExtractionModel:
     """Fit on a bounded, reproducible sample of pages and on generated layouts of their texts."""
+    named = pages.where("html IS NOT NULL").select(F.xxhash64("page_id", "url").alias("order"), "html")
+    few = named.where(among_few(F.col("order"), sample_pages, named.count()))
     sample = (
-        pages.where("html IS NOT NULL")
-        .select("html", F.xxhash64("html").alias("order"))
-        .orderBy("order", "html")
-        .limit(sample_pages)
-        .collect()
+        few.groupBy("order").agg(F.min("html").alias("html")).orderBy("order").limit(sample_pages).collect()
     )
     own = [b for r in sample if (b := labelled_by_article(r.html))]
     texts = [b.text for blocks in own for b in blocks if len(b.text) < 2000][:4000]
