@@ -20,7 +20,7 @@ def _row(values: Sequence[str]) -> Column:
 
 
 def _one_row_per_key(df: DataFrame, keys: Sequence[str], values: Sequence[str], unique: bool, side: str) -> DataFrame:
-    """Rows as (keys, struct of values), failing on a null or repeated key.
+    """Rows as (keys, struct of values); unless ``unique``, failing on a null or repeated key.
 
     The check groups by the join keys, so the join that follows reuses its shuffle, and a key
     repeated without bound is combined before it moves rather than multiplied by the join.
@@ -28,27 +28,41 @@ def _one_row_per_key(df: DataFrame, keys: Sequence[str], values: Sequence[str],
     row = _row(values)
     if unique:
         return df.select(*keys, row.alias(side))
-    complete = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
     return (
         df.groupBy(*keys)
         .agg(F.max(row).alias(side), F.count(F.lit(1)).alias("__rows"))
-        .select(
-            *keys,
-            F.when((F.col("__rows") == 1) & complete, F.col(side))
-            .otherwise(F.raise_error(F.lit(f"{side} snapshot: null or repeated key")))
-            .alias(side),
-        )
+        .select(*keys, F.when(_fine(keys), F.col(side)).otherwise(_complaint(side)).alias(side))
     )
 
 
+def _fine(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys), F.col("__rows") == 1)
+
+
+def _complaint(side: str) -> Column:
+    return F.raise_error(F.lit(f"{side} snapshot: null or repeated key"))
+
+
+def _no_rows_or_error(df: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
+    """Keys of ``df`` that make a query fail: none, or an error. Counts keys by hash and sorts nothing."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    return counted.where(F.when(_fine(keys), False).otherwise(_complaint(side).cast("boolean"))).select(*keys)
+
+
 def _pair(
     old: DataFrame, new: DataFrame, keys: Sequence[str], unique: bool | str, compare: Sequence[str] | None
 ) -> tuple[DataFrame, list[str], Column]:
     """Both versions side by side, the value columns, and the change label of a pair."""
     values = [c for c in new.columns if c not in keys]
-    pairs = _one_row_per_key(old, keys, values, unique in (True, "old"), "old").join(
-        _one_row_per_key(new, keys, values, unique in (True, "new"), "new"), list(keys), "full_outer"
+    checked = [s for s in ("old", "new") if unique is False or unique in ("old", "new") and unique != s]
+    # One side alone cannot multiply rows, so there the join need not wait for the check.
+    first = len(checked) == 2
+    pairs = _one_row_per_key(old, keys, values, not first, "old").join(
+        _one_row_per_key(new, keys, values, not first, "new"), list(keys), "full_outer"
     )
+    if len(checked) == 1:
+        guard = _no_rows_or_error(old if checked == ["old"] else new, keys, checked[0])
+        pairs = pairs.unionByName(guard, allowMissingColumns=True)
     same = reduce(
         lambda a, b: a & b,
         (F.col(f"old.`{c}`").eqNullSafe(F.col(f"new.`{c}`")) for c in (values if compare is None else compare)),

@@ -87,3 +87,17 @@ def test_feed_of_all_versions_collapses_to_the_last(spark, versions):
         step = change_feed(old, new, ["k"], number, stamp())
         feed = step if feed is None else feed.unionByName(step)
     assert rows_of(collapse_change_feed(feed, ["k"])) == sorted(versions[-1].items(), key=repr)
+
+
+@pytest.mark.parametrize("side", ["old", "new"])
+@pytest.mark.parametrize("key", [None, 1])
+def test_the_side_that_is_not_known_unique_is_checked_without_sorting_its_rows(spark, side, key):
+    fine = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    bad = spark.createDataFrame([(1, "a"), (2, "b"), (key, "c")], "k int, v string")
+    known = "new" if side == "old" else "old"
+    pair = (bad, fine) if side == "old" else (fine, bad)
+    with pytest.raises(PySparkException, match=f"{side} snapshot"):
+        snapshot_diff(*pair, ["k"], unique=known).collect()
+    good = snapshot_diff(fine, fine, ["k"], unique=known)
+    assert {r._change_type for r in good.collect()} == {"unchanged"} and good.count() == 2
+    assert "SortAggregate" not in good._jdf.queryExecution().executedPlan().toString()
