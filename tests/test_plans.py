@@ -68,7 +68,7 @@ def test_a_hot_partition_value_is_written_by_several_tasks(spark, scratch):
         spark.conf.set(key, value)
     try:
         silver = Lake(scratch, partition_by=("FARM_NO",)).silver(CAMERA)
-        changes = spark.range(0, 60_000, 1, 8).selectExpr(
+        changes = spark.range(0, 240_000, 1, 8).selectExpr(
             "CAST(CASE WHEN id % 3 > 0 THEN 0 ELSE id % 7 END AS INT) AS FARM_NO", "CAST(id AS INT) AS SHED_NO",
             "CAST(id % 30 AS SMALLINT) AS DAY", "CAST(id % 24 AS SMALLINT) AS HOUR",
             "CAST(id % 100 AS DECIMAL(6,2)) AS BRIGHTNESS", "CAST(id % 90 AS DECIMAL(6,2)) AS BIRD_ACTIVITY",
@@ -81,7 +81,7 @@ def test_a_hot_partition_value_is_written_by_several_tasks(spark, scratch):
             spark.conf.unset(key)
     files = {f: len(glob(spark, f"{silver.deltas}/*/FARM_NO={f}/part-*")) for f in range(7)}
     assert files[0] >= 4 and max(files[f] for f in range(1, 7)) <= 2
-    assert silver.read(spark).count() == 60_000
+    assert silver.read(spark).count() == 240_000
 
 
 @pytest.mark.parametrize("name", ["snapshot_diff", "snapshot_apply", "snapshot_change_feed"])
