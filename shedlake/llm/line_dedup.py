@@ -93,7 +93,10 @@ def _batch_of(occurrences: DataFrame, batches: int) -> DataFrame:
     if low is None:
         return occurrences.withColumn("batch", F.lit(batches - 1))
     width = max(1, -(-(int(high) - int(low) + 1) // batches))
-    number = F.floor((F.lit(int(high)) - F.col("doc_id")) / F.lit(width)).cast("int")
+    # Compared with each border, as differences of ids may not fit a long nor their quotients a double.
+    borders = [border for n in range(1, batches) if (border := int(high) - n * width) >= int(low)]
+    number = sum(((F.col("doc_id") <= F.lit(border).cast("long")).cast("int") for border in borders), F.lit(0))
+    number = F.when(F.col("doc_id").isNotNull(), number)
     return occurrences.withColumn("batch", F.coalesce(number, F.lit(batches - 1)))
 
 

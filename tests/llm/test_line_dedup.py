@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pytest
 from odd import none_of, odd_documents
 from shedlake.llm.line_dedup import LineRuns, dedup_lines, dedup_query, without_repeated_lines
 
@@ -53,6 +54,16 @@ def test_random_rows_whatever_the_batches(spark):
         assert found == wanted
 
 
+@pytest.mark.parametrize("low, high", [(0, 10**18), (0, 2**54 - 1), (0, 2**62), (-(2**62) - 9, 2**62 + 9), (1 - 2**63, 2**63 - 1), (5, 9)])
+def test_ids_spread_over_any_range(spark, low, high):
+    """The line is in five documents, the lowest and the highest id among them."""
+    line = "a line that is long enough to be looked at here"
+    ids = sorted({low, high, *(low + (high - low) * n // 4 for n in range(1, 4))})
+    rows = [(i, f"{line}\nown {i}") for i in ids]
+    assert len(rows) == 5
+    assert result(dedup_query(spark.createDataFrame(rows, "doc_id long, text string"))) == plain(rows)
+
+
 def test_runs_are_levelled_and_name_one_keeper(spark):
     index = LineRuns()
     for n in range(6):
