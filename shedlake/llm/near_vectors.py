@@ -251,16 +251,19 @@ def near_vectors(
 
     def units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame(
-                {"vec_id": batch["vec_id"], "label": batch["label"], "unit": [_unit(v) for v in batch["embedding"]]}
-            )
+            unit = [_unit(v) for v in batch["embedding"]]
+            yield pd.DataFrame({"vec": batch["vec"], "no_id": batch["no_id"], "label": batch["label"], "unit": unit})
 
+    # A null among longs would make doubles of them in pandas, and large ids would be rounded.
     raw = vectors.select(
-        F.col("vec_id").cast("long").alias("vec_id"),
+        F.coalesce(F.col("vec_id").cast("long"), F.lit(0).cast("long")).alias("vec"),
+        F.col("vec_id").cast("long").isNull().alias("no_id"),
         F.col("label").cast("string").alias("label"),
         F.col("embedding").cast("array<double>").alias("embedding"),
     )
-    united = raw.mapInPandas(units, "vec_id long, label string, unit binary")
+    united = raw.mapInPandas(units, "vec long, no_id boolean, label string, unit binary").withColumn(
+        "vec_id", F.when(~F.col("no_id"), F.col("vec"))
+    )
     group = F.concat_ws(":", F.octet_length("unit"), "label")
     usable = F.col("label").isNotNull() & F.col("unit").isNotNull()
     node = F.when(usable, F.sha2(F.concat(F.col("unit"), F.encode(group, "UTF-8")), 256))

@@ -100,3 +100,11 @@ def test_tree_covers_and_halves():
                 look(c)
 
     look(cover_tree(v))
+
+
+def test_large_ids_stay_beside_a_null_id(spark):
+    """9007199254740993 is no double; a null id in its batch must not round it."""
+    near = [1.0, 2.0, 3.0]
+    rows = [(2**53 + 1, near, 0), (2**53 + 2, near, 0), (None, near, 0), (2**60 + 7, [-3.0, 1.0, 0.0], 0), (2**62 + 1, [], 0)]
+    one_batch = frame(spark, rows).coalesce(1)
+    assert result(dedup_vectors(one_batch)) == plain(rows)
