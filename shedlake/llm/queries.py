@@ -10,6 +10,7 @@ from shedlake.llm import (
     chat,
     decontamination,
     extraction,
+    importance,
     line_dedup,
     mixing,
     near_vectors,
@@ -61,6 +62,10 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_query(load(spark, sf_dir, "documents"))
 
 
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample_query(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 _WORDS = r"""regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
@@ -155,6 +160,53 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+# The checksum of each distinct word, byte by byte; the table of single bytes follows from its polynomial.
+IMPORTANCE_SQL = f"""
+WITH bits AS (
+    SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)),
+               lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) AS t(i)
+), stepped AS (
+    SELECT list(c ORDER BY i) AS step FROM bits
+), worded AS (
+    SELECT doc_id, {_WORDS} AS words FROM documents
+), goal AS (
+    SELECT {_WORDS} AS words FROM benchmark
+), distinct_words AS (
+    SELECT DISTINCT word, hex(encode(word)) AS h
+    FROM (SELECT unnest(words) AS word FROM worded UNION ALL SELECT unnest(words) FROM goal)
+), bucketed AS (
+    SELECT word, xor(list_reduce(
+        list_prepend(4294967295::BIGINT,
+            list_transform(range(0, len(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+        lambda c, b: xor(step[xor(c & 255, b) + 1], c >> 8)), 4294967295) % 10000 AS bucket
+    FROM distinct_words, stepped
+), s AS (
+    SELECT bucket, count(*) AS s FROM (SELECT unnest(words) AS word FROM worded) JOIN bucketed USING (word) GROUP BY bucket
+), t AS (
+    SELECT bucket, count(*) AS t FROM (SELECT unnest(words) AS word FROM goal) JOIN bucketed USING (word) GROUP BY bucket
+), sums AS (
+    SELECT coalesce((SELECT sum(s) FROM s), 0)::DOUBLE AS all_s, coalesce((SELECT sum(t) FROM t), 0)::DOUBLE AS all_t
+), gain AS (
+    SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1) * (all_s + 10000)) / ((s + 1) * (all_t + 10000))))::BIGINT AS gain
+    FROM s LEFT JOIN t USING (bucket), sums
+), weighed AS (
+    SELECT doc_id, sum(gain)::BIGINT AS weight
+    FROM (SELECT doc_id, unnest(words) AS word FROM worded) JOIN bucketed USING (word) JOIN gain USING (bucket)
+    GROUP BY doc_id
+), scored AS (
+    SELECT doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+           (coalesce(weight, 0) + floor(-1000 * ln(-ln(
+               (('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score
+    FROM worded LEFT JOIN weighed USING (doc_id)
+), placed AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+    FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN placed USING (doc_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_html_extraction": op2_html_extraction,
@@ -166,6 +218,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_source_mix": op10_source_mix,
+    "op13_importance": op13_importance,
 }
 
 ORACLES: dict[str, str] = {
@@ -173,4 +226,5 @@ ORACLES: dict[str, str] = {
     "op4_near_vectors": NEAR_VECTORS_SQL,
     "op5_chat_format": CHAT_SQL,
     "op7_line_dedup": LINE_DEDUP_SQL,
+    "op13_importance": IMPORTANCE_SQL,
 }

@@ -15,7 +15,7 @@ def duck(sf_dir):
 
 
 def test_one_query_for_each_operator():
-    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert {*QUERIES, "pipeline"} <= set(entry_points.queries())
 
 
