@@ -17,6 +17,7 @@ from shedlake.llm import (
     quality,
     simhash,
     substrings,
+    token_counts,
     toxicity,
 )
 from shedlake.llm.common import load
@@ -62,6 +63,12 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_query(load(spark, sf_dir, "documents"))
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count_tokens(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample_query(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
@@ -218,6 +225,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_source_mix": op10_source_mix,
+    "op12_token_counts": op12_token_counts,
     "op13_importance": op13_importance,
 }
 

@@ -6,7 +6,7 @@ from shedlake.llm.queries import ORACLES, QUERIES
 
 import __spark_entry__ as entry_points
 
-ROWS_OF = {"op1_quality": "documents", "op2_html_extraction": "pages", "op6_simhash_dedup": "documents", "op8_toxicity": "documents", "op10_source_mix": "documents"}
+ROWS_OF = {"op1_quality": "documents", "op2_html_extraction": "pages", "op6_simhash_dedup": "documents", "op8_toxicity": "documents", "op10_source_mix": "documents", "op12_token_counts": "documents"}
 
 
 @pytest.fixture(scope="module")
