@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shedlake.llm import (
     chat,
+    collocations,
     decontamination,
     extraction,
     importance,
@@ -63,6 +64,10 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_query(load(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(load(spark, sf_dir, "documents"))
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -167,6 +172,44 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+COLLOCATIONS_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), worded AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+    SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang
+), runs AS (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+    FROM worded, range(1, 6) AS t(k) WHERE len(w) >= k
+), counts AS (
+    SELECT lang, k, phrase, count(*) AS n FROM runs GROUP BY lang, k, phrase HAVING count(*) >= 100
+), often AS (
+    SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1
+), inside AS (
+    SELECT lang, part, max(a) AS most FROM (
+        SELECT lang, a, unnest(flatten(list_transform(range(2, k), lambda size: list_transform(
+            range(1, k - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))))) AS part
+        FROM often
+    ) GROUP BY lang, part
+), cuts AS (
+    SELECT often.*, unnest(range(1, k)) AS cut FROM often LEFT JOIN inside ON often.lang = inside.lang AND phrase = part
+    WHERE coalesce(100 * most, 0) < 100 * a
+), scored AS (
+    SELECT c.lang, c.phrase, c.a, c.cut, x.n AS l, y.n AS r, t.n,
+           ((1000::HUGEINT * c.a * t.n) // (x.n::HUGEINT * y.n))::BIGINT AS score
+    FROM cuts c JOIN totals t ON c.lang = t.lang
+    JOIN counts x ON c.lang = x.lang AND array_to_string(c.w[1:c.cut], ' ') = x.phrase
+    JOIN counts y ON c.lang = y.lang AND array_to_string(c.w[c.cut + 1:], ' ') = y.phrase
+), least AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM least QUALIFY rank <= 2000
+"""
+
 # The checksum of each distinct word, byte by byte; the table of single bytes follows from its polynomial.
 IMPORTANCE_SQL = f"""
 WITH bits AS (
@@ -225,6 +268,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_source_mix": op10_source_mix,
+    "op11_collocations": op11_collocations,
     "op12_token_counts": op12_token_counts,
     "op13_importance": op13_importance,
 }
@@ -234,5 +278,6 @@ ORACLES: dict[str, str] = {
     "op4_near_vectors": NEAR_VECTORS_SQL,
     "op5_chat_format": CHAT_SQL,
     "op7_line_dedup": LINE_DEDUP_SQL,
+    "op11_collocations": COLLOCATIONS_SQL,
     "op13_importance": IMPORTANCE_SQL,
 }

@@ -1,0 +1,116 @@
+"""Stripes against plain counting, and the phrases against a plain restatement of the contract."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from odd import none_of, odd_documents
+from shedlake.llm import collocations as module
+from shedlake.llm.collocations import collocations, phrase_counts
+from shedlake.llm.common import load
+
+
+def plain_counts(rows, most):
+    counts, totals = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\n-\r]", low):
+            words = re.findall(r"[^ \t]+", piece)
+            totals[lang] += len(words)
+            for k in range(1, most + 1):
+                counts[lang].update(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+    return counts, totals
+
+
+def plain(rows, most=5, least=100, first=2000):
+    counts, totals = plain_counts(rows, most)
+    out = []
+    for lang, found in counts.items():
+        often = {p: a for p, a in found.items() if len(p) > 1 and a >= least}
+        inside = defaultdict(int)
+        for p, a in often.items():
+            for size in range(2, len(p)):
+                for i in range(len(p) - size + 1):
+                    inside[p[i : i + size]] = max(inside[p[i : i + size]], a)
+        scored = []
+        for p, a in often.items():
+            if inside[p] >= a:
+                continue
+            score, _, l, r = min((1000 * a * totals[lang] // (found[p[:k]] * found[p[k:]]), k, found[p[:k]], found[p[k:]]) for k in range(1, len(p)))
+            scored.append((score, a, " ".join(p), l, r))
+        scored.sort(key=lambda s: (-s[0], -s[1], s[2].encode()))
+        out += [(lang, n, p, a, l, r, totals[lang], score) for n, (score, a, p, l, r) in enumerate(scored[:first], 1)]
+    return sorted(out)
+
+
+def rows_of(df):
+    return [(r.lang, r.text) for r in df.select("lang", "text").collect()]
+
+
+def result(df):
+    return sorted(tuple(r) for r in df.select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect())
+
+
+def random_rows(seed, size):
+    chosen = random.Random(seed)
+    words = ["a", "B", "c", "new", "York", "city", "x1", "é", "漢字", "the"]
+    gaps = [" ", " ", " ", "  ", "\t", ". ", ",", "\n", " ! ", "\r\n"]
+    phrases = ["new york city hall", "the new york", "x1 x1 x1", "a b c a b c"]
+    rows = []
+    for _ in range(size):
+        parts = [chosen.choice(phrases if chosen.random() < 0.3 else words) + chosen.choice(gaps) for _ in range(chosen.randrange(30))]
+        rows.append((chosen.choice(["en", "de", None, "und"]), "".join(parts)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_texts_follow_the_contract(spark, seed):
+    rows = random_rows(seed, 400)
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    for least, first in ((20, 2000), (5, 7)):
+        assert result(collocations(docs, least_count=least, first=first)) == plain(rows, least=least, first=first)
+
+
+def test_small_blocks_and_a_small_table_change_nothing(spark, monkeypatch):
+    rows = random_rows(3, 200)
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    monkeypatch.setattr(module, "BLOCK_WORDS", 50)
+    wanted = plain(rows, least=5)
+    assert result(collocations(docs, least_count=5)) == wanted
+    monkeypatch.setattr(module, "_pair_table", lambda pairs, bits: module.np.full(bits // 8, 255, module.np.uint8))
+    assert result(collocations(docs, least_count=5, table_bits=32_768)) == wanted
+
+
+def test_every_frequent_phrase_is_counted(spark):
+    rows = random_rows(4, 200)
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    counts, totals = plain_counts(rows, 4)
+    wanted = {(lang, " ".join(p)): n for lang, found in counts.items() for p, n in found.items() if n >= 3}
+    found = phrase_counts(docs, most_words=4, least_count=3).collect()
+    told = {(r.lang, f"{r.prefix} {r.next}" if r.prefix else r.next): r.n for r in found if r.next is not None}
+    assert told == wanted
+    assert {r.lang: r.n for r in found if r.next is None} == dict(totals)
+
+
+def test_all_documents(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents")
+    assert result(collocations(docs)) == plain(rows_of(docs))
+    assert result(collocations(docs, most_words=3, least_count=10)) == plain(rows_of(docs), 3, 10)
+
+
+def test_counts_beyond_64_bits(spark):
+    """1000 a n passes 2^63 where a and n do not."""
+    a, n, l, r = 9 * 10**12, 10**15, 10**13, 9 * 10**12
+    row = spark.sql(f"SELECT {a}L AS a, {n}L AS total, {l}L AS l, {r}L AS r")
+    expr = "(CAST(a AS DECIMAL(18, 0)) * CAST(total AS DECIMAL(17, 0)) * 1000) div (CAST(l AS DECIMAL(18, 0)) * CAST(r AS DECIMAL(18, 0)))"
+    assert row.selectExpr(f"{expr} AS s").first().s == 1000 * a * n // (l * r)
+
+
+def test_odd_rows(spark):
+    docs = odd_documents(spark)
+    assert result(collocations(docs, least_count=2)) == plain(rows_of(docs), least=2)
+    assert result(collocations(none_of(docs))) == []
+    empty = spark.createDataFrame([(None, None), ("en", ""), ("en", " .. ")], "lang string, text string")
+    assert result(collocations(empty, least_count=1)) == []
