@@ -30,8 +30,8 @@ LIMIT = 512  # tokens above which a text is marked
 CHUNK = 256  # characters of a chunk
 SLICE = 1_000_000  # characters whose chunks are worked out side by side
 ENOUGH = 32  # last characters of a chunk, which mostly decide in which state it is left
-MEMO = 400_000  # pieces that a worker remembers; beyond it starts anew
-MEMO_STATES = 100_000  # states that it remembers
+MEMO = 600_000  # pieces that a worker remembers; beyond it starts anew
+MEMO_STATES = 400_000  # states that it remembers
 NEVER = 1 << 60  # above all ranks
 LONG_PIECE = 64  # characters; longer pieces are not remembered
 LARGEST_FILE = 64 << 20  # bytes of a tokenizer file that is still broadcast
@@ -305,17 +305,17 @@ class Counter:
         starts, stops = starts[:-1], starts[1:]
         real = kinds[starts] != END
         starts, stops = starts[real], stops[real]
-        known, count, found = self.known, self.machine.count, []
-        for a, z in zip(starts.tolist(), stops.tolist(), strict=True):
-            piece = joined[a:z]
-            n = known.get(piece)
-            if n is None:
-                n = count(piece.encode())
-                if z - a <= LONG_PIECE:
-                    known[piece] = n
-            found.append(n)
-        if len(known) > MEMO:
-            known.clear()
+        pieces = [joined[a:z] for a, z in zip(starts.tolist(), stops.tolist(), strict=True)]
+        found, long = list(map(self.known.get, pieces)), []
+        for piece in {p for p, n in zip(pieces, found, strict=True) if n is None}:
+            self.known[piece] = self.machine.count(piece.encode())
+            long += [piece] if len(piece) > LONG_PIECE else []
+        if None in found:
+            found = list(map(self.known.__getitem__, pieces))
+        for piece in long:
+            del self.known[piece]
+        if len(self.known) > MEMO:
+            self.known.clear()
         text_of = np.array(owner, np.int64)[np.searchsorted(ends, starts)]
         totals += np.bincount(text_of, weights=found, minlength=len(texts)).astype(np.int64) if found else 0
         return totals.tolist()
