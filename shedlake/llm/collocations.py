@@ -6,9 +6,10 @@ all that is needed: the counts of extensions (a phrase is its prefix and a word)
 (the entry of the prefix itself in a shorter one's stripe; the empty prefix has all single words), and,
 by the greatest extension on either side, which phrases a longer one takes in whole.
 
-A stripe is dealt out in parts by the word that follows, so that a frequent prefix is not one task's.
-Longer phrases are counted only where all their pairs of words may be frequent, which a bit table of
-fixed size, made from the frequent pairs, tells: it errs on one side only and the counts stay exact.
+The stripe of a word that is a thousandth of all words or more is dealt out in parts, by the word that
+follows, so that it is not one task's. Pairs are counted only of words that may be frequent, and longer
+phrases only where all their pairs may be, which bit tables of fixed size tell: they err on one side
+only, and the counts stay exact.
 """
 
 from __future__ import annotations
@@ -30,9 +31,10 @@ from shedlake.llm.common import stored
 MOST_WORDS = 5  # words of a phrase
 LEAST_COUNT = 100  # times that a phrase must occur
 FIRST = 2000  # phrases told of each language
-TABLE_BITS = 1 << 24  # of the table of frequent pairs, 2 MB
-BLOCK_WORDS = 2_000_000  # words whose stripes a task gathers before it hands them over
-PARTS = 32  # parts of a stripe; the empty prefix's has PARTS * PARTS
+TABLE_BITS = 1 << 24  # of the tables of frequent words and pairs, 2 MB each
+BLOCK_WORDS = 4_000_000  # words whose stripes a task gathers before it hands them over
+PARTS = 64  # parts of a frequent word's stripe; the empty prefix's has PARTS * PARTS
+HOT_SHARE = 1000  # a word is dealt out in parts from this fraction of all words on, so there are no more such words
 SALTS = 64  # tasks that look for a language's first phrases
 
 _BITS_OF_BUCKET = 32_768  # fixed value: bits in a bucket of Spark's bitmap functions
@@ -89,6 +91,10 @@ def _pair_bits(lang: str, left: np.ndarray, right: np.ndarray, bits: int) -> np.
     return ((mixed ^ (mixed >> np.uint64(32))) % np.uint64(bits)).astype(np.int64)
 
 
+def _within(table: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    return (table[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+
+
 def _part(words: np.ndarray, parts: int) -> np.ndarray:
     return (words % np.uint64(parts)).astype(np.int32)
 
@@ -110,15 +116,15 @@ def _stripes(lang: str, size: int, prefixes: pa.Array, parts: np.ndarray, next_:
     )
 
 
-def _short_stripes(block: _Block) -> Iterator[pa.RecordBatch]:
-    """Stripes of the empty prefix and of single words."""
+def _single_stripes(block: _Block) -> Iterator[pa.RecordBatch]:
+    """Stripes of the empty prefix."""
     names, hashes = pa.array(block.words(), pa.string()), block.hashes()
     for lang, pieces in block.numbers.items():
         numbers = np.concatenate(pieces)
-        singles = numbers[numbers != _BREAK]
-        if not len(singles):
+        numbers = numbers[numbers != _BREAK]
+        if not len(numbers):
             continue
-        counts = np.bincount(singles, minlength=len(names))
+        counts = np.bincount(numbers, minlength=len(names))
         found = np.flatnonzero(counts)
         part = _part(hashes[found], PARTS * PARTS)
         order = np.argsort(part, kind="stable")
@@ -127,19 +133,30 @@ def _short_stripes(block: _Block) -> Iterator[pa.RecordBatch]:
         yield _stripes(lang, 1, empty, part, names.take(pa.array(found)), counts[found], part)
         # All words of the block, as the entry without a word.
         nothing = pa.array([""], pa.string()), np.zeros(1, np.int32), pa.array([None], pa.string())
-        yield _stripes(lang, 1, *nothing, np.array([len(singles)]), np.zeros(1))
-        left, right = numbers[:-1], numbers[1:]
-        both = (left != _BREAK) & (right != _BREAK)
-        left, right = left[both], right[both]
-        # Sorted by prefix, part and word at once.
-        rank = np.empty(len(names), np.int64)
-        by_part = np.argsort(_part(hashes, PARTS), kind="stable")
-        rank[by_part] = np.arange(len(names))
-        pairs, n = np.unique(left * len(names) + rank[right], return_counts=True, sorted=True)
-        if len(pairs):
-            left, right = pairs // len(names), by_part[pairs % len(names)]
-            part = _part(hashes[right], PARTS)
-            yield _stripes(lang, 2, names.take(pa.array(left)), part, names.take(pa.array(right)), n, left * PARTS + part)
+        yield _stripes(lang, 1, *nothing, np.array([len(numbers)]), np.zeros(1))
+
+
+def _pair_stripes(block: _Block, table: np.ndarray, hot: set[tuple[str, str]]) -> Iterator[pa.RecordBatch]:
+    """Stripes of the prefixes of one word, of words that may be frequent."""
+    plain, hashes = block.words(), block.hashes()
+    names = pa.array(plain, pa.string())
+    by_part = np.argsort(_part(hashes, PARTS), kind="stable")
+    rank = np.empty(len(plain), np.int64)  # sorts by part and word at once
+    rank[by_part] = np.arange(len(plain))
+    for lang, pieces in block.numbers.items():
+        numbers = np.concatenate(pieces)
+        often = _within(table, _pair_bits(lang, hashes, np.zeros_like(hashes), len(table) * 8))
+        often[_BREAK] = False
+        fits = often[numbers]
+        both = fits[:-1] & fits[1:]
+        left, right = numbers[:-1][both], numbers[1:][both]
+        if not len(left):
+            continue
+        pairs, n = np.unique(left * len(plain) + rank[right], return_counts=True, sorted=True)
+        left, right = pairs // len(plain), by_part[pairs % len(plain)]
+        dealt = np.array([(lang, word) in hot for word in plain])
+        part = np.where(dealt[left], _part(hashes[right], PARTS), 0).astype(np.int32)
+        yield _stripes(lang, 2, names.take(pa.array(left)), part, names.take(pa.array(right)), n, left * PARTS + part)
 
 
 def _long_stripes(block: _Block, most: int, table: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -150,7 +167,7 @@ def _long_stripes(block: _Block, most: int, table: np.ndarray) -> Iterator[pa.Re
         if len(numbers) < 3:
             continue
         bit = _pair_bits(lang, hashes[numbers[:-1]], hashes[numbers[1:]], len(table) * 8)
-        fits = (table[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+        fits = _within(table, bit)
         fits &= (numbers[:-1] != _BREAK) & (numbers[1:] != _BREAK)
         names = names if names is not None else pa.array(plain, pa.string())
         prefix, at = numbers, np.arange(len(numbers))  # the number of the prefix at each place
@@ -166,11 +183,10 @@ def _long_stripes(block: _Block, most: int, table: np.ndarray) -> Iterator[pa.Re
             texts = [f"{texts[k // len(plain)]} {plain[k % len(plain)]}" for k in distinct.tolist()]
             last = numbers[at + size - 1]
             part = _part(hashes[last], PARTS)
-            entries, first, n = np.unique((inverse * PARTS + part) * len(plain) + last, return_index=True, return_counts=True)
-            owner = entries // len(plain)
-            yield _stripes(
-                lang, size, pa.array(texts, pa.string()).take(pa.array(owner // PARTS)), part[first], names.take(pa.array(last[first])), n, owner
-            )
+            entries, n = np.unique((inverse * PARTS + part) * len(plain) + last, return_counts=True, sorted=True)
+            owner, last = entries // len(plain), entries % len(plain)
+            prefixes = pa.array(texts, pa.string()).take(pa.array(owner // PARTS))
+            yield _stripes(lang, size, prefixes, (owner % PARTS).astype(np.int32), names.take(pa.array(last)), n, owner)
             prefix = np.zeros(len(numbers), np.int64)
             prefix[at] = inverse
 
@@ -203,19 +219,20 @@ def _merged(stripes: DataFrame, least_count: int) -> DataFrame:
     )
 
 
-def _pair_table(pairs: DataFrame, bits: int) -> np.ndarray:
-    """Bits of the frequent pairs. The table has a fixed size, however many pairs there are."""
+def _bit_table(entries: DataFrame, bits: int) -> np.ndarray:
+    """Bits of frequent words or pairs. The table has a fixed size, however many there are."""
 
     def bits_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                lang, left, right = (batch.column(c).to_pylist() for c in range(3))
-                hashed = [np.array([xxhash.xxh64_intdigest(w) for w in side], np.uint64) for side in (left, right)]
-                out = [int(_pair_bits(a, b, c, bits)[0]) for a, b, c in zip(lang, hashed[0][:, None], hashed[1][:, None], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], ["bit"])
-
-    found = pairs.select("lang", "prefix", "next").mapInArrow(bits_of, "bit long")
-    rows = found.groupBy((F.col("bit") / _BITS_OF_BUCKET).cast("int").alias("bucket")).agg(
+            out = []
+            for lang, prefix, next_ in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+                words = (prefix, next_) if prefix else (next_, None)  # a word alone: paired with a hash of 0
+                hashes = [np.array([0 if w is None else xxhash.xxh64_intdigest(w)], np.uint64) for w in words]
+                out.append(int(_pair_bits(lang, *hashes, bits)[0]))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], ["bit"])
+
+    found = entries.where("next IS NOT NULL").select("lang", "prefix", "next").mapInArrow(bits_of, "bit long")
+    rows = found.groupBy(F.floor(F.col("bit") / _BITS_OF_BUCKET).alias("bucket")).agg(
         F.bitmap_construct_agg(F.col("bit") % _BITS_OF_BUCKET).alias("bits")
     )
     table = np.zeros(bits // 8, np.uint8)
@@ -235,13 +252,24 @@ def phrase_counts(
     """
     if table_bits % _BITS_OF_BUCKET:
         raise ValueError(f"table_bits must be a multiple of {_BITS_OF_BUCKET}")
-    short = stored(_merged(_gathered(documents, _short_stripes), least_count), "short-stripes")
-    table = documents.sparkSession.sparkContext.broadcast(_pair_table(short.where("size = 2"), table_bits))
+    context = documents.sparkSession.sparkContext
+    singles = stored(_merged(_gathered(documents, _single_stripes), least_count), "single-stripes")
+    words = context.broadcast(_bit_table(singles, table_bits))
+    total = singles.where("next IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # HOT_SHARE words at most
+    hot = {(r.lang, r.next) for r in singles.where(F.col("next").isNotNull() & (F.col("n") * HOT_SHARE >= total)).collect()}
+
+    def pairs_told(block: _Block) -> Iterator[pa.RecordBatch]:
+        return _pair_stripes(block, words.value, hot)
+
+    pairs = stored(_merged(_gathered(documents, pairs_told), least_count), "pair-stripes")
+    table = context.broadcast(_bit_table(pairs, table_bits))
 
-    def told(block: _Block) -> Iterator[pa.RecordBatch]:
+    def longer_told(block: _Block) -> Iterator[pa.RecordBatch]:
         return _long_stripes(block, most_words, table.value)
 
-    return short.unionByName(stored(_merged(_gathered(documents, told), least_count), "long-stripes"))
+    longer = stored(_merged(_gathered(documents, longer_told), least_count), "long-stripes")
+    return singles.unionByName(pairs).unionByName(longer)
 
 
 def collocations(

@@ -79,7 +79,9 @@ def test_small_blocks_and_a_small_table_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(module, "BLOCK_WORDS", 50)
     wanted = plain(rows, least=5)
     assert result(collocations(docs, least_count=5)) == wanted
-    monkeypatch.setattr(module, "_pair_table", lambda pairs, bits: module.np.full(bits // 8, 255, module.np.uint8))
+    monkeypatch.setattr(module, "HOT_SHARE", 4)
+    assert result(collocations(docs, least_count=5)) == wanted
+    monkeypatch.setattr(module, "_bit_table", lambda entries, bits: module.np.full(bits // 8, 255, module.np.uint8))
     assert result(collocations(docs, least_count=5, table_bits=32_768)) == wanted
 
 
