@@ -8,10 +8,11 @@ own header: a streaming CSV scan would map columns by position.
 from __future__ import annotations
 
 import csv
+import json
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from shedlake.contracts import OPERATIONAL, FeedContract
 from shedlake.functions.columns import fitted, quoted, stamp_operational
 from shedlake.functions.headers import sanitize_headers
 from shedlake.functions.rescue import CORRUPT, rescue
-from shedlake.sources.paths import literal, same_file
+from shedlake.sources.paths import first_line, glob, literal, put_text
 
 FILE_LISTING = "path string, modificationTime timestamp, length long, content binary"
 # The file source forgets files that are this much older than the newest one, and then ignores them;
@@ -29,6 +30,7 @@ FILE_LISTING = "path string, modificationTime timestamp, length long, content bi
 # keeps the name of every file it has seen.
 NEVER_TOO_OLD = "36500d"
 IN_FILE = "_in_file"
+OPEN_FILES = 16  # files whose first lines are read at once
 # Candidate types of a column, the narrowest first; text is what is left.
 INFERRED_TYPES = (T.IntegerType(), T.LongType(), T.DoubleType(), T.TimestampType(), T.BooleanType())
 
@@ -60,28 +62,54 @@ def new_files_stream(
 
 
 def header_groups(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by header, from one distributed scan for the first line of each, however many they are.
+    """Files by header. Of each file only its first line is read, and no job is run.
 
-    Only a path and a header line per file reach the driver, which has the paths already.
+    Files without a line are in no group. The paths are those of one batch, so there are not many.
     """
-    if not paths:
-        return {}
-    lines = spark.read.text([literal(p) for p in paths])
-    first = (
-        lines.where((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
-        .select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("place"))
-        .groupBy("path")
-        .agg(F.min_by("value", "place").alias("line"))
-    )
-    path_of = {same_file(p): p for p in paths}
-    names: dict[str, tuple[str, ...]] = {}
     groups = defaultdict(list)
-    for row in sorted(first.collect()):
-        if row.line not in names:
-            names[row.line] = header_names(row.line)
-        host, below = same_file(unquote(row.path))
-        groups[names[row.line]].append(path_of.get((host, below)) or path_of["", below])
-    return dict(groups)
+    with ThreadPoolExecutor(OPEN_FILES) as pool:
+        for path, line in zip(paths, pool.map(lambda p: first_line(spark, p), paths), strict=True):
+            if line is not None:
+                groups[header_names(line)].append(path)
+    return dict(sorted(groups.items(), key=lambda group: group[1]))
+
+
+class HeaderBook:
+    """Headers that the files of a stream have come under, kept beside it.
+
+    As long as there has been one header only, the next batch is read under it with header checking
+    on, and no file is looked at beforehand. Once there are several, the first lines of a batch's files
+    are read, as they are where the check fails.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark, self.folder = spark, folder
+        kept = (first_line(spark, path) for path in glob(spark, f"{folder}/*.json"))
+        self.known = {tuple(header) for line in kept for header in json.loads(line)}
+
+    def learn(self, headers: Iterable[tuple[str, ...]], batch_id: int) -> None:
+        fresh = sorted(set(headers) - self.known)
+        if fresh:
+            put_text(self.spark, self.folder, f"{batch_id}.json", json.dumps(fresh))
+            self.known.update(fresh)
+
+    def expected(self) -> tuple[str, ...] | None:
+        """The one header so far, if Spark's check takes it as it stands in the files."""
+        if len(self.known) != 1:
+            return None
+        (header,) = self.known
+        as_is = all(c == c.strip() and c.lower() not in (*OPERATIONAL, CORRUPT) for c in header)
+        return header if as_is else None
+
+
+def header_mismatch(error: Exception) -> bool:
+    """Whether Spark's check of CSV headers has failed, in whatever task or write."""
+    cause = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    while cause is not None:
+        if "CSV header" in cause.toString():
+            return True
+        cause = cause.getCause()
+    return "CSV header" in str(error)
 
 
 def header_names(line: str) -> tuple[str, ...]:
@@ -93,9 +121,13 @@ def header_names(line: str) -> tuple[str, ...]:
     )
 
 
-def read_csv_group(spark: SparkSession, header: Sequence[str], paths: Sequence[str]) -> DataFrame:
+def read_csv_group(
+    spark: SparkSession, header: Sequence[str], paths: Sequence[str], checked: bool = False
+) -> DataFrame:
     """All values of files that share one header, as text, with cleaned column names.
 
+    If ``checked``, reading fails on a file with another header, letter case aside (``header_mismatch``).
+
     Records with more fields than the header keep their whole line in an extra column; a record
     with fewer fields has nulls and loses nothing. A header that is the name of an operational
     column, or of that extra one, is set apart from it. Files stay splittable, so one large file is
@@ -107,6 +139,7 @@ def read_csv_group(spark: SparkSession, header: Sequence[str], paths: Sequence[s
         spark.read.schema(schema)
         .option("header", True)
         .option("sep", ",")
+        .option("enforceSchema", not checked)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv([literal(p) for p in paths])
     )
@@ -119,14 +152,18 @@ def read_files(
     paths: Sequence[str],
     contract: FeedContract,
     processing_time: Column | None = None,
+    groups: Mapping[tuple[str, ...], Sequence[str]] | None = None,
+    checked: bool = False,
 ) -> DataFrame:
     """Bronze rows of the given files, in the bronze schema of the contract.
 
-    One scan per distinct header, however many files there are.
+    One scan per distinct header, however many files there are. ``groups`` has the files by header
+    where that is known already.
     """
+    found = header_groups(spark, paths) if groups is None else groups
     frames = [
-        rescue(stamp_operational(read_csv_group(spark, header, files), processing_time), contract)
-        for header, files in header_groups(spark, paths).items()
+        rescue(stamp_operational(read_csv_group(spark, header, files, checked), processing_time), contract)
+        for header, files in found.items()
     ]
     if not frames:
         return spark.createDataFrame([], contract.bronze_schema())

@@ -29,14 +29,47 @@ def modified_at(spark: SparkSession, path: str) -> int:
 
 
 def put_name(spark: SparkSession, folder: str, name: str) -> None:
-    """Make a small file whose name is all it says; it is there at once and whole, or not at all."""
+    """Make a small file whose name is all it says."""
+    put_text(spark, folder, name, name)
+
+
+def put_text(spark: SparkSession, folder: str, name: str, text: str) -> None:
+    """Make a small text file, which is there at once and whole, or not at all."""
     fs, hidden = _open(spark, f"{folder}/_{name}")
     out = fs.create(hidden, True)
-    out.write(bytearray(name, "utf-8"))
+    out.write(bytearray(text, "utf-8"))
     out.close()
     rename(spark, f"{folder}/_{name}", f"{folder}/{name}")
 
 
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file that is not blank; what comes after it is not read."""
+    jvm = spark.sparkContext._jvm
+    fs, hadoop_path = _open(spark, path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(fs.getConf()).getCodec(hadoop_path)
+    stream = fs.open(hadoop_path)
+    reader = jvm.java.io.BufferedReader(
+        jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8")
+    )
+    try:
+        line = reader.readLine()
+        while line is not None and not line.strip():
+            line = reader.readLine()
+        return line
+    finally:
+        reader.close()
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _open(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _open(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def set_modified(spark: SparkSession, path: str, millis: int) -> None:
     fs, hadoop_path = _open(spark, path)
     fs.setTimes(hadoop_path, millis, -1)
@@ -50,15 +83,6 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot rename {source} to {target}")
 
 
-def same_file(path: str) -> tuple[str, str]:
-    """What spellings of a file's name agree in: with or without a scheme, of a local file or not."""
-    scheme, separator, rest = path.partition(":/")
-    if not separator:
-        return "", path
-    host, slash, below = rest.removeprefix("/").partition("/") if rest.startswith("/") else ("", "/", rest)
-    return ("" if scheme == "file" else f"{scheme}://{host}"), slash + below
-
-
 def literal(path: str) -> str:
     """``path`` spelled so that readers do not take its characters for a glob."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shedlake.contracts import FeedContract
 from shedlake.functions.columns import incomplete_key, split_quarantine, standardize
-from shedlake.sources.landing import new_files_stream, read_files
+from shedlake.sources.landing import HeaderBook, header_groups, header_mismatch, new_files_stream, read_files
 from shedlake.sources.paths import exists
 from shedlake.sources.tables import BATCH_ID
 from shedlake.streaming.targets import AppendTarget, KeyedTarget
@@ -53,11 +54,25 @@ def append_flow(
         files = {row.path: row.length for row in listing.collect()}
         if not files:
             return
-        rows = read_files(spark, sorted(files), contract, processing_time)
-        enough = 1 + sum(files.values()) // bytes_per_task
-        bronze.append_batch(rows.coalesce(enough) if enough < len(files) else rows, batch_id)
+        paths, enough = sorted(files), 1 + sum(files.values()) // bytes_per_task
+
+        def append(groups: dict[tuple[str, ...], list[str]], checked: bool) -> None:
+            rows = read_files(spark, paths, contract, processing_time, groups, checked)
+            bronze.append_batch(rows.coalesce(enough) if enough < len(files) else rows, batch_id)
+
+        header = book.expected()
+        if header is not None:
+            try:
+                return append({header: paths}, True)
+            except (PySparkException, Py4JJavaError) as error:  # nothing has been committed
+                if not header_mismatch(error):
+                    raise
+        groups = header_groups(spark, paths)
+        book.learn(groups, batch_id)
+        append(groups, False)
 
     _check_start(spark, bronze)
+    book = HeaderBook(spark, f"{bronze.path}/headers")
     listing = new_files_stream(spark, landing, contract.glob, max_files or contract.max_files, clean_source)
     return (
         listing.writeStream.option("checkpointLocation", bronze.checkpoint)

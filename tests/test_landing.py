@@ -4,7 +4,7 @@ import os
 import pytest
 
 from shedlake.contracts import CAMERA, ENVIRONMENTAL
-from shedlake.sources.landing import header_groups, header_names, infer_feed_schema, read_files
+from shedlake.sources.landing import HeaderBook, header_groups, header_mismatch, header_names, infer_feed_schema, read_files
 
 HEADER = "DAY,HOUR,BRIGHTNESS,BIRD_ACTIVITY,SOUND_LEVEL,CAMERA_OPERATIONAL\n"
 
@@ -88,13 +88,49 @@ def test_header_names():
     assert header_names("\ufeffDAY,HOUR") == ("DAY", "HOUR")
 
 
-def test_one_job_finds_the_headers_of_many_files(spark, scratch):
+def test_no_job_finds_the_headers_of_many_files(spark, scratch):
     paths = [put(scratch, f"file {n}%20.csv", f"DAY,HOUR,C{n % 2}\n1,2,3\n") for n in range(60)]
     spark.sparkContext.setJobGroup("headers", "")
     groups = header_groups(spark, paths)
     jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("headers")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    assert sorted(map(len, groups.values())) == [30, 30] and len(jobs) <= 3
+    assert sorted(map(len, groups.values())) == [30, 30] and len(jobs) == 0
+
+
+def test_first_lines_are_found_below_blank_ones_and_in_compressed_files(spark, scratch):
+    import gzip
+
+    blank = put(scratch, "blank.csv", "\n  \nDAY,HOUR\n1,2\n")
+    packed = f"{scratch}/packed.csv.gz"
+    with gzip.open(packed, "wt") as file:
+        file.write("DAY,H\u00d6HE\n1,2\n")
+    assert header_groups(spark, [blank, packed, put(scratch, "none.csv", " \n")]) == {("DAY", "HOUR"): [blank], ("DAY", "H\u00d6HE"): [packed]}
+
+
+def test_a_checked_scan_refuses_other_headers(spark, scratch):
+    same = put(scratch, "Camera_Farm_1_Shed_1.csv", "DAY,HOUR\n1,2\n")
+    for n, other in enumerate(("HOUR,DAY\n1,2\n", "DAY\n1\n", "DAY,HOUR,X\n1,2,3\n")):
+        path = put(scratch, f"Camera_Farm_2_Shed_{n}.csv", other)
+        rows = read_files(spark, [], CAMERA, groups={("DAY", "HOUR"): [same, path]}, checked=True)
+        with pytest.raises(Exception) as failure:
+            rows.collect()
+        assert header_mismatch(failure.value)
+    assert read_files(spark, [], CAMERA, groups={("DAY", "HOUR"): [same]}, checked=True).first().HOUR == "2"
+
+
+def test_headers_are_kept_with_the_stream(spark, scratch):
+    book = HeaderBook(spark, f"{scratch}/headers")
+    assert book.expected() is None
+    book.learn([("DAY", "a \u00fc")], 0)
+    assert HeaderBook(spark, f"{scratch}/headers").expected() == ("DAY", "a \u00fc")
+    book.learn([("DAY", "a \u00fc")], 1)
+    book.learn([("HOUR",), ("DAY", "a \u00fc")], 2)
+    again = HeaderBook(spark, f"{scratch}/headers")
+    assert again.known == {("DAY", "a \u00fc"), ("HOUR",)} and again.expected() is None
+    for odd in ((" DAY",), ("_rescued_data",)):
+        book = HeaderBook(spark, f"{scratch}/{odd[0].strip()}")
+        book.learn([odd], 0)
+        assert book.expected() is None
 
 
 def test_no_files_give_an_empty_bronze_frame(spark):

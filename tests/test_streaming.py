@@ -233,6 +233,39 @@ def test_files_with_different_headers_in_one_batch(spark, lake, landing):
     assert rows_of(silver) == [(1, 1, 1, Decimal("40.00")), (1, 2, 1, Decimal("41.00"))]
 
 
+def test_files_under_the_known_header_are_read_once(spark, lake, landing, monkeypatch):
+    """No first line is looked at once a header is known, and 400 files are one scan."""
+    from shedlake.streaming import flows
+
+    put(landing["camera"], "Camera_Farm_0_Shed_1.csv", HEADER + "1,0,1,1,1,true\n")
+    run_feeds(spark, lake, {"camera": landing["camera"]})
+    looked, scans = [], []
+    monkeypatch.setattr(flows, "header_groups", lambda *args: looked.append(args))
+    monkeypatch.setattr(flows, "read_files", lambda *args, read=flows.read_files: scans.append(read(*args)) or scans[-1])
+    for n in range(1, 401):
+        put(landing["camera"], f"Camera_Farm_{n}_Shed_1.csv", HEADER + "1,0,1,1,1,true\n")
+    put(landing["camera"], "Camera_Farm_401_Shed_1.csv", "")
+    run_feeds(spark, lake, {"camera": landing["camera"]}, max_files=1000)
+    assert looked == [] and len(scans) == 1
+    assert scans[0]._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1
+    assert lake.bronze(CAMERA).read(spark).count() == 401
+
+
+def test_another_header_among_known_ones(spark, lake, landing):
+    """The check fails, first lines are looked at, and the batch is written once and whole."""
+    put(landing["synthetic"], "Synthetic_Poultry_Farm_1_Shed_1.csv", "Day,Weight(g)\n1,40\n")
+    run_feeds(spark, lake, {"synthetic": landing["synthetic"]})
+    for n in range(4):
+        put(landing["synthetic"], f"Synthetic_Poultry_Farm_2_Shed_{n}.csv", "Day,Weight(g)\n1,41\n" if n % 2 else "Weight (g),DAY,Vet\n42,1,x\n")
+    run_feeds(spark, lake, {"synthetic": landing["synthetic"]})
+    put(landing["synthetic"], "Synthetic_Poultry_Farm_3_Shed_1.csv", "Day\n7\n")
+    run_feeds(spark, lake, {"synthetic": landing["synthetic"]})
+    rows = lake.bronze(SYNTHETIC).read(spark, with_batch_id=True)
+    assert rows_of(rows.select(BATCH_ID, "Day", "Weight_g", "_rescued_data")) == sorted(
+        [(0, "1", "40", None), (2, "7", None, None)] + 2 * [(1, "1", "41", None), (1, "1", "42", '{"Vet":"x"}')], key=repr
+    )
+
+
 def test_upserts_of_few_files_at_a_time_give_the_same_state(spark, scratch, landing):
     for i in range(6):
         put(landing["camera"], f"Camera_Farm_1_Shed_{i % 2}_{i}.csv", HEADER + f"1,0,{i},{i if i % 3 else ''},1,true\n")
