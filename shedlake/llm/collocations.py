@@ -34,7 +34,7 @@ FIRST = 2000  # phrases told of each language
 TABLE_BITS = 1 << 24  # of the tables of frequent words and pairs, 2 MB each
 BLOCK_WORDS = 4_000_000  # words whose stripes a task gathers before it hands them over
 PARTS = 64  # parts of a frequent word's stripe; the empty prefix's has PARTS * PARTS
-HOT_SHARE = 1000  # a word is dealt out in parts from this fraction of all words on, so there are no more such words
+HOT_SHARE = 1000  # a prefix is dealt out in parts from this fraction of all words on, so there are no more such words
 SALTS = 64  # tasks that look for a language's first phrases
 
 _BITS_OF_BUCKET = 32_768  # fixed value: bits in a bucket of Spark's bitmap functions
@@ -159,8 +159,11 @@ def _pair_stripes(block: _Block, table: np.ndarray, hot: set[tuple[str, str]]) -
         yield _stripes(lang, 2, names.take(pa.array(left)), part, names.take(pa.array(right)), n, left * PARTS + part)
 
 
-def _long_stripes(block: _Block, most: int, table: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Stripes of the prefixes of two words on, of phrases whose pairs are all in the table."""
+def _long_stripes(block: _Block, most: int, table: np.ndarray, hot: set[tuple[str, str]]) -> Iterator[pa.RecordBatch]:
+    """Stripes of the prefixes of two words on, of phrases whose pairs are all in the table.
+
+    Dealt out in parts are those of the pairs in ``hot``, and of what begins with one.
+    """
     names, hashes, plain = None, block.hashes(), block.words()
     for lang, pieces in block.numbers.items():
         numbers = np.concatenate(pieces)
@@ -180,9 +183,11 @@ def _long_stripes(block: _Block, most: int, table: np.ndarray) -> Iterator[pa.Re
             # Prefixes of one word fewer get numbers: their own prefix's, and their last word's.
             keys = (prefix[at] if size > 3 else numbers[at]) * len(plain) + numbers[at + size - 2]
             distinct, inverse = np.unique(keys, return_inverse=True, sorted=True)
-            texts = [f"{texts[k // len(plain)]} {plain[k % len(plain)]}" for k in distinct.tolist()]
+            before = distinct // len(plain)
+            texts = [f"{texts[k]} {plain[w]}" for k, w in zip(before.tolist(), (distinct % len(plain)).tolist(), strict=True)]
+            dealt = np.array([(lang, text) in hot for text in texts]) if size == 3 else dealt[before]
             last = numbers[at + size - 1]
-            part = _part(hashes[last], PARTS)
+            part = np.where(dealt[inverse], _part(hashes[last], PARTS), 0)
             entries, n = np.unique((inverse * PARTS + part) * len(plain) + last, return_counts=True, sorted=True)
             owner, last = entries // len(plain), entries % len(plain)
             prefixes = pa.array(texts, pa.string()).take(pa.array(owner // PARTS))
@@ -256,17 +261,19 @@ def phrase_counts(
     singles = stored(_merged(_gathered(documents, _single_stripes), least_count), "single-stripes")
     words = context.broadcast(_bit_table(singles, table_bits))
     total = singles.where("next IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    # HOT_SHARE words at most
-    hot = {(r.lang, r.next) for r in singles.where(F.col("next").isNotNull() & (F.col("n") * HOT_SHARE >= total)).collect()}
+    often = F.col("next").isNotNull() & (F.col("n") * HOT_SHARE >= total)
+    # HOT_SHARE words at most, and as many pairs
+    hot_words = {(r.lang, r.next) for r in singles.where(often).collect()}
 
     def pairs_told(block: _Block) -> Iterator[pa.RecordBatch]:
-        return _pair_stripes(block, words.value, hot)
+        return _pair_stripes(block, words.value, hot_words)
 
     pairs = stored(_merged(_gathered(documents, pairs_told), least_count), "pair-stripes")
     table = context.broadcast(_bit_table(pairs, table_bits))
+    hot_pairs = {(r.lang, f"{r.prefix} {r.next}") for r in pairs.where(often).collect()}
 
     def longer_told(block: _Block) -> Iterator[pa.RecordBatch]:
-        return _long_stripes(block, most_words, table.value)
+        return _long_stripes(block, most_words, table.value, hot_pairs)
 
     longer = stored(_merged(_gathered(documents, longer_told), least_count), "long-stripes")
     return singles.unionByName(pairs).unionByName(longer)
