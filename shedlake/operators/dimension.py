@@ -31,6 +31,22 @@ def member_id(key: str, kind: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(kind), F.col(key).cast("string")))
 
 
+def added_members(
+    current: DataFrame | None,
+    feeds: Sequence[DataFrame],
+    key: str = "FARM_NO",
+    kind: str = "farm",
+    processing_time: Column | None = None,
+    random_ids: bool = False,
+) -> DataFrame:
+    """The members that the dimension does not hold yet, with their ids."""
+    when = F.current_timestamp() if processing_time is None else processing_time
+    ident = F.expr("uuid()") if random_ids else member_id(key, kind)
+    return new_members(members(feeds, key), current, key).select(
+        key, ident.alias("ID"), when.alias(PROCESSING_TIME)
+    )
+
+
 def maintain_dimension(
     current: DataFrame | None,
     feeds: Sequence[DataFrame],
@@ -44,9 +60,5 @@ def maintain_dimension(
     ``random_ids`` draws ids instead of hashing them. Such a frame must be written before use:
     evaluating it twice gives different ids.
     """
-    when = F.current_timestamp() if processing_time is None else processing_time
-    ident = F.expr("uuid()") if random_ids else member_id(key, kind)
-    added = new_members(members(feeds, key), current, key).select(
-        key, ident.alias("ID"), when.alias(PROCESSING_TIME)
-    )
+    added = added_members(current, feeds, key, kind, processing_time, random_ids)
     return added if current is None else current.unionByName(added)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from shedlake.contracts import (
     CAMERA,
@@ -27,12 +29,13 @@ from shedlake.operators.activity import (
     business_view,
     join_activity,
 )
-from shedlake.operators.dimension import maintain_dimension
+from shedlake.operators.dimension import added_members
 from shedlake.sources.paths import exists
-from shedlake.streaming.flows import append_flow, upsert_flow
-from shedlake.streaming.targets import AppendTarget, GroupTarget, KeyedTarget, SnapshotTarget, Target
+from shedlake.streaming.flows import append_flow, commits_flow, upsert_flow
+from shedlake.streaming.targets import AppendTarget, KeyedTarget, PartitionTarget, Target
 
 MEAN = T.DecimalType(10, 6)
+GOLD_PARTITION = ("DAY",)  # gold is refreshed by days of the cycle, of which there are few
 MEASURES = (*ACTIVITY_MEASURES, *CLIMATE_MEASURES)
 
 
@@ -95,32 +98,32 @@ class Lake:
         )
 
     @property
-    def hourly(self) -> GroupTarget:
-        return GroupTarget(
+    def hourly(self) -> PartitionTarget:
+        return PartitionTarget(
             name="gold_activity_hourly",
             path=f"{self.root}/gold_activity_hourly",
             schema=HOURLY_SCHEMA,
             keys=HOURLY_KEYS,
-            group=DAILY_KEYS,
+            partition_by=GOLD_PARTITION,
             comment="hourly climate and activity per shed",
             properties={"quality": "gold"},
         )
 
     @property
-    def daily(self) -> GroupTarget:
-        return GroupTarget(
+    def daily(self) -> PartitionTarget:
+        return PartitionTarget(
             name="gold_activity_daily",
             path=f"{self.root}/gold_activity_daily",
             schema=DAILY_SCHEMA,
             keys=DAILY_KEYS,
-            group=DAILY_KEYS,
+            partition_by=GOLD_PARTITION,
             comment="daily mean climate and activity per shed",
             properties={"quality": "gold"},
         )
 
     @property
-    def farms(self) -> SnapshotTarget:
-        return SnapshotTarget(
+    def farms(self) -> AppendTarget:
+        return AppendTarget(
             name="dim_farm",
             path=f"{self.root}/dim_farm",
             schema=DIM_SCHEMA,
@@ -167,31 +170,51 @@ def run_feeds(
         query.awaitTermination()
 
 
-def run_gold(spark: SparkSession, lake: Lake) -> tuple[int, int]:
-    """Bring both gold tables up to date with silver; the daily one reads the hourly one as written.
+def gold_flow(spark: SparkSession, lake: Lake, trigger: dict | None = None) -> StreamingQuery:
+    """Start the flow that brings both gold tables up to date with what silver has committed.
 
-    Only the shed days that silver has got changes for are recomputed. Without any, nothing is stored.
+    Only days that silver has got changes for are recomputed. The daily means come from the hourly rows
+    as they have just been stored.
     """
-    sources = lake.silver(CAMERA), lake.silver(ENVIRONMENTAL)
-    now = tuple(max(s.versions(spark), default=-1) for s in sources)
+    sources = [lake.silver(CAMERA), lake.silver(ENVIRONMENTAL)]
 
-    def refresh(target: GroupTarget, rows_of: Callable[[DataFrame], DataFrame]) -> int:
-        last = target.progress(spark)
-        if last == now:
-            return max(target.versions(spark))
-        seen = last or (-1,) * len(sources)
-        touched = reduce(
-            DataFrame.union, (s.touched_groups(spark, n, DAILY_KEYS) for s, n in zip(sources, seen, strict=True))
-        ).distinct()
-        return target.replace_groups(touched, rows_of, now)
+    def refresh(batches: list[list[int]], batch_id: int) -> None:
+        days = reduce(DataFrame.union, (s.touched(spark, n, "DAY") for s, n in zip(sources, batches, strict=True)))
+        touched = sorted(r.DAY for r in days.distinct().collect())  # a day is a small number within a cycle
+        if not touched:
+            return
+        where = F.col("DAY").isin(touched)
+        camera, environmental = (business_view(s.read_where(spark, where)) for s in sources)
+        hourly = lake.hourly.refresh(join_activity(environmental, camera), where, batch_id)
+        lake.daily.refresh(aggregate_activity(hourly), where, batch_id)
 
-    def hourly_rows(touched: DataFrame) -> DataFrame:
-        camera, environmental = (business_view(s.read_groups(spark, touched)) for s in sources)
-        return join_activity(environmental, camera)
+    return commits_flow(spark, sources, lake.hourly.checkpoint, refresh, trigger=trigger)
 
-    hourly = refresh(lake.hourly, hourly_rows)
-    daily = refresh(lake.daily, lambda touched: aggregate_activity(lake.hourly.read(spark, groups=touched)))
-    return hourly, daily
+
+def dimension_flow(
+    spark: SparkSession,
+    lake: Lake,
+    processing_time: Column | None = None,
+    feeds: Sequence[FeedContract] = (CAMERA, ENVIRONMENTAL),
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Start the flow that adds farms which new batches of silver are the first to name.
+
+    Only the key column of these batches is read, and only new members are stored.
+    """
+    sources = [lake.silver(f) for f in feeds]
+
+    def add(batches: list[list[int]], batch_id: int) -> None:
+        keys = [s.touched(spark, n, "FARM_NO") for s, n in zip(sources, batches, strict=True)]
+        lake.farms.append_batch(added_members(lake.farms.read(spark), keys, processing_time=processing_time), batch_id)
+
+    return commits_flow(spark, sources, lake.farms.checkpoint, add, trigger=trigger)
+
+
+def run_gold(spark: SparkSession, lake: Lake) -> int | None:
+    """Bring gold up to date; the number of the last refresh, if there has been one."""
+    gold_flow(spark, lake).awaitTermination()
+    return max(lake.daily.versions(spark), default=None)
 
 
 def run_dimension(
@@ -199,11 +222,10 @@ def run_dimension(
     lake: Lake,
     processing_time: Column | None = None,
     feeds: Sequence[FeedContract] = (CAMERA, ENVIRONMENTAL),
-) -> int:
-    """Add the unseen farms of some feeds to the farm dimension."""
-    keys = [lake.silver(f).read_keys(spark, "FARM_NO") for f in feeds]
-    farms = maintain_dimension(lake.farms.read_or_none(spark), keys, processing_time=processing_time)
-    return lake.farms.write_version(farms)
+) -> int | None:
+    """Bring the farm dimension up to date; the number of its last batch, if there has been one."""
+    dimension_flow(spark, lake, processing_time, feeds).awaitTermination()
+    return max(lake.farms.versions(spark), default=None)
 
 
 def run_all(
@@ -216,8 +238,8 @@ def run_all(
 ) -> None:
     """One pass over the whole lake: ingest what is new, then refresh dimension and gold."""
     run_feeds(spark, lake, landing, max_files, clean_source, processing_time)
-    run_dimension(spark, lake, processing_time)
-    run_gold(spark, lake)
+    for query in (dimension_flow(spark, lake, processing_time), gold_flow(spark, lake)):  # side by side
+        query.awaitTermination()
 
 
 def publish_views(spark: SparkSession, lake: Lake) -> list[str]:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from functools import reduce
+
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -24,6 +27,35 @@ def _check_start(spark: SparkSession, target: AppendTarget | KeyedTarget) -> Non
         raise ValueError(f"{target.name} holds batches but its checkpoint {target.checkpoint} is gone")
 
 
+def commits_flow(
+    spark: SparkSession,
+    sources: Sequence[AppendTarget | KeyedTarget],
+    checkpoint: str,
+    act: Callable[[list[list[int]], int], None],
+    max_batches: int = 1000,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Start a flow that acts on the batches that several tables commit.
+
+    ``act`` gets the numbers of the new batches of each source and the number of the micro-batch, which
+    may come again after a crash. How far each source has been read is kept by the stream's checkpoint.
+    """
+    streams = [s.commit_stream(spark, max_batches).withColumn("source", F.lit(n)) for n, s in enumerate(sources)]
+
+    def write(commits: DataFrame, batch_id: int) -> None:
+        rows = commits.collect()  # at most max_batches numbers of each source
+        if rows:
+            act([sorted(r[BATCH_ID] for r in rows if r.source == n) for n in range(len(sources))], batch_id)
+
+    return (
+        reduce(DataFrame.unionByName, streams)
+        .writeStream.option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or ONCE))
+        .foreachBatch(write)
+        .start()
+    )
+
+
 def _counted(seen: Observation, name: str) -> int:
     """An observed count. Where Spark found a step empty it drops what was observed; then assume one."""
     try:
@@ -97,11 +129,8 @@ def upsert_flow(
     One upsert takes in at most ``max_batches`` committed batches of bronze. Rows without a complete key cannot be upserted and go to quarantine instead.
     """
 
-    def write(commits: DataFrame, batch_id: int) -> None:
-        batches = sorted(row[BATCH_ID] for row in commits.collect())  # at most max_batches numbers
-        if not batches:
-            return
-        rows = bronze.read_batches(spark, batches).drop(BATCH_ID)
+    def upsert(batches: list[list[int]], batch_id: int) -> None:
+        rows = bronze.read_batches(spark, batches[0]).drop(BATCH_ID)
         standard = standardize(rows, contract, keep_source_columns)
         seen = Observation()
         incomplete = F.count_if(incomplete_key(contract.keys))
@@ -112,10 +141,4 @@ def upsert_flow(
             quarantine.append_batch(split_quarantine(standard, contract.keys)[1], batch_id)
 
     _check_start(spark, silver)
-    return (
-        bronze.commit_stream(spark, max_batches)
-        .writeStream.option("checkpointLocation", silver.checkpoint)
-        .trigger(**(trigger or ONCE))
-        .foreachBatch(write)
-        .start()
-    )
+    return commits_flow(spark, [bronze], silver.checkpoint, upsert, max_batches, trigger)

@@ -10,7 +10,7 @@ cannot drift apart.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from shedlake.operators.scd1 import MARK, fold_changes, fold_lifted, mark_order, publish
 from shedlake.operators.snapshots import CHANGE_TYPE, change_images, snapshot_diff
 from shedlake.sources.landing import new_files_stream
-from shedlake.sources.paths import complete_versions, exists, glob, modified_at, put_name
+from shedlake.sources.paths import complete_versions, drop_folder, exists, glob, make_folder, modified_at, put_name
 from shedlake.sources.tables import BATCH_ID
 
 VERSION = "version"
@@ -43,6 +43,22 @@ class Target:
     def checkpoint(self) -> str:
         return f"{self.path}/_checkpoint"
 
+    @property
+    def commits(self) -> str:
+        return f"{self.path}/commits"
+
+    def _commit(self, spark: SparkSession, batch_id: int) -> None:
+        put_name(spark, self.commits, f"{batch_id}{COMMIT}")
+
+    def commit_stream(self, spark: SparkSession, max_batches: int = 1000) -> DataFrame:
+        """The numbers of committed batches as a stream, for micro-batches that read these batches.
+
+        Streaming the data folder itself would also show what a crash left half written.
+        """
+        make_folder(spark, self.commits)
+        names = new_files_stream(spark, self.commits, f"*{COMMIT}", max_batches)
+        return names.select(F.regexp_extract("path", rf"(\d+)\{COMMIT}$", 1).cast("bigint").alias(BATCH_ID))
+
     def metadata(self) -> dict[str, str]:
         return {
             "name": self.name,
@@ -79,10 +95,6 @@ class AppendTarget(Target):
     def stored_schema(self) -> T.StructType:
         return T.StructType([*self.schema.fields, T.StructField(BATCH_ID, T.LongType())])
 
-    @property
-    def commits(self) -> str:
-        return f"{self.path}/commits"
-
     def versions(self, spark: SparkSession) -> list[int]:
         """Numbers of the committed batches."""
         found = glob(spark, f"{self.commits}/*{COMMIT}")
@@ -93,7 +105,7 @@ class AppendTarget(Target):
         spark, commit = batch.sparkSession, f"{self.commits}/{batch_id}{COMMIT}"
         if not exists(spark, commit):
             self._write(batch.select(*self.schema.names), f"{self.data}/{BATCH_ID}={batch_id}")
-            put_name(spark, self.commits, f"{batch_id}{COMMIT}")
+            self._commit(spark, batch_id)
 
     def read(self, spark: SparkSession, with_batch_id: bool = False) -> DataFrame:
         rows = self.read_batches(spark, self.versions(spark))
@@ -104,14 +116,6 @@ class AppendTarget(Target):
         folders = [f"{self.data}/{BATCH_ID}={n}" for n in batches]
         return self._read(spark, self.data, folders, self.stored_schema)
 
-    def commit_stream(self, spark: SparkSession, max_batches: int = 1000) -> DataFrame:
-        """The numbers of committed batches as a stream, for ``read_batches`` in its micro-batches.
-
-        Streaming the data folder itself would also show what a crash left half written.
-        """
-        names = new_files_stream(spark, self.commits, f"*{COMMIT}", max_batches)
-        return names.select(F.regexp_extract("path", rf"(\d+)\{COMMIT}$", 1).cast("bigint").alias(BATCH_ID))
-
 
 @dataclass(frozen=True)
 class KeyedTarget(Target):
@@ -152,11 +156,13 @@ class KeyedTarget(Target):
 
     def merge_batch(self, changes: DataFrame, batch_id: int) -> bool:
         """Upsert one batch of changes; a null never replaces a stored value. False if already done."""
-        if exists(changes.sparkSession, f"{self.deltas}/{BATCH_ID}={batch_id}/_SUCCESS"):
-            return False
-        folded = fold_changes(changes, self.keys, self.sequence, self.values)
-        self._write(folded, f"{self.deltas}/{BATCH_ID}={batch_id}")
-        return True
+        spark, fresh = changes.sparkSession, not exists(changes.sparkSession, f"{self.deltas}/{BATCH_ID}={batch_id}/_SUCCESS")
+        if fresh:
+            folded = fold_changes(changes, self.keys, self.sequence, self.values)
+            self._write(folded, f"{self.deltas}/{BATCH_ID}={batch_id}")
+        if not exists(spark, f"{self.commits}/{batch_id}{COMMIT}"):
+            self._commit(spark, batch_id)
+        return fresh
 
     def versions(self, spark: SparkSession) -> list[int]:
         return complete_versions(spark, self.deltas, BATCH_ID)
@@ -171,18 +177,18 @@ class KeyedTarget(Target):
     def _base_rows(self, spark: SparkSession, base: int) -> DataFrame:
         return self._read(spark, self.bases, [f"{self.bases}/{VERSION}={base}"], self.state_schema)
 
-    def read_groups(self, spark: SparkSession, groups: DataFrame) -> DataFrame:
-        """Current state of the keys that belong to some groups, which name a part of the key columns.
+    def read_where(self, spark: SparkSession, condition: Column) -> DataFrame:
+        """Current state of the keys that meet a condition on the key columns.
 
-        Rows of other groups are left out before anything is folded.
+        Other rows are left out before anything is folded, in the scan where the condition allows it.
         """
         rows, folded = self._lifted(spark, None)
-        rows = rows.join(groups, groups.columns, "left_semi")
+        rows = rows.where(condition)
         return publish(rows if folded else fold_lifted(rows, self.keys)).select(*self.schema.names)
 
-    def touched_groups(self, spark: SparkSession, after: int, columns: Sequence[str]) -> DataFrame:
-        """Groups that the batches after number ``after`` brought changes for."""
-        return self._delta_rows(spark, [n for n in self.versions(spark) if n > after]).select(*columns).distinct()
+    def touched(self, spark: SparkSession, batches: Sequence[int], *columns: str) -> DataFrame:
+        """Distinct values of some key columns that the given batches brought changes for."""
+        return self._delta_rows(spark, batches).select(*columns).distinct()
 
     def _pending(self, spark: SparkSession, as_of: int | None) -> list[int]:
         """Batches up to ``as_of`` that no base covers."""
@@ -286,78 +292,62 @@ class SnapshotTarget(Target):
 
 
 @dataclass(frozen=True)
-class GroupTarget(Target):
-    """Table derived from others and refreshed by groups of rows, each replaced as a whole.
+class PartitionTarget(Target):
+    """Table derived from others and refreshed by partitions, each replaced as a whole.
 
-    A version stores the rows of the groups that it replaced, each with what became of it, and the
-    names of these groups. A group's rows are those of the last version that replaced it. The commit of a
-    version also names how far it has read each of its sources.
+    Spark overwrites the partitions that a refresh has rows for, so the table's folder holds current
+    rows only. Before that, the rows are stored with what became of each since the last refresh:
+    the change report, from which a refresh that broke off is finished.
     """
 
-    group: tuple[str, ...] = ()
-
     @property
-    def commits(self) -> str:
-        return f"{self.path}/commits"
+    def data(self) -> str:
+        return f"{self.path}/data"
 
-    def _commits(self, spark: SparkSession) -> dict[int, tuple[int, ...]]:
-        names = (p.rsplit("/", 1)[1].removesuffix(COMMIT) for p in glob(spark, f"{self.commits}/*{COMMIT}"))
-        numbers = [tuple(int(n) for n in name.split("_")) for name in names]
-        return {n[0]: n[1:] for n in numbers}
+    @property
+    def reports(self) -> str:
+        return f"{self.path}/reports"
 
     def versions(self, spark: SparkSession) -> list[int]:
-        return sorted(self._commits(spark))
+        """Numbers of the refreshes."""
+        return complete_versions(spark, self.reports, BATCH_ID)
 
-    def progress(self, spark: SparkSession) -> tuple[int, ...] | None:
-        """How far the last version has read its sources; ``None`` before the first one."""
-        commits = self._commits(spark)
-        return commits[max(commits)] if commits else None
+    def read(self, spark: SparkSession) -> DataFrame:
+        return self._read(spark, self.data, [self.data] if exists(spark, self.data) else [], self.schema)
 
-    def _part(self, spark: SparkSession, part: str, versions: Sequence[int], schema: T.StructType) -> DataFrame:
-        stored = T.StructType([*schema.fields, T.StructField(VERSION, T.LongType())])
-        folders = [f"{self.path}/{part}/{VERSION}={n}" for n in versions]
-        return self._read(spark, f"{self.path}/{part}", folders, stored)
+    def _report(self, spark: SparkSession, batches: Sequence[int]) -> DataFrame:
+        change = [T.StructField(CHANGE_TYPE, T.StringType()), T.StructField(BATCH_ID, T.LongType())]
+        folders = [f"{self.reports}/{BATCH_ID}={n}" for n in batches]
+        return self._read(spark, self.reports, folders, T.StructType([*self.schema.fields, *change]))
 
-    @property
-    def _stored(self) -> T.StructType:
-        return T.StructType([*self.schema.fields, T.StructField(CHANGE_TYPE, T.StringType())])
-
-    def read(self, spark: SparkSession, version: int | None = None, groups: DataFrame | None = None) -> DataFrame:
-        """The table as of a version (the last by default), or some of its groups."""
-        versions = [n for n in self.versions(spark) if version is None or n <= version]
-        rows = self._part(spark, "data", versions, self._stored).where(F.col(CHANGE_TYPE) != "delete")
-        if len(versions) > 1:
-            names = T.StructType([self.schema[c] for c in self.group])
-            last = self._part(spark, "groups", versions, names).groupBy(*self.group).agg(F.max(VERSION).alias(VERSION))
-            rows = rows.join(last, [*self.group, VERSION], "left_semi")
-        if groups is not None:
-            rows = rows.join(groups, list(self.group), "left_semi")
-        return rows.select(*self.schema.names)
-
-    def replace_groups(
-        self, groups: DataFrame, rows_of: Callable[[DataFrame], DataFrame], progress: Sequence[int]
-    ) -> int:
-        """Store a version in which ``groups`` consist of the rows that ``rows_of`` makes for them.
-
-        The rows are stored with what became of them, deleted ones included, so the version is its own
-        change report.
+    def refresh(self, rows: DataFrame, where: Column, batch_id: int) -> DataFrame:
+        """Make ``rows`` all that the table holds where the partitions meet ``where``; returns them as stored.
+
+        Running a refresh again under its number changes nothing.
         """
-        spark = groups.sparkSession
-        versions = self.versions(spark)
-        version = max(versions, default=-1) + 1
-        folder = f"{self.path}/groups/{VERSION}={version}"
-        groups.select(*self.group).write.mode("overwrite").parquet(folder)
-        groups = spark.read.parquet(folder)
-        rows = rows_of(groups).select(*self.schema.names)
-        if versions:
-            rows = snapshot_diff(self.read(spark, groups=groups), rows, self.keys, unique=True)
-        else:
-            rows = rows.withColumn(CHANGE_TYPE, F.lit("insert"))
-        self._write(rows.select(*self._stored.names), f"{self.path}/data/{VERSION}={version}")
-        put_name(spark, self.commits, "_".join(map(str, (version, *progress))) + COMMIT)
-        return version
+        spark = rows.sparkSession
+        if not exists(spark, f"{self.reports}/{BATCH_ID}={batch_id}/_SUCCESS"):
+            told = rows.select(*self.schema.names)
+            if exists(spark, self.data):
+                told = snapshot_diff(self.read(spark).where(where), told, self.keys, unique=True)
+            else:
+                told = told.withColumn(CHANGE_TYPE, F.lit("insert"))
+            told.write.mode("overwrite").parquet(f"{self.reports}/{BATCH_ID}={batch_id}")
+        stored = self._report(spark, [batch_id]).drop(BATCH_ID)
+        kept = stored.where(F.col(CHANGE_TYPE) != "delete").drop(CHANGE_TYPE)
+        (
+            kept.hint("rebalance", *self.partition_by)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*self.partition_by)
+            .parquet(self.data)
+        )
+        # Spark leaves partitions alone that there are no rows for any more.
+        gone = stored.where(F.col(CHANGE_TYPE) == "delete").select(*self.partition_by).distinct()
+        for row in gone.join(kept.select(*self.partition_by).distinct(), list(self.partition_by), "left_anti").collect():
+            drop_folder(spark, "/".join([self.data, *(f"{c}={row[c]}" for c in self.partition_by)]))
+        return kept
 
     def read_report(self, spark: SparkSession) -> DataFrame:
-        """What each version inserted, updated and deleted."""
-        rows = self._part(spark, "data", self.versions(spark), self._stored)
-        return rows.where(F.col(CHANGE_TYPE) != "unchanged")
+        """What each refresh inserted, updated and deleted."""
+        return self._report(spark, self.versions(spark)).where(F.col(CHANGE_TYPE) != "unchanged")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shedlake.contracts import CAMERA, ENVIRONMENTAL, SYNTHETIC
 from shedlake.operators.snapshots import collapse_change_feed
-from shedlake.plans.lakehouse import Lake, publish_views, run_all, run_dimension, run_feeds, run_gold
+from shedlake.plans.lakehouse import MEASURES, Lake, publish_views, run_all, run_dimension, run_feeds, run_gold
 from shedlake.sources.tables import BATCH_ID
 from shedlake.streaming.flows import append_flow, upsert_flow
 from test_landing import HEADER, put
@@ -36,8 +36,7 @@ def test_new_files_reach_gold_and_a_correction_replaces_what_it_holds(spark, lak
     put(landing["environmental"], "Environmental_Farm_1_Shed_2.csv", CLIMATE + "1,0,20,60\n1,1,22,\n1,2,99,99\n")
     put(landing["synthetic"], "Synthetic_Poultry_Farm_1_Shed_2.csv", "Day,Weight(g)\n1,40.5\n")
     run_all(spark, lake, landing)
-    daily = lake.daily.read(spark)
-    assert rows_of(daily) == [(1, 2, 1, Decimal("20.000000"), Decimal("30.000000"), Decimal("21.000000"), Decimal("60.000000"))]
+    assert rows_of(lake.daily.read(spark)) == [(1, 2, 1, Decimal("20.000000"), Decimal("30.000000"), Decimal("21.000000"), Decimal("60.000000"))]
     farms = rows_of(lake.farms.read(spark))
 
     put(landing["camera"], "Camera_Farm_1_Shed_2_Correction.csv", HEADER + "1,0,,16,,\n")
@@ -46,7 +45,8 @@ def test_new_files_reach_gold_and_a_correction_replaces_what_it_holds(spark, lak
     assert rows_of(lake.daily.read(spark))[0][3:] == (
         Decimal("23.000000"), Decimal("30.000000"), Decimal("21.000000"), Decimal("60.000000"),
     )
-    assert rows_of(lake.daily.read(spark, 0)) == rows_of(daily)
+    report = lake.daily.read_report(spark).where(F.col(BATCH_ID) == 1).select("FARM_NO", "AVG_BIRD_ACTIVITY", "_change_type")
+    assert rows_of(report) == [(1, Decimal("23.000000"), "update")]
     now = rows_of(lake.farms.read(spark))
     assert [r[0] for r in now] == [1, 3] and now[0] == farms[0]
 
@@ -197,19 +197,18 @@ def test_flow_refuses_to_start_on_batches_without_their_checkpoint(spark, lake,
         run_feeds(spark, lake, {"camera": landing["camera"]})
 
 
-def test_gold_versions_and_source_columns(spark, scratch, landing):
+def test_gold_report_and_source_columns(spark, scratch, landing):
     lake = Lake(f"{scratch}/lake", keep_source_columns=True)
     put(landing["environmental"], "Environmental_Farm_1_Shed_2.csv", CLIMATE + "1,0,20,60\n")
     put(landing["camera"], "Camera_Farm_1_Shed_2.csv", HEADER + "1,0,50,10,20,true\n")
     run_feeds(spark, lake, landing)
     assert "temperature" in lake.silver(ENVIRONMENTAL).read(spark).columns
-    assert run_gold(spark, lake) == (0, 0) and run_gold(spark, lake) == (0, 0)
+    assert run_gold(spark, lake) == 0 and run_gold(spark, lake) == 0
     put(landing["camera"], "Camera_Farm_1_Shed_2_Later.csv", HEADER + "1,0,50,11,20,true\n2,0,50,11,20,true\n")
     run_feeds(spark, lake, landing)
-    assert run_gold(spark, lake) == (1, 1)
-    report = lake.hourly.read_report(spark).select("version", "DAY", "BIRD_ACTIVITY", "_change_type")
+    assert run_gold(spark, lake) == 1
+    report = lake.hourly.read_report(spark).select(BATCH_ID, "DAY", "BIRD_ACTIVITY", "_change_type")
     assert rows_of(report) == [(0, 1, Decimal("10.00"), "insert"), (1, 1, Decimal("11.00"), "update")]
-    assert lake.hourly.read(spark, 0).first().BIRD_ACTIVITY == Decimal("10.00")
     assert run_dimension(spark, lake) == 0
     assert lake.hourly.read(spark).columns == [
         "DAY", "HOUR", "FARM_NO", "SHED_NO", "BIRD_ACTIVITY", "SOUND_LEVEL", "TEMPRATURE", "HUMIDITY",
@@ -218,6 +217,62 @@ def test_gold_versions_and_source_columns(spark, scratch, landing):
     assert facts["keys"] == "FARM_NO,SHED_NO,DAY,HOUR" and facts["quality"] == "silver"
 
 
+def hourly_rows(spark, *rows):
+    names = "DAY smallint, HOUR smallint, FARM_NO int, SHED_NO int"
+    made = spark.createDataFrame([(d, h, f, 1, v) for d, h, f, v in rows], f"{names}, v int")
+    return made.select("DAY", "HOUR", "FARM_NO", "SHED_NO", *(F.col("v").cast("decimal(6,2)").alias(m) for m in MEASURES))
+
+
+def test_a_read_of_gold_scans_current_rows_only_after_many_refreshes(spark, lake):
+    gold = lake.hourly
+    for n in range(20):
+        gold.refresh(hourly_rows(spark, (n % 3, 0, 1, n), (n % 3, 1, 1, n)), F.col("DAY") == n % 3, n)
+    assert sorted((r.DAY, r.HOUR, int(r.HUMIDITY)) for r in gold.read(spark).collect()) == [(0, 0, 18), (0, 1, 18), (1, 0, 19), (1, 1, 19), (2, 0, 17), (2, 1, 17)]
+    scanned = gold.read(spark).inputFiles()
+    assert sum(spark.read.parquet(f).count() for f in scanned) == 6
+    assert gold.read_report(spark).groupBy("_change_type").count().orderBy("_change_type").collect() == [("insert", 6), ("update", 34)]
+
+
+def test_rows_and_days_that_are_gone_leave_gold(spark, lake):
+    gold = lake.hourly
+    gold.refresh(hourly_rows(spark, (1, 0, 1, 5), (1, 1, 1, 5), (2, 0, 1, 5), (3, 0, 1, 5)), F.lit(True), 0)
+    gold.refresh(hourly_rows(spark, (1, 0, 1, 5)), F.col("DAY").isin(1, 2), 1)
+    assert sorted((r.DAY, r.HOUR) for r in gold.read(spark).collect()) == [(1, 0), (3, 0)]
+    report = gold.read_report(spark).where(F.col(BATCH_ID) == 1).select("DAY", "HOUR", "_change_type")
+    assert rows_of(report) == [(1, 1, "delete"), (2, 0, "delete")]
+
+
+def test_refresh_that_broke_off_is_finished_from_its_report(spark, lake):
+    gold, first = lake.hourly, [(1, 0, 1, 5), (2, 0, 1, 5)]
+    gold.refresh(hourly_rows(spark, *first), F.lit(True), 0)
+    later = [(1, 0, 1, 6), (2, 1, 1, 6)]
+    gold.refresh(hourly_rows(spark, *later), F.lit(True), 1)
+    told = rows_of(gold.read_report(spark))
+    for day in (1, 2):  # as a crash between the report and the table would leave it
+        for file in spark.read.parquet(f"{gold.data}/DAY={day}").inputFiles():
+            os.remove(file.removeprefix("file://"))
+    gold.refresh(hourly_rows(spark, *later), F.lit(True), 1)
+    assert rows_of(gold.read_report(spark)) == told
+    assert sorted((r.DAY, r.HOUR, int(r.HUMIDITY)) for r in gold.read(spark).collect()) == [(1, 0, 6), (2, 1, 6)]
+
+
+def test_second_dimension_run_reads_new_deltas_only(spark, lake, landing, monkeypatch):
+    from shedlake.streaming.targets import KeyedTarget
+
+    put(landing["camera"], "Camera_Farm_1_Shed_1.csv", HEADER + "1,0,1,1,1,true\n")
+    run_feeds(spark, lake, landing)
+    assert run_dimension(spark, lake) == 0
+    put(landing["camera"], "Camera_Farm_2_Shed_1.csv", HEADER + "1,0,1,1,1,true\n")
+    run_feeds(spark, lake, landing)
+    read = []
+    monkeypatch.setattr(KeyedTarget, "touched", lambda *args, touched=KeyedTarget.touched: read.append(touched(*args)) or read[-1])
+    assert run_dimension(spark, lake) == 1
+    assert [f for r in read for f in r.inputFiles() if f"{BATCH_ID}=0" in f] == [] and any(r.inputFiles() for r in read)
+    assert sorted(r.FARM_NO for r in lake.farms.read(spark).collect()) == [1, 2]
+    assert lake.farms.read_batches(spark, [1]).count() == 1
+    assert run_dimension(spark, lake) == 1
+
+
 def test_folders_below_the_landing_folder_are_searched(spark, lake, landing):
     put(f"{landing['camera']}/2024/week=1", "Camera_Farm_1_Shed_1.csv", HEADER + "1,0,1,1,1,true\n")
     put(landing["camera"], "Camera_Farm_2_Shed_1.csv", HEADER + "1,0,1,1,1,true\n")
