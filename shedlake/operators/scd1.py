@@ -61,21 +61,24 @@ def scd1_fold(
     sequence: str | Sequence[str],
     columns: Sequence[str] | None = None,
     ignore_nulls: bool = True,
+    unique_sequence: bool = False,
 ) -> DataFrame:
     """Current state of a set of changes: keys and ``columns`` (default: all), one row per key.
 
-    With one fixed-width sequence column over fixed-width values Spark aggregates by hash. Whole
-    rows under a composite sequence are folded as one struct, so that a column which is part of
-    the sequence is not carried twice.
+    Of values with the same position the greatest wins, column by column, as in ``scd1_merge``,
+    whatever the order of the rows. ``unique_sequence`` says that no two changes of a key share a
+    position in a single sequence column, which saves a shuffle. With one fixed-width sequence column
+    over fixed-width values Spark aggregates by hash. Whole rows under a composite sequence are folded as
+    one struct, so that a column which is part of the sequence is not carried twice.
     """
     values, order = _values(df, keys, columns), _names(sequence)
-    if len(order) == 1:
+    if unique_sequence and len(order) == 1:
         seq = F.col(order[0])
         return df.groupBy(*keys).agg(
             *(F.max_by(c, F.when(F.col(c).isNotNull(), seq) if ignore_nulls else seq).alias(c) for c in values)
         )
-    if ignore_nulls:
-        return publish(fold_changes(df, keys, order, values))
+    if ignore_nulls or len(order) == 1:
+        return publish(fold_changes(df, keys, order, values, ignore_nulls)).select(*keys, *(f"`{c}`" for c in values))
     row = F.struct(*order, *(c for c in values if c not in order))
     return df.groupBy(*keys).agg(F.max(row).alias("last")).select(*keys, *(f"last.`{c}`" for c in values))
 

@@ -76,8 +76,9 @@ def dim_farm(spark, sf_dir):
 def dim_farm_bootstrap(spark, sf_dir):
     """The target does not exist yet, so every farm is new; stored, then read back."""
     farms = Lake(scratch_dir(spark, "dimension")).farms
-    rows = maintain_dimension(farms.read_or_none(spark), dim_feeds(spark, sf_dir), processing_time=run_time())
-    farms.write_version(rows)
+    current = farms.read(spark) if farms.versions(spark) else None
+    rows = maintain_dimension(current, dim_feeds(spark, sf_dir), processing_time=run_time())
+    farms.append_batch(rows, 0)
     return wall_clock(farms.read(spark))
 
 

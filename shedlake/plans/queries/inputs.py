@@ -35,7 +35,7 @@ def after(events: DataFrame, moment: str = MID_CYCLE) -> DataFrame:
 
 def fold_feed(feed: DataFrame, contract: FeedContract) -> DataFrame:
     """Silver state of a derived feed, whose events are numbered in order."""
-    return scd1_fold(feed, contract.keys, "event_id", contract.value_columns)
+    return scd1_fold(feed, contract.keys, "event_id", contract.value_columns, unique_sequence=True)
 
 
 def silver_of(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:

@@ -42,7 +42,7 @@ FROM camera QUALIFY row_number() OVER (PARTITION BY {HOURLY} ORDER BY event_id D
 def scd1_latest(spark, sf_dir):
     """Whole last row per key, nulls included."""
     feed = feed_of(spark, sf_dir, "camera")
-    return scd1_fold(feed, CAMERA.keys, "event_id", ignore_nulls=False)
+    return scd1_fold(feed, CAMERA.keys, "event_id", ignore_nulls=False, unique_sequence=True)
 
 
 LINE_KEYS = ("l_orderkey", "l_linenumber")

@@ -79,7 +79,7 @@ def habit_versions(spark, sf_dir):
     events = load(spark, sf_dir, "events").withColumn("at_hour", F.hour("ts"))
 
     def last(rows):
-        return scd1_fold(rows, HABIT_KEYS, "event_id", ["event_type", "value"])
+        return scd1_fold(rows, HABIT_KEYS, "event_id", ["event_type", "value"], unique_sequence=True)
 
     return last(before(events)), last(after(events))
 

@@ -10,7 +10,8 @@ cannot drift apart.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
@@ -25,6 +26,26 @@ from shedlake.sources.tables import BATCH_ID
 
 VERSION = "version"
 COMMIT = ".commit"
+FILE_BYTES = "file_bytes"  # table property: size that stored files should have
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+PARALLELISM_FIRST = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+
+
+@contextmanager
+def _advised(spark: SparkSession, size: str | None) -> Iterator[None]:
+    """Have Spark aim at partitions of a size while a write runs. Streams have a session of their own each."""
+    if size is None:
+        yield
+        return
+    wanted = {ADVISORY: size, PARALLELISM_FIRST: "false"}
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 @dataclass(frozen=True)
@@ -69,12 +90,15 @@ class Target:
         }
 
     def _write(self, df: DataFrame, path: str) -> None:
-        # Rebalancing splits a partition value that holds most of the rows and merges small ones.
-        sized = df.hint("rebalance", *self.partition_by) if self.partition_by else df
+        # Rebalancing splits a partition value that holds most of the rows and merges small ones. Without
+        # partition columns it is done where a file size is asked for, whatever tasks the rows come in.
+        size = self.properties.get(FILE_BYTES)
+        sized = df.hint("rebalance", *self.partition_by) if self.partition_by or size else df
         writer = sized.write.mode("overwrite")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(path)
+        with _advised(df.sparkSession, size):
+            writer.parquet(path)
 
     def _read(self, spark: SparkSession, root: str, folders: Sequence[str], schema: T.StructType) -> DataFrame:
         if not folders:
@@ -335,13 +359,14 @@ class PartitionTarget(Target):
             told.write.mode("overwrite").parquet(f"{self.reports}/{BATCH_ID}={batch_id}")
         stored = self._report(spark, [batch_id]).drop(BATCH_ID)
         kept = stored.where(F.col(CHANGE_TYPE) != "delete").drop(CHANGE_TYPE)
-        (
-            kept.hint("rebalance", *self.partition_by)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*self.partition_by)
-            .parquet(self.data)
-        )
+        with _advised(spark, self.properties.get(FILE_BYTES)):
+            (
+                kept.hint("rebalance", *self.partition_by)
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(*self.partition_by)
+                .parquet(self.data)
+            )
         # Spark leaves partitions alone that there are no rows for any more.
         gone = stored.where(F.col(CHANGE_TYPE) == "delete").select(*self.partition_by).distinct()
         for row in gone.join(kept.select(*self.partition_by).distinct(), list(self.partition_by), "left_anti").collect():

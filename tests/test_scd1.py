@@ -116,3 +116,16 @@ def test_one_key_with_most_rows(spark):
     folded = scd1_fold(df, ["k"], ORDER, ["a", "b"])
     assert folded.count() == 40_001
     assert folded.where("k = 0").collect()[0].a == 59_997
+
+
+def test_ties_have_one_rule_whatever_the_order_of_rows(spark):
+    """Of values with one position the greatest wins, in the fold and in the merge."""
+    rows = [(1, 5, 30, 4), (1, 5, 10, 20), (1, 4, 99, 99), (2, 1, None, 7), (2, 1, 3, None)]
+    for given in (rows, rows[::-1]):
+        df = spark.createDataFrame(given, "k int, s int, a int, b int").coalesce(1)
+        folded = scd1_fold(df, ["k"], "s", ["a", "b"])
+        merged = publish(scd1_merge(scd1_merge(None, df.limit(2), ["k"], "s"), df, ["k"], "s"))
+        for found in (folded, merged):
+            assert sorted((r.k, r.a, r.b) for r in found.collect()) == [(1, 30, 20), (2, 3, 7)]
+        whole = scd1_fold(df, ["k"], "s", ["a"], ignore_nulls=False)
+        assert sorted((r.k, r.a) for r in whole.collect()) == [(1, 30), (2, 3)]

@@ -3,12 +3,14 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shedlake.contracts import CAMERA, ENVIRONMENTAL, SYNTHETIC
 from shedlake.operators.snapshots import collapse_change_feed
 from shedlake.plans.lakehouse import MEASURES, Lake, publish_views, run_all, run_dimension, run_feeds, run_gold
 from shedlake.sources.tables import BATCH_ID
 from shedlake.streaming.flows import append_flow, upsert_flow
+from shedlake.streaming.targets import ADVISORY, FILE_BYTES, AppendTarget
 from test_landing import HEADER, put
 
 CLIMATE = "DAY,HOUR,temperature,humidity\n"
@@ -273,6 +275,20 @@ def test_second_dimension_run_reads_new_deltas_only(spark, lake, landing, monkey
     assert run_dimension(spark, lake) == 1
 
 
+def test_many_tiny_tasks_make_files_of_the_stated_size(spark, scratch):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("h", T.StringType())])
+    rows = spark.range(0, 400_000, 1, 200).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    files = {}
+    for size in (None, 8 << 20, 64 << 20):
+        target = AppendTarget(f"t{size}", f"{scratch}/{size}", schema, properties={} if size is None else {FILE_BYTES: str(size)})
+        before = spark.conf.get(ADVISORY, None)
+        target.append_batch(rows, 0)
+        assert spark.conf.get(ADVISORY, None) == before
+        assert target.read(spark).count() == 400_000
+        files[size] = len(target.read(spark).inputFiles())
+    assert files[None] == 200 and files[64 << 20] == 1 and 2 <= files[8 << 20] <= 16
+
+
 def test_folders_below_the_landing_folder_are_searched(spark, lake, landing):
     put(f"{landing['camera']}/2024/week=1", "Camera_Farm_1_Shed_1.csv", HEADER + "1,0,1,1,1,true\n")
     put(landing["camera"], "Camera_Farm_2_Shed_1.csv", HEADER + "1,0,1,1,1,true\n")
