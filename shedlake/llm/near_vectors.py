@@ -274,28 +274,32 @@ def near_vectors(
         .agg(F.count(F.lit(1)).alias("weight")),
         "vector-nodes",
     )
-    held = nodes.sparkSession.sparkContext.broadcast(_centres(nodes, block, centres))
+    # Broadcasts go by reference, unlike functions, so what is sent is plain: executors need not have this package.
+    held = nodes.sparkSession.sparkContext.broadcast(_centres(nodes, block, centres).of_group)
     limit = float(np.sqrt(2 - 2 * cosine)) + _SLACK
 
     @F.pandas_udf("cell long, reach double")
     def cell_of(groups: pd.Series, units: pd.Series) -> pd.DataFrame:
-        found = [held.value.nearest(g, u) for g, u in zip(groups, units, strict=True)]
+        near = _Centres(held.value)
+        found = [near.nearest(g, u) for g, u in zip(groups, units, strict=True)]
         return pd.DataFrame(found, columns=["cell", "reach"])
 
     @F.pandas_udf("boolean")
     def may_meet(groups: pd.Series, a: pd.Series, b: pd.Series, spread: pd.Series) -> pd.Series:
+        near = _Centres(held.value)
         return pd.Series(
             [
-                x == y or held.value.between(g, x, y) <= s + limit
+                x == y or near.between(g, x, y) <= s + limit
                 for g, x, y, s in zip(groups, a, b, spread, strict=True)
             ]
         )
 
     @F.pandas_udf("boolean")
     def can_reach(groups: pd.Series, cells: pd.Series, units: pd.Series, radii: pd.Series, own: pd.Series) -> pd.Series:
+        near = _Centres(held.value)
         return pd.Series(
             [
-                c == o or held.value.apart(g, c, u) <= r + limit
+                c == o or near.apart(g, c, u) <= r + limit
                 for g, c, u, r, o in zip(groups, cells, units, radii, own, strict=True)
             ]
         )
