@@ -17,7 +17,6 @@ import math
 import string
 import zlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -52,18 +51,14 @@ def _zero_byte() -> np.ndarray:
     return step
 
 
-@lru_cache(maxsize=64)
-def _shift_tables(power: int) -> np.ndarray:
-    """Images of the four bytes of a register under 2^power zero bytes."""
-    if power == 0:
-        step = _zero_byte()
-        values = np.arange(256, dtype=np.uint32)
-        tables = [step]
-        for place in range(1, 4):
-            tables.append(values << np.uint32(8 * place - 8))  # moves down by one byte
-        return np.stack(tables)
-    half = _shift_tables(power - 1)
-    return _through(half, half)
+def _shift_tables() -> Iterator[np.ndarray]:
+    """Images of the four bytes of a register under 1, 2, 4, ... zero bytes."""
+    values = np.arange(256, dtype=np.uint32)
+    # One step takes the lowest byte to the table's entry, and moves the others down.
+    tables = np.stack([_zero_byte(), *(values << np.uint32(8 * place - 8) for place in range(1, 4))])
+    while True:
+        yield tables
+        tables = _through(tables, tables)
 
 
 def _through(tables: np.ndarray, registers: np.ndarray) -> np.ndarray:
@@ -76,9 +71,9 @@ def _through(tables: np.ndarray, registers: np.ndarray) -> np.ndarray:
 def shifted(registers: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The registers after as many zero bytes as ``lengths`` tells."""
     out = registers.copy()
-    for power in range(int(lengths.max(initial=0)).bit_length()):
+    for power, tables in zip(range(int(lengths.max(initial=0)).bit_length()), _shift_tables()):
         bit = (lengths >> power) & 1 == 1
-        out[bit] = _through(_shift_tables(power), out[bit])
+        out[bit] = _through(tables, out[bit])
     return out
 
 
