@@ -24,6 +24,12 @@ from shedlake.llm import (
 from shedlake.llm.common import load
 
 
+def _byte_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
@@ -41,7 +47,7 @@ def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.chat_query(load(spark, sf_dir, "conversations"))
+    return chat.chat_query(load(spark, sf_dir, "conversations"), _byte_bpe())
 
 
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,9 +75,7 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
-
-    return token_counts.count_tokens(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_counts.count_tokens(load(spark, sf_dir, "documents"), _byte_bpe())
 
 
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
