@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import html
 import re
+import string
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,10 +26,12 @@ from shedlake.llm.common import among_few
 
 SAMPLE_PAGES = 400  # the bound of the training sample: pages of the table
 LAYOUTS = 1500  # generated pages
+LAYOUT_TEXTS = 4000  # texts of the sample that are set in them, at most
+LAYOUT_CHARS = 2000  # characters that each of these has at most
+MOST_FEATURES = 200_000  # of the paths of a page of the sample; pages nested beyond this don't train
 PASSES = 10
 RATE = 0.3
 DECAY = 1e-4
-CACHED = 100_000  # ancestor paths whose weights a task remembers
 
 # Element names of HTML.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -54,11 +58,34 @@ _ATTRIBUTE = re.compile(r"""(class|id|role|data-label)\s*=\s*(?:"([^"]*)"|'([^']
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+class Path:
+    """The ancestors of blocks, as a chain that all blocks below share; ``fresh`` has the features, tag
+    and class and id words, that no element above has."""
+
+    __slots__ = ("above", "tag", "features", "fresh", "size")
+
+    def __init__(self, above: Path | None, tag: str, features: tuple[str, ...], fresh: tuple[str, ...]) -> None:
+        self.above, self.tag, self.features, self.fresh = above, tag, features, fresh
+        self.size = len(fresh) + (above.size if above else 0)
+
+    def upwards(self) -> Iterator[Path]:
+        path: Path | None = self
+        while path is not None:
+            yield path
+            path = path.above
+
+    def __iter__(self) -> Iterator[str]:
+        """All features, each once."""
+        yield f"p:{self.tag}"
+        for path in self.upwards():
+            yield from path.fresh
+
+
 @dataclass
 class Block:
     """A leaf block: its text, the path to it, the share of its text in links, and a given label."""
 
-    path: tuple[str, ...]
+    path: Path
     text: str
     linked: float
     label: int | None
@@ -67,7 +94,8 @@ class Block:
 @dataclass
 class _Open:
     tag: str
-    features: tuple[str, ...]
+    path: Path  # of the nearest block element, this one included
+    own: tuple[str, ...]  # features that the path has from this element
     label: int | None
 
 
@@ -86,7 +114,10 @@ class _Reader:
     """Reads a page into leaf blocks, forgiving unclosed and stray tags."""
 
     def __init__(self) -> None:
+        self.root = Path(None, "", (), ())
         self.open: list[_Open] = []
+        self.tags: Counter[str] = Counter()  # open elements by tag
+        self.features: Counter[str] = Counter()  # by feature
         self.blocks: list[Block] = []
         self.parts: list[str] = []
         self.linked = 0
@@ -98,7 +129,7 @@ class _Reader:
         if "&" in raw:
             raw = html.unescape(raw)
         self.parts.append(raw)
-        if any(o.tag == "a" for o in self.open):
+        if self.tags["a"]:
             self.linked += len("".join(raw.split()))
 
     def flush(self) -> None:
@@ -106,18 +137,27 @@ class _Reader:
             return
         text = " ".join("".join(self.parts).split())
         if text:
-            path: list[str] = []
-            for o in self.open:
-                if o.tag not in _INLINE:
-                    path += [f"t:{o.tag}", *o.features]
-            holder = next((o.tag for o in reversed(self.open) if o.tag not in _INLINE), "")
-            label = next((o.label for o in reversed(self.open) if o.label is not None), None)
+            path, label = (self.open[-1].path, self.open[-1].label) if self.open else (self.root, None)
             letters = max(1, len(text) - text.count(" "))
-            self.blocks.append(Block((f"p:{holder}", *path), text, min(1.0, self.linked / letters), label))
+            self.blocks.append(Block(path, text, min(1.0, self.linked / letters), label))
         self.parts, self.linked = [], 0
 
+    def push(self, tag: str, features: tuple[str, ...], label: int | None) -> None:
+        path, before = (self.open[-1].path, self.open[-1].label) if self.open else (self.root, None)
+        own: tuple[str, ...] = ()
+        if tag not in _INLINE:
+            own = tuple(dict.fromkeys((f"t:{tag}", *features)))
+            path = Path(path, tag, own, tuple(f for f in own if not self.features[f]))
+            self.features.update(own)
+        self.tags[tag] += 1
+        self.open.append(_Open(tag, path, own, before if label is None else label))
+        if tag in _UNSEEN:
+            self.unseen += 1
+
     def pop(self) -> None:
         gone = self.open.pop()
+        self.tags[gone.tag] -= 1
+        self.features.subtract(gone.own)
         if gone.tag in _UNSEEN:
             self.unseen -= 1
 
@@ -134,12 +174,12 @@ class _Reader:
         if tag in _VOID or closed:
             return
         features, label = _names(attributes) if "=" in attributes else ((), None)
-        self.open.append(_Open(tag, features, label))
-        if tag in _UNSEEN:
-            self.unseen += 1
+        self.push(tag, features, label)
 
     def end_within(self, tags: set[str], borders: frozenset[str] | set[str]) -> None:
         """Close the nearest of ``tags`` and all in it, unless a border stands before it."""
+        if not any(self.tags[tag] for tag in tags):
+            return
         for n in range(len(self.open) - 1, -1, -1):
             if self.open[n].tag in tags:
                 while len(self.open) > n:
@@ -151,6 +191,8 @@ class _Reader:
     def end(self, tag: str) -> None:
         if tag not in _INLINE:
             self.flush()
+        if not self.tags[tag]:
+            return
         for n in range(len(self.open) - 1, -1, -1):
             if self.open[n].tag == tag:
                 while len(self.open) > n:
@@ -202,7 +244,7 @@ def text_features(block: Block, place: float) -> list[str]:
         f"e{text[-1] if text[-1] in '.!?:,;' else ''}",
         f"n{min(3, text.count(',') + text.count('.'))}",
         f"s{min(3, int(place * 4))}",
-        f"d{min(2, 10 * sum(map(str.isdigit, text[:200])) // max(1, len(text[:200])))}",
+        f"d{min(2, 10 * sum(map(text.count, string.digits)) // len(text))}",
         *(["©"] if "©" in text else []),
     ]
 
@@ -214,17 +256,25 @@ class ExtractionModel:
     weights: dict[str, float]
     transitions: list[list[float]]
 
-    def decode(self, blocks: list[Block], known: dict[tuple[str, ...], float]) -> list[int]:
+    def on_path(self, path: Path, known: dict[Path, float]) -> float:
+        """The weight of all features of a path, from that of the nearest known one above it."""
+        chain = []
+        for part in path.upwards():
+            if part in known:
+                break
+            chain.append(part)
+        for part in reversed(chain):
+            above = known[part.above] if part.above else 0.0
+            known[part] = above + sum(self.weights.get(f, 0.0) for f in part.fresh)
+        return known[path] + self.weights.get(f"p:{path.tag}", 0.0)
+
+    def decode(self, blocks: list[Block]) -> list[int]:
         """The likeliest labels of a page's blocks (Viterbi)."""
         of = self.weights.get
         best, back = [0.0, 0.0], []
+        known: dict[Path, float] = {}
         for n, block in enumerate(blocks):
-            on_path = known.get(block.path)
-            if on_path is None:
-                if len(known) >= CACHED:
-                    known.clear()
-                on_path = known[block.path] = sum(of(f, 0.0) for f in set(block.path))
-            gain = on_path + sum(of(f, 0.0) for f in text_features(block, n / len(blocks)))
+            gain = self.on_path(block.path, known) + sum(of(f, 0.0) for f in text_features(block, n / len(blocks)))
             if n == 0:
                 best = [0.0, gain]
                 continue
@@ -240,9 +290,9 @@ class ExtractionModel:
             labels.append(step[labels[-1]])
         return labels[::-1]
 
-    def extract(self, page: str | None, known: dict[tuple[str, ...], float]) -> str:
+    def extract(self, page: str | None) -> str:
         blocks = blocks_of(page)
-        return "\n".join(b.text for b, main in zip(blocks, self.decode(blocks, known), strict=True) if main)
+        return "\n".join(b.text for b, main in zip(blocks, self.decode(blocks), strict=True) if main)
 
 
 def fit(pages: list[list[Block]], seed: int = 3) -> ExtractionModel:
@@ -290,18 +340,43 @@ def fit(pages: list[list[Block]], seed: int = 3) -> ExtractionModel:
     return ExtractionModel({f: float(weights[n]) for f, n in names.items() if weights[n]}, links.tolist())
 
 
+def _in_article(path: Path) -> bool:
+    """Inside an ``article``, in no part of it that is set apart, and the article is no reader's comment."""
+    for part in path.upwards():
+        names = {f[2:] for f in part.features if f.startswith("c:")}
+        if part.tag == "article":
+            above = {f[2:] for p in part.upwards() for f in p.features if f.startswith("c:")}
+            return not above & _COMMENT_WORDS
+        if part.tag in _APART_TAGS or names & _APART_WORDS:
+            return False
+    return False
+
+
 def labelled_by_article(page: str | None) -> list[Block]:
-    """Blocks of a page whose markup tells the label: inside ``article``, but not in a part set apart."""
+    """Blocks of a page whose markup tells the label; none if it has no ``article``.
+
+    Main is what lies inside an article but not in its navigation, notices, adverts, forms, asides or
+    comments, by tags and by class and id words.
+    """
     blocks = blocks_of(page)
-    if not any("t:article" in b.path for b in blocks):
+    inside = {b.path: None for b in blocks}
+    if sum(p.size for p in inside) > MOST_FEATURES or not any("t:article" in p for p in inside):
         return []
-    apart = {"t:nav", "t:aside", "t:footer", "t:form", "t:header"}
+    known = {p: int(_in_article(p)) for p in inside}
     for b in blocks:
-        after = b.path[len(b.path) - 1 - b.path[::-1].index("t:article") :] if "t:article" in b.path else ()
-        b.label = int(bool(after) and not apart & set(after))
+        b.label = known[b.path]
     return blocks
 
 
+# Words of class and id names that set a part of an article apart.
+_COMMENT_WORDS = frozenset("comments comment commentlist discussion replies reply responses respond".split())
+_APART_WORDS = _COMMENT_WORDS | frozenset(
+    "notice alert cookie cookies consent gdpr warning announcement ad ads advert advertisement adsense sponsored promo"
+    " promotion sponsor newsletter subscribe signup login sidebar related recommended popular nav menu navigation"
+    " breadcrumb breadcrumbs pagination pager footer widget share social".split()
+)
+_APART_TAGS = frozenset("nav aside footer form header".split())
+
 # Words of class and id names, as they are common on the web.
 _MAIN_NAMES = "content main article post entry story body text page-content post-body entry-content article-body main-content blog-post".split()
 _OTHER_NAMES = {
@@ -406,16 +481,15 @@ def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, layouts: int = LAY
         few.groupBy("order").agg(F.min("html").alias("html")).orderBy("order").limit(sample_pages).collect()
     )
     own = [b for r in sample if (b := labelled_by_article(r.html))]
-    texts = [b.text for blocks in own for b in blocks if len(b.text) < 2000][:4000]
+    texts = [b.text for blocks in own for b in blocks if len(b.text) < LAYOUT_CHARS][:LAYOUT_TEXTS]
     return fit(own + generated_pages(texts, layouts))
 
 
 def main_text(model: ExtractionModel, page: Column) -> Column:
     @F.pandas_udf("string")
     def extract(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known: dict[tuple[str, ...], float] = {}
         for pages in batches:
-            yield pd.Series([model.extract(p, known) for p in pages], dtype="object")
+            yield pd.Series([model.extract(p) for p in pages], dtype="object")
 
     return extract(page)
 

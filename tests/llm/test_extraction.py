@@ -27,7 +27,7 @@ the text, which is long enough, and goes on for a while.<br>And a line after a b
 
 
 def test_article_without_its_surroundings(model):
-    assert model.extract(LAYOUT, {}) == (
+    assert model.extract(LAYOUT) == (
         "A headline\nFirst paragraph of the text, with a bold word & a reference here.\n"
         "Second paragraph of the text, which is long enough, and goes on for a while. And a line after a break.\n"
         "Third paragraph of the text, with an end."
@@ -40,7 +40,7 @@ def test_pages_of_the_table(pages, model):
     rows = pages.collect()
     for r in rows:
         wanted = "\n".join(b.text for b in x.labelled_by_article(r.html) if b.label)
-        wrong += model.extract(r.html, {}) != wanted
+        wrong += model.extract(r.html) != wanted
     assert wrong <= len(rows) // 100
 
 
@@ -49,7 +49,7 @@ def test_layouts_never_seen(model):
     blocks = wrong = 0
     for page in x.generated_pages(texts, 200, seed=99):
         blocks += len(page)
-        wrong += sum(a != b.label for a, b in zip(model.decode(page, {}), page, strict=True))
+        wrong += sum(a != b.label for a, b in zip(model.decode(page), page, strict=True))
     assert wrong / blocks < 0.03
 
 
@@ -67,7 +67,7 @@ def test_viterbi_is_the_best_labelling(model):
         return total
 
     best = max(product((0, 1), repeat=len(page)), key=value)
-    assert value(model.decode(page, {})) == pytest.approx(value(best))
+    assert value(model.decode(page)) == pytest.approx(value(best))
 
 
 @pytest.mark.parametrize(
@@ -93,6 +93,37 @@ def test_blocks(page, texts):
     assert [b.text for b in x.blocks_of(page)] == texts
 
 
+@pytest.mark.parametrize("page", ["<div>x" * 8000, "<div class='a b'><p>x</p>" * 4000, "<div>" * 8000 + "</p>x<p>" * 4000, "<a href=1>x<div>" * 4000])
+def test_deep_markup_takes_little_memory_and_time(model, page):
+    """Open tags that nobody closes: each block shares the path of its ancestors."""
+    import time
+    import tracemalloc
+
+    tracemalloc.start()
+    began = time.perf_counter()
+    model.extract(page)
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20 and time.perf_counter() - began < 10
+    tracemalloc.stop()
+
+
+def test_digit_share_is_that_of_the_whole_block():
+    path = x.Path(None, "p", (), ())
+    assert "d0" in x.text_features(x.Block(path, "1" * 200 + "a" * 5000, 0.0, None), 0)
+    assert "d2" in x.text_features(x.Block(path, "a" * 300 + "1" * 5000, 0.0, None), 0)
+
+
+BY_HAND = """<body><div class="wrap"><article class="post"><h1>Title of it</h1><p>First words of the story.</p>
+<div class="newsletter"><p>Join our list today!</p></div><p>More words of the story.</p>
+<div id="ad-slot" class="ad">Buy this now</div><section class="comments"><article class="comment"><p>I liked it.</p></article></section>
+</article><div class="discussion"><article><p>So did I.</p></article></div></div></body>"""
+
+
+def test_parts_set_apart_inside_articles(model):
+    labels = {b.text: b.label for b in x.labelled_by_article(BY_HAND)}
+    assert {t for t, main in labels.items() if main} == {"Title of it", "First words of the story.", "More words of the story."}
+    assert len(labels) == 7
+
+
 def test_odd_rows(spark, pages):
     rows = [(1, "u", None, 1), (2, None, "", 1), (None, "u", LAYOUT, 1), (3, "u", "<p>" + "w " * 300_000, 1), (3, "u", "<<<>>>&&&;", 1)]
     odd = spark.createDataFrame(rows * 2, "page_id long, url string, html string, text int")
