@@ -30,6 +30,7 @@ from shedlake.operators.activity import (
     join_activity,
 )
 from shedlake.operators.dimension import added_members
+from shedlake.sources.catalog import declare
 from shedlake.sources.paths import exists
 from shedlake.streaming.flows import append_flow, commits_flow, upsert_flow
 from shedlake.streaming.targets import AppendTarget, KeyedTarget, PartitionTarget, Target
@@ -243,8 +244,13 @@ def run_all(
 
 
 def publish_views(spark: SparkSession, lake: Lake) -> list[str]:
-    """Make every table readable by name; call again after a run to see its result."""
+    """Make every table readable by name in this session; call again after a run to see its result."""
     targets = lake.targets()
     for target in targets:
         target.read(spark).createOrReplaceTempView(target.name)
     return [t.name for t in targets]
+
+
+def declare_tables(spark: SparkSession, lake: Lake, database: str = "default") -> list[str]:
+    """Declare every table in the catalog, for whoever shares it; call again after a run to see its result."""
+    return [declare(spark, target, database) for target in lake.targets()]

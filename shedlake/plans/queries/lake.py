@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shedlake.contracts import CAMERA, ENVIRONMENTAL, FEEDS, SYNTHETIC
-from shedlake.plans.lakehouse import Lake, run_all, run_feeds
+from shedlake.plans.lakehouse import Lake, declare_tables, run_all, run_feeds
 from shedlake.plans.oracle import landed_gold, landed_silver
 from shedlake.plans.queries.inputs import (
     FILES_PER_BATCH,
@@ -22,7 +23,9 @@ from shedlake.plans.queries.inputs import (
 )
 from shedlake.plans.registry import query
 from shedlake.session import scratch_dir
+from shedlake.sources.catalog import described
 from shedlake.sources.derived import land_feed, load
+from shedlake.sources.tables import batch_table
 
 
 def landing_of(spark, sf_dir, *feeds):
@@ -84,34 +87,45 @@ def lake_gold_hourly(spark, sf_dir):
     return finished_lake(spark, sf_dir).hourly.read(spark)
 
 
-def described(name: str, keys: str, quality: str, source: str) -> str:
+def facts(name: str, comment: str, keys: str, quality: str, source: str) -> str:
     return (
-        f"SELECT '{name}' AS name, '{keys}' AS keys, '{quality}' AS quality, "
+        f"SELECT '{name}' AS name, '{comment}' AS comment, '{keys}' AS keys, '{quality}' AS quality, "
         f"CAST(count(*) AS BIGINT) AS n_rows FROM {source}"
     )
 
 
 HOURLY, DAILY = "FARM_NO,SHED_NO,DAY,HOUR", "FARM_NO,SHED_NO,DAY"
+FARMS = "(SELECT FARM_NO FROM camera UNION SELECT FARM_NO FROM environmental)"
 DESCRIBED = [
-    *(described(f"bronze_{f}", "", "bronze", f) for f in FEEDS),
-    *(described(f"quarantine_{f}", "", "quarantine", f"{f} WHERE FARM_NO IS NULL") for f in FEEDS),
-    *(described(f"silver_{c.name}", ",".join(c.keys), "silver", f"silver_{c.name}") for c in FEEDS.values()),
-    described("gold_activity_hourly", HOURLY, "gold", "hourly"),
-    described("gold_activity_daily", DAILY, "gold", "daily"),
-    described("dim_farm", "FARM_NO", "silver", "(SELECT FARM_NO FROM camera UNION SELECT FARM_NO FROM environmental)"),
+    *(facts(f"bronze_{f}", f"{f} readings as landed", "", "bronze", f) for f in FEEDS),
+    *(
+        facts(f"quarantine_{f}", f"{f} readings without a complete key", "", "quarantine", f"{f} WHERE FARM_NO IS NULL")
+        for f in FEEDS
+    ),
+    *(
+        facts(f"silver_{f}", f"{f} readings, current value per key", ",".join(c.keys), "silver", f"silver_{f}")
+        for f, c in FEEDS.items()
+    ),
+    facts("gold_activity_hourly", "hourly climate and activity per shed", HOURLY, "gold", "hourly"),
+    facts("gold_activity_daily", "daily mean climate and activity per shed", DAILY, "gold", "daily"),
+    facts("dim_farm", "farms seen in any feed", "FARM_NO", "silver", FARMS),
 ]
 
 
 @query(landed_gold("\nUNION ALL\n".join(DESCRIBED)))
 def target_metadata(spark, sf_dir):
-    """Name, keys, quality and size of every table of a finished lake."""
+    """Name, comment, keys, quality and size of every table of a finished lake, by name from the catalog."""
     lake = finished_lake(spark, sf_dir)
-    described_tables = []
-    for target in lake.targets():
-        facts = target.metadata()
-        described_tables.append(
-            target.read(spark)
-            .agg(F.count(F.lit(1)).alias("n_rows"))
-            .select(*(F.lit(facts[k]).alias(k) for k in ("name", "keys", "quality")), "n_rows")
-        )
-    return reduce(DataFrame.unionByName, described_tables)
+    database = f"lake_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{lake.root}/{database}'")
+    declare_tables(spark, lake, database)
+    told = []
+    for table in spark.catalog.listTables(database):
+        known = described(spark, f"{database}.{table.name}")
+        if "quality" in known:  # the stored changes of keyed tables have none of their own
+            told.append(
+                batch_table(spark, f"{database}.{table.name}")
+                .agg(F.count(F.lit(1)).alias("n_rows"))
+                .select(*(F.lit(known[k]).alias(k) for k in ("name", "comment", "keys", "quality")), "n_rows")
+            )
+    return reduce(DataFrame.unionByName, told)

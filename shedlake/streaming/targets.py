@@ -80,15 +80,6 @@ class Target:
         names = new_files_stream(spark, self.commits, f"*{COMMIT}", max_batches)
         return names.select(F.regexp_extract("path", rf"(\d+)\{COMMIT}$", 1).cast("bigint").alias(BATCH_ID))
 
-    def metadata(self) -> dict[str, str]:
-        return {
-            "name": self.name,
-            "keys": ",".join(self.keys),
-            "partition_by": ",".join(self.partition_by),
-            "comment": self.comment,
-            **self.properties,
-        }
-
     def _write(self, df: DataFrame, path: str) -> None:
         # Rebalancing splits a partition value that holds most of the rows and merges small ones. Without
         # partition columns it is done where a file size is asked for, whatever tasks the rows come in.
@@ -195,6 +186,10 @@ class KeyedTarget(Target):
         fit = [n for n in complete_versions(spark, self.bases, VERSION) if as_of is None or n <= as_of]
         return max(fit, default=None)
 
+    def base_version(self, spark: SparkSession) -> int | None:
+        """The last batch that the base, if there is one, has taken in."""
+        return self._base(spark, None)
+
     def _delta_rows(self, spark: SparkSession, batches: Sequence[int]) -> DataFrame:
         return self._read(spark, self.deltas, [f"{self.deltas}/{BATCH_ID}={n}" for n in batches], self.state_schema)
 

@@ -215,8 +215,6 @@ def test_gold_report_and_source_columns(spark, scratch, landing):
     assert lake.hourly.read(spark).columns == [
         "DAY", "HOUR", "FARM_NO", "SHED_NO", "BIRD_ACTIVITY", "SOUND_LEVEL", "TEMPRATURE", "HUMIDITY",
     ]
-    facts = lake.silver(ENVIRONMENTAL).metadata()
-    assert facts["keys"] == "FARM_NO,SHED_NO,DAY,HOUR" and facts["quality"] == "silver"
 
 
 def hourly_rows(spark, *rows):
