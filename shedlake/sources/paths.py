@@ -28,11 +28,6 @@ def modified_at(spark: SparkSession, path: str) -> int:
     return fs.getFileStatus(hadoop_path).getModificationTime()
 
 
-def put_name(spark: SparkSession, folder: str, name: str) -> None:
-    """Make a small file whose name is all it says."""
-    put_text(spark, folder, name, name)
-
-
 def put_text(spark: SparkSession, folder: str, name: str, text: str) -> None:
     """Make a small text file, which is there at once and whole, or not at all."""
     fs, hidden = _open(spark, f"{folder}/_{name}")

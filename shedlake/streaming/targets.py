@@ -10,27 +10,39 @@ cannot drift apart.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shedlake.operators.scd1 import MARK, fold_changes, fold_lifted, mark_order, publish
-from shedlake.operators.snapshots import CHANGE_TYPE, change_images, snapshot_diff
+from shedlake.operators.snapshots import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, change_images, snapshot_diff
 from shedlake.sources.landing import new_files_stream
-from shedlake.sources.paths import complete_versions, drop_folder, exists, glob, make_folder, modified_at, put_name
+from shedlake.sources.paths import complete_versions, drop_folder, exists, glob, make_folder, put_text
 from shedlake.sources.tables import BATCH_ID
 
 VERSION = "version"
 COMMIT = ".commit"
+NAMED_FOLDERS = 32  # folders that a read names one by one
 FILE_BYTES = "file_bytes"  # table property: size that stored files should have
 ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 PARALLELISM_FIRST = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
 
 
+def _ranges(numbers: Sequence[int]) -> list[tuple[int, int]]:
+    """Ascending numbers as ranges without gaps."""
+    out: list[tuple[int, int]] = []
+    for n in sorted(numbers):
+        out = [*out[:-1], (out[-1][0], n)] if out and out[-1][1] == n - 1 else [*out, (n, n)]
+    return out
+
+
 @contextmanager
 def _advised(spark: SparkSession, size: str | None) -> Iterator[None]:
     """Have Spark aim at partitions of a size while a write runs. Streams have a session of their own each."""
@@ -69,7 +81,16 @@ class Target:
         return f"{self.path}/commits"
 
     def _commit(self, spark: SparkSession, batch_id: int) -> None:
-        put_name(spark, self.commits, f"{batch_id}{COMMIT}")
+        """Make a batch visible; its commit says when, in milliseconds since the epoch."""
+        put_text(spark, self.commits, f"{batch_id}{COMMIT}", str(time.time_ns() // 1_000_000))
+
+    def commit_times(self, spark: SparkSession) -> DataFrame:
+        """(batch_id, committed_at) of every committed batch, as told by the commits themselves."""
+        told = spark.read.text(f"{self.commits}/*{COMMIT}").select(
+            F.regexp_extract("_metadata.file_name", rf"^(\d+)\{COMMIT}$", 1).cast("bigint").alias(BATCH_ID),
+            F.timestamp_millis(F.col("value").try_cast("bigint")).alias("committed_at"),
+        )
+        return told
 
     def commit_stream(self, spark: SparkSession, max_batches: int = 1000) -> DataFrame:
         """The numbers of committed batches as a stream, for micro-batches that read these batches.
@@ -91,6 +112,21 @@ class Target:
         with _advised(df.sparkSession, size):
             writer.parquet(path)
 
+    def _read_numbered(
+        self, spark: SparkSession, root: str, label: str, numbers: Sequence[int], schema: T.StructType
+    ) -> DataFrame:
+        """Rows of the folders ``<label>=<number>`` under ``root``.
+
+        A few folders are named one by one. Many are ranges of numbers in one scan of the root, so that
+        neither the plan nor the list of paths grows with them; Spark prunes the other folders.
+        """
+        if len(numbers) <= NAMED_FOLDERS:
+            return self._read(spark, root, [f"{root}/{label}={n}" for n in numbers], schema)
+        stored = schema if label in schema.names else T.StructType([*schema.fields, T.StructField(label, T.LongType())])
+        wanted = reduce(lambda a, b: a | b, (F.col(label).between(low, high) for low, high in _ranges(numbers)))
+        rows = spark.read.schema(stored).parquet(root).where(wanted)
+        return rows.select(*(f"`{c}`" for c in schema.names))
+
     def _read(self, spark: SparkSession, root: str, folders: Sequence[str], schema: T.StructType) -> DataFrame:
         if not folders:
             return spark.createDataFrame([], schema)
@@ -128,8 +164,7 @@ class AppendTarget(Target):
 
     def read_batches(self, spark: SparkSession, batches: Sequence[int]) -> DataFrame:
         """The rows of some committed batches, batch number included."""
-        folders = [f"{self.data}/{BATCH_ID}={n}" for n in batches]
-        return self._read(spark, self.data, folders, self.stored_schema)
+        return self._read_numbered(spark, self.data, BATCH_ID, batches, self.stored_schema)
 
 
 @dataclass(frozen=True)
@@ -191,7 +226,7 @@ class KeyedTarget(Target):
         return self._base(spark, None)
 
     def _delta_rows(self, spark: SparkSession, batches: Sequence[int]) -> DataFrame:
-        return self._read(spark, self.deltas, [f"{self.deltas}/{BATCH_ID}={n}" for n in batches], self.state_schema)
+        return self._read_numbered(spark, self.deltas, BATCH_ID, batches, self.state_schema)
 
     def _base_rows(self, spark: SparkSession, base: int) -> DataFrame:
         return self._read(spark, self.bases, [f"{self.bases}/{VERSION}={base}"], self.state_schema)
@@ -254,13 +289,12 @@ class KeyedTarget(Target):
         base = self._base(spark, start - 1)
         batches = [n for n in self.versions(spark) if (base is None or n > base) and (end is None or n <= end)]
         schema = T.StructType([*self.state_schema.fields, T.StructField(BATCH_ID, T.LongType())])
-        rows = self._read(spark, self.deltas, [f"{self.deltas}/{BATCH_ID}={n}" for n in batches], schema)
+        rows = self._read_numbered(spark, self.deltas, BATCH_ID, batches, schema)
         if base is not None:
             rows = rows.unionByName(self._base_rows(spark, base).withColumn(BATCH_ID, F.lit(base).cast("bigint")))
-        committed = [
-            (n, modified_at(spark, f"{self.deltas}/{BATCH_ID}={n}/_SUCCESS")) for n in batches if n >= start
-        ]
-        times = spark.createDataFrame(committed, "number bigint, millis bigint")
+        if not any(n >= start for n in batches):
+            return self._no_changes(spark)
+        times = self.commit_times(spark).select(F.col(BATCH_ID).alias("number"), "committed_at").where(F.col("number") >= start)
         steps = Window.partitionBy(*self.keys).orderBy(BATCH_ID)
         before = steps.rowsBetween(Window.unboundedPreceding, -1)
         up_to = steps.rowsBetween(Window.unboundedPreceding, 0)
@@ -273,7 +307,20 @@ class KeyedTarget(Target):
         pairs = rows.select(*self.keys, BATCH_ID, first.alias("first"), image(before).alias("old"), image(up_to).alias("new"))
         label = F.when(F.col("first"), "insert").when(same, "unchanged").otherwise("update")
         told = pairs.withColumn("label", label).join(times, F.col(BATCH_ID) == F.col("number"))
-        return change_images(told, self.keys, self.values, F.col("number"), F.timestamp_millis("millis"))
+        return change_images(told, self.keys, self.values, F.col("number"), F.col("committed_at"))
+
+    def read_changes_between(self, spark: SparkSession, since: datetime, until: datetime | None = None) -> DataFrame:
+        """Change feed of the batches committed from ``since`` on and up to ``until``."""
+        times = self.commit_times(spark).where(F.col("committed_at") >= F.lit(since))
+        if until is not None:
+            times = times.where(F.col("committed_at") <= F.lit(until))
+        first, last = times.agg(F.min(BATCH_ID), F.max(BATCH_ID)).first()
+        return self._no_changes(spark) if first is None else self.read_changes(spark, first, last)
+
+    def _no_changes(self, spark: SparkSession) -> DataFrame:
+        kinds = [(CHANGE_TYPE, T.StringType()), (COMMIT_VERSION, T.LongType()), (COMMIT_TIMESTAMP, T.TimestampType())]
+        fields = [self.schema[c] for c in (*self.keys, *self.values)]
+        return spark.createDataFrame([], T.StructType([*fields, *(T.StructField(n, k) for n, k in kinds)]))
 
     def compact(self, spark: SparkSession) -> int | None:
         """Fold everything stored so far into a base. None if there is nothing new to fold."""

@@ -154,6 +154,44 @@ def test_keyed_target_folds_replays_and_compacts(spark, scratch, partition_by):
     assert rows_of(second) == [(0, "update_postimage", 1), (0, "update_preimage", 1), (1, "insert", 1)]
 
 
+def test_changes_by_range_and_by_commit_time(spark, scratch):
+    """Times are those of the commits, and survive a copy of the folder."""
+    import datetime
+    import shutil
+    import time
+
+    silver, moments = Lake(f"{scratch}/a").silver(CAMERA), []
+    for number, batch in enumerate(BATCHES):
+        moments.append(datetime.datetime.now(datetime.UTC))
+        time.sleep(0.01)
+        silver.merge_batch(silver_changes(spark, *batch), number)
+    shutil.copytree(f"{scratch}/a", f"{scratch}/b")
+    copy = Lake(f"{scratch}/b").silver(CAMERA)
+    for commit in os.listdir(copy.commits):
+        os.utime(f"{copy.commits}/{commit}", (1, 1))
+    whole = rows_of(silver.read_changes(spark))
+    assert rows_of(copy.read_changes(spark)) == whole and len({r[-1] for r in whole}) == 3
+    assert rows_of(copy.read_changes_between(spark, moments[1])) == rows_of(silver.read_changes(spark, 1))
+    assert rows_of(copy.read_changes_between(spark, moments[1], moments[2])) == rows_of(silver.read_changes(spark, 1, 1))
+    later = moments[2] + datetime.timedelta(days=1)
+    none = copy.read_changes_between(spark, later)
+    assert none.count() == 0 and none.dtypes == silver.read_changes(spark).dtypes
+    assert silver.read_changes(spark, 5).count() == 0
+
+
+def test_reads_of_many_batches_do_not_grow_with_them(spark, scratch):
+    bronze = Lake(scratch).bronze(CAMERA)
+    for n in range(36):
+        bronze_rows(spark, (1, 1, n, "1", "1", n)).write.parquet(f"{bronze.data}/{BATCH_ID}={n}")
+        if n != 20:
+            bronze._commit(spark, n)
+    rows = bronze.read(spark, with_batch_id=True)
+    assert sorted(r.batch_id for r in rows.collect()) == [n for n in range(36) if n != 20]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and plan.count("batch_id=") == 0
+    assert bronze.read_batches(spark, [3, 20]).count() == 2
+
+
 def test_batch_that_broke_off_is_written_again(spark, scratch):
     silver = Lake(scratch).silver(CAMERA)
     silver.merge_batch(silver_changes(spark, *BATCHES[0]), 0)
