@@ -3,10 +3,12 @@
 The words of a source are one stream, cut into blocks of ``block`` words whatever the document
 boundaries. A source's slots run through its blocks in epochs, each in the order of a pseudorandom
 permutation of block indices, keyed by source and epoch; the last epoch stops when the target is
-reached. All slots of all sources then go to output places by one more permutation, so that the
-sources of a shard are a multinomial draw. It is drawn without replacement from the exact totals:
-the counts vary per shard, the sum over shards does not miss the target. Nothing but row counts
-and sums is shuffled; places, blocks and permutations are computed from indices.
+reached. How many slots each source has in an output shard is a multinomial draw, given the totals: all
+shards are halved again and again, and each half's counts are drawn from those of the whole, with
+random numbers that only the half decides. So the counts vary per shard, their sums do not miss the
+targets, and a task finds the counts of its shards, and which of the sources' slots they are, from the
+totals alone. The slots of a shard are filled with the sources' next blocks, joined by index, in an order
+that a permutation per shard gives. Nothing but row counts and sums is shuffled.
 """
 
 from __future__ import annotations
@@ -25,8 +27,9 @@ MOST_TIMES = 3  # a source fills at most so many times its own size
 BLOCK = 256  # words
 SHARD_SLOTS = 1024  # blocks of an output shard
 LANE = 4_000  # documents that one task numbers one after the other, on average
-CHUNK = 1 << 16  # slots that one row stands for until they are dealt out
 SEED = 11
+MOST_SOURCES = 100_000  # a task holds a few numbers for each source while it draws
+_EXACT = 10**9  # totals up to here are drawn by numpy, which takes no larger ones
 
 _ROUNDS = 4
 
@@ -131,17 +134,90 @@ def _planned(sources: DataFrame, block: int, seed: int) -> DataFrame:
         .withColumn("lacks", lacks)
         .withColumn("tail", F.when(F.col("short_at") < plain, F.ceil((F.col("rest") + lacks) / block)).otherwise(plain))
         .withColumn("slots", F.col("epochs") * F.col("blocks") + F.col("tail"))
-        .withColumn("first_slot", F.sum("slots").over(Window.orderBy("number")) - F.col("slots"))
-        .withColumn("all_slots", F.sum("slots").over(Window.partitionBy()))
     )
 
 
+def _drawn(random: np.random.Generator, good: int, bad: int, sample: int) -> int:
+    """How many of ``sample`` slots, drawn from ``good`` and ``bad`` ones without replacement, are good.
+
+    Beyond ``_EXACT`` slots by the normal distribution with the same mean and variance.
+    """
+    low, high = max(0, sample - bad), min(good, sample)
+    if low == high:
+        return low
+    total = good + bad
+    if total < _EXACT:
+        return int(random.hypergeometric(good, bad, sample))
+    share = good / total
+    spread = (sample * share * (1 - share) * ((total - sample) / (total - 1))) ** 0.5
+    return min(high, max(low, round(random.normal(sample * share, spread))))
+
+
+class ShardDraw:
+    """Slots of each source in each output shard: a multinomial draw given the totals."""
+
+    def __init__(self, totals: list[int], shard_slots: int, seed: int) -> None:
+        self.totals, self.shard_slots, self.seed = totals, shard_slots, seed
+        self.slots = sum(totals)
+        self.shards = -(-self.slots // shard_slots)
+        self.known: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
+
+    def _half(self, low: int, high: int, counts: list[int]) -> list[int]:
+        """The counts of the first half of the shards from ``low`` to ``high``."""
+        random = np.random.default_rng([self.seed, low, high])
+        middle = (low + high) // 2
+        sample, rest, out = (middle - low) * self.shard_slots, sum(counts), []
+        for count in counts:
+            rest -= count
+            out.append(_drawn(random, count, rest, sample))
+            sample -= out[-1]
+        return out
+
+    def of(self, shard: int) -> tuple[list[int], list[int]]:
+        """For each source, the first of its slots in the shard and how many they are."""
+        low, high, first, counts = 0, self.shards, [0] * len(self.totals), self.totals
+        while high - low > 1:
+            middle = (low + high) // 2
+            half = self.known.get((low, high))
+            if half is None:
+                if len(self.known) * len(counts) > 1_000_000:
+                    self.known.clear()
+                half = self.known[low, high] = self._half(low, high, counts)
+            if shard < middle:
+                high, counts = middle, half
+            else:
+                first = [f + h for f, h in zip(first, half, strict=True)]
+                low, counts = middle, [c - h for c, h in zip(counts, half, strict=True)]
+        return first, counts
+
+
 def _slots(planned: DataFrame, block: int, shard_slots: int, seed: int) -> DataFrame:
     """(number, block, take, shard, slot): the first ``take`` words of a block go to an output slot."""
-    chunks = planned.where("slots > 0").withColumn("chunk", F.explode(F.expr(f"sequence(0L, (slots - 1) div {CHUNK})")))
+    sources = planned.select("number", "slots").orderBy("number").limit(MOST_SOURCES + 1).collect()
+    if len(sources) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources")
+    numbers, totals = [r.number for r in sources], [r.slots for r in sources]
+    spark = planned.sparkSession
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shards, rows = ShardDraw(totals, shard_slots, seed), []
+        for batch in batches:
+            for shard in batch["id"].tolist():
+                at, (first, counts) = 0, shards.of(shard)
+                for number, start, count in zip(numbers, first, counts, strict=True):
+                    if count:
+                        rows.append((shard, number, start, count, at))
+                        at += count
+            yield pd.DataFrame(rows, columns=["shard", "n", "start", "count", "at"])
+            rows = []
+
+    drawn = spark.range(-(-sum(totals) // shard_slots)).mapInPandas(
+        draw, "shard long, n int, start long, count long, at long"
+    )
+    filled = F.least(F.lit(shard_slots), F.lit(sum(totals)) - F.col("shard") * shard_slots)
     each = (
-        chunks.repartition("number", "chunk")
-        .withColumn("t", F.explode(F.expr(f"sequence(chunk * {CHUNK}, least(slots, (chunk + 1) * {CHUNK}) - 1)")))
+        drawn.select("*", filled.alias("filled"), F.posexplode(F.expr("sequence(start, start + count - 1)")).alias("nth", "t"))
+        .join(planned, F.col("n") == F.col("number"))
         .withColumn("epoch", F.expr("t div blocks"))
         .withColumn("step", F.col("t") % F.col("blocks"))
     )
@@ -150,18 +226,12 @@ def _slots(planned: DataFrame, block: int, shard_slots: int, seed: int) -> DataF
     take = F.when(F.col("epoch") < F.col("epochs"), F.lit(block)).otherwise(
         F.least(F.lit(block), F.col("rest") - before)
     )
-    place = _permutation(F.col("first_slot") + F.col("t"), F.col("all_slots"), F.lit(seed))
     return each.select(
         "number",
         _permutation(F.col("step"), F.col("blocks"), key).alias("block"),
         take.alias("take"),
-        place.alias("place"),
-    ).select(
-        "number",
-        "block",
-        "take",
-        F.expr(f"place div {shard_slots}").alias("shard"),
-        (F.col("place") % shard_slots).alias("slot"),
+        "shard",
+        _permutation(F.col("at") + F.col("nth"), F.col("filled"), F.xxhash64(F.lit(seed), "shard")).alias("slot"),
     )
 
 

@@ -97,3 +97,26 @@ def test_slots_hold_blocks_and_shards_mix(spark):
     assert sum(len(r.text.split()) for r in texts) == mix.agg(F.sum("n_words")).first()[0]
     shards = mix.select("shard", "slot", "number").distinct().groupBy("shard").agg(F.countDistinct("number").alias("n"))
     assert shards.agg(F.avg("n")).first()[0] > 1.5
+
+
+@pytest.mark.parametrize("totals,size", [([5000, 300, 0, 17], 100), ([1], 7), ([1000, 1000, 1000], 1), ([10**7, 10**6], 999)])
+def test_shard_counts_sum_to_the_totals(totals, size):
+    draw = mixing.ShardDraw(totals, size, 3)
+    shards = range(draw.shards) if draw.shards < 5000 else range(200)
+    at = [0] * len(totals)
+    for shard in shards:
+        first, counts = draw.of(shard)
+        assert first == at and sum(counts) == min(size, draw.slots - shard * size)
+        at = [a + c for a, c in zip(at, counts, strict=True)]
+    assert draw.shards >= 5000 or at == totals
+    again = mixing.ShardDraw(totals, size, 3)
+    assert again.of(draw.shards - 1) == draw.of(draw.shards - 1)  # a shard on its own
+
+
+def test_shard_counts_are_a_multinomial_draw():
+    """Mean and variance of a source's slots per shard, also where totals pass what numpy draws exactly."""
+    for scale in (1, 10**8):
+        draw = mixing.ShardDraw([300_000 * scale, 100_000 * scale], 400, 5)
+        counts = np.array([draw.of(s)[1][0] for s in range(0, draw.shards, draw.shards // 900)])
+        assert abs(counts.mean() - 300) < 1.5 and 60 < counts.var() < 90  # 400 * 0.75 * 0.25 = 75
+    assert mixing.ShardDraw([5, 7], 4, 1).of(1) != mixing.ShardDraw([5000, 7000], 4000, 2).of(1)
