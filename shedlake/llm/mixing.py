@@ -217,7 +217,7 @@ def _slots(planned: DataFrame, block: int, shard_slots: int, seed: int) -> DataF
     filled = F.least(F.lit(shard_slots), F.lit(sum(totals)) - F.col("shard") * shard_slots)
     each = (
         drawn.select("*", filled.alias("filled"), F.posexplode(F.expr("sequence(start, start + count - 1)")).alias("nth", "t"))
-        .join(planned, F.col("n") == F.col("number"))
+        .join(F.broadcast(planned), F.col("n") == F.col("number"))  # MOST_SOURCES rows at most; the other side is large
         .withColumn("epoch", F.expr("t div blocks"))
         .withColumn("step", F.col("t") % F.col("blocks"))
     )
