@@ -14,7 +14,6 @@ only, and the counts stay exact.
 
 from __future__ import annotations
 
-import re
 import string
 from collections import defaultdict
 from collections.abc import Iterator

@@ -31,54 +31,67 @@ def _byte_bpe() -> str:
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document. Odd rows and empty tables are as in ``quality.score_documents``."""
     return quality.score_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page; null and empty pages give an empty one, as in ``extraction.extract_pages``."""
     return extraction.extract_pages(load(spark, sf_dir, "pages"))
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that the benchmark has; nulls, repeats and empty tables are as in ``contamination``."""
     return decontamination.contamination_query(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
 def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector; unusable vectors link with nothing, as in ``dedup_vectors``."""
     return near_vectors.dedup_vectors(load(spark, sf_dir, "embeddings"))
 
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every formatted conversation and of the probe; an empty table leaves the probe alone."""
     return chat.chat_query(load(spark, sf_dir, "conversations"), _byte_bpe())
 
 
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document; texts without words have fingerprint zero, as in ``simhash_dedup``."""
     return simhash.simhash_dedup(load(spark, sf_dir, "documents"))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that every document keeps; a null or empty text is one empty line, as in ``dedup_lines``."""
     return line_dedup.dedup_query(load(spark, sf_dir, "documents"))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document. Odd rows and empty tables are as in ``toxicity.score_documents``."""
     return toxicity.score_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a repeated passage, a row each; null and empty texts have none, as in ``repeated_passages``."""
     return substrings.substring_query(load(spark, sf_dir, "documents"))
 
 
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document; a null source is one of its own, as in ``mix_sources``."""
     return mixing.mix_query(load(spark, sf_dir, "documents"))
 
 
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first phrases of each language; an empty table gives none, as in ``collocations.collocations``."""
     return collocations.collocations(load(spark, sf_dir, "documents"))
 
 
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document; null and empty texts have 0, as in ``count_tokens``."""
     return token_counts.count_tokens(load(spark, sf_dir, "documents"), _byte_bpe())
 
 
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document; texts without words weigh 0, as in ``resample``."""
     return importance.resample_query(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
