@@ -15,8 +15,9 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round hooks the larger neighbours of every node to its smallest neighbour, then the smaller
     ones, until all that is left are stars. Rounds grow with the logarithm of the longest path. Only
-    grouped minima and joins are used, and AQE splits the join at a node with very many links. Every
-    round is checkpointed, so lost executors don't undo it. Null ends and loops are ignored.
+    grouped minima and joins are used. The minima are checkpointed before the join, so that it has plain
+    exchanges on both sides and AQE splits it at a node with very many links. Every round is
+    checkpointed too, so lost executors don't undo it. Null ends and loops are ignored.
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low"))
     edges, before = checkpointed(edges.distinct()), None
@@ -37,15 +38,19 @@ def components(links: DataFrame) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Larger neighbours of each node move to the smallest member of its neighbourhood."""
-    least = edges.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("least"))
+    least = _least(edges)
     joined = edges.join(least, F.col("low") == F.col("node"), "left")
     return joined.select("high", F.coalesce("least", "low").alias("low")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Smaller neighbours of each node, and the node itself, move to the smallest of them."""
-    least = edges.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("least"))
+    least = _least(edges)
     joined = edges.join(least, F.col("high") == F.col("node"))
     moved = joined.where("low <> least").select(F.col("low").alias("high"), F.col("least").alias("low"))
     hooked = least.select(F.col("node").alias("high"), F.col("least").alias("low"))
     return moved.unionByName(hooked).distinct()
+
+
+def _least(edges: DataFrame) -> DataFrame:
+    return checkpointed(edges.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("least")))

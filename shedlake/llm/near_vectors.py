@@ -1,12 +1,16 @@
 """Embedding near-dedup: all pairs above a cosine threshold, by dual traversal of cover trees.
 
 On unit vectors a cosine threshold is a distance, so the triangle inequality holds. Vectors of one
-label are dealt into blocks: to the nearest of a bounded number of centres, and what is too much for
-one block by hash. Blocks whose centres are further apart than their covering radii and the
-threshold allow are never paired, and a vector goes to a pair only if it can reach the other block.
-A task builds the cover tree of its block or of its two blocks: nested levels with halving radii,
-where each node knows the radius that covers all below it. The trees are traversed together, node
-pairs beyond the bounds are pruned, and node pairs that lie within the threshold as a whole are
+label are one task to begin with. A task too large for one tree is split, level by level: centres
+are drawn from it, those close to another are left out, and each vector goes to the cell of its
+nearest centre. Two vectors of different cells can only link if both lie within the threshold of the
+plane half-way between the centres, so a vector is sent to the other cells that it can reach in this
+sense, and to no more. Vectors within half the threshold of a centre are a ball, all linked with each
+other, whose links are counted without comparing any. What a split does not make smaller is dealt
+into parts by hash, each part against each.
+A small enough task builds the cover tree of its cell or of its two sides: nested levels with halving
+radii, where each node knows the radius that covers all below it. The trees are traversed together,
+node pairs beyond the bounds are pruned, and node pairs that lie within the threshold as a whole are
 accepted without comparing their members. All other pairs are compared in double precision. Equal
 vectors count as one with a weight. Tasks return link counts and a spanning forest, never all pairs.
 """
@@ -15,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -26,7 +31,10 @@ from shedlake.llm.components import components
 
 COSINE = 0.98
 BLOCK = 2048  # vectors in one tree
-CENTRES = 4096  # vectors that are broadcast as block centres, over all labels together
+CELLS = 64  # cells that one split aims at, at most
+SLICE = 16384  # rows that are dealt to the cells of their task together
+LEVELS = 20  # splits below each other; what is too large after them is dealt by hash
+SHRUNK = 0.75  # a task that has more of its parent's rows than this is dealt by hash
 LEAF = 32
 _SLACK = 1e-6  # bounds give way by this much, which rounding stays far below; comparisons do not
 
@@ -197,51 +205,161 @@ def _move(node: _Node, by: int) -> None:
         todo.extend(n.children)
 
 
-@dataclass
-class _Centres:
-    """Centres of the large groups; fixed size at most."""
-
-    of_group: dict[str, tuple[int, np.ndarray]]  # group: number of its first centre, centres
-
-    def nearest(self, group: str, unit: bytes) -> tuple[int, float]:
-        if group not in self.of_group:
-            return -1, 0.0
-        first, centres = self.of_group[group]
-        apart = _distance(centres @ np.frombuffer(unit))
-        best = int(apart.argmin())
-        return first + best, float(apart[best])
-
-    def apart(self, group: str, cell: int, unit: bytes) -> float:
-        first, centres = self.of_group[group]
-        return float(_distance(np.array(centres[cell - first] @ np.frombuffer(unit))))
-
-    def between(self, group: str, a: int, b: int) -> float:
-        first, centres = self.of_group[group]
-        return float(_distance(np.array(centres[a - first] @ centres[b - first])))
-
-
-def _centres(nodes: DataFrame, block: int, most: int) -> _Centres:
-    """Pick centres by hash for groups that need more than one block."""
-    sizes = nodes.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
-    share = F.least(F.lit(1.0 / block), F.lit(most / max(1, nodes.count())))
-    wanted = sizes.select(F.col("group").alias("g"), "n", F.floor(F.col("n") * share).alias("k")).where("k > 1")
-    # A hash below the bar keeps about twice as many as wanted; of these the first are taken.
-    bar = (F.col("k") * 2 / F.col("n") * F.lit(float(2**31))).cast("long")
-    tried = nodes.join(wanted, F.col("group") == F.col("g")).where(F.pmod(F.xxhash64("node"), F.lit(2**31)) < bar)
-    rows = tried.orderBy(F.xxhash64("node"), "node").select("group", "unit", "k").limit(most * 2).collect()
-    found: dict[str, list[bytes]] = {}
-    for r in rows:
-        if len(own := found.setdefault(r.group, [])) < r.k:
-            own.append(bytes(r.unit))
-    centres, first = {}, 0
-    for group in sorted(found):
-        centres[group] = (first, np.stack([np.frombuffer(u) for u in found[group]]))
-        first += len(found[group])
-    return _Centres(centres)
+def _net(units: list[bytes], apart: float) -> np.ndarray:
+    """The vectors that are further than ``apart`` from all kept before them."""
+    kept: list[np.ndarray] = []
+    for vector in map(np.frombuffer, units):
+        if not kept or float(_distance(np.stack(kept) @ vector).min()) > apart:
+            kept.append(vector)
+    return np.stack(kept)
+
+
+def _cells(centres: np.ndarray, vectors: np.ndarray, limit: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The cell of each vector, whether it lies in the ball of its centre, and which cells it can reach."""
+    cosines = vectors @ centres.T
+    own = cosines.argmax(axis=1)
+    nearest = cosines[np.arange(len(own)), own]
+    between = _distance(centres @ centres.T)
+    reach = nearest[:, None] - cosines <= limit * between[own] + _SLACK
+    reach[np.arange(len(own)), own] = False
+    return own, _distance(nearest) <= limit / 2 - _SLACK, reach
+
+
+def _targets(task: str, side: int, own: int, ball: bool, others: list[int]) -> list[tuple[str, int]]:
+    """Tasks and sides below ``task`` that take a vector.
+
+    Every two vectors that had to be compared in ``task`` and can link meet in exactly one of them. The
+    name of a ball ends in ``o``.
+    """
+    if side == 0:
+        found = [(f"{task}|{min(own, j)}-{max(own, j)}", 1 if own < j else 2) for j in others]
+        if ball:
+            return [*found, (f"{task}|{own}o", 0), (f"{task}|{own}x", 1)]
+        return [*found, (f"{task}|{own}", 0), (f"{task}|{own}x", 2)]
+    if side == 1:
+        found = [(f"{task}|{own}>{j}", 1) for j in others]
+        return [*found, *([(f"{task}|{own}o", 1), (f"{task}|{own}x", 1)] if ball else [(f"{task}|{own}y", 1)])]
+    found = [(f"{task}|{j}>{own}", 2) for j in others]
+    inner = [(f"{task}|{own}o", 2)] if ball else [(f"{task}|{own}x", 2)]
+    return [*found, *inner, (f"{task}|{own}y", 2)]
+
+
+def _deal(limit: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Rows sorted by task and slice, centres first (side -1), to rows of the tasks below."""
+
+    def frames(task: str, centres: np.ndarray, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        vectors = np.frombuffer(b"".join(rows["unit"])).reshape(len(rows), -1)
+        own, ball, reach = _cells(centres, vectors, limit)
+        found: list[tuple] = []
+        columns = ["task", "side", "node", "weight", "unit", "above"]
+        for n, (side, node, weight, unit, count) in enumerate(
+            rows[["side", "node", "weight", "unit", "n"]].itertuples(index=False, name=None)
+        ):
+            for name, at in _targets(task, side, int(own[n]), bool(ball[n]), np.flatnonzero(reach[n]).tolist()):
+                found.append((name, at, node, weight, unit, count))
+            if len(found) >= 4096:
+                yield pd.DataFrame(found, columns=columns)
+                found = []
+        if found:
+            yield pd.DataFrame(found, columns=columns)
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, drawn, centres = None, [], None
+        for batch in batches:
+            for key, rows in batch.groupby(["task", "slice"], sort=False):
+                if key != held:
+                    held, drawn, centres = key, [], None
+                here = rows["side"] < 0
+                drawn += rows.loc[here, "unit"].tolist()
+                rows = rows[~here]
+                if len(rows):
+                    if centres is None:  # a task that drew none is one cell
+                        centres = _net(drawn or [rows["unit"].iloc[0]], limit / 2)
+                    yield from frames(key[0], centres, rows)
+
+    return deal
+
+
+def _by_hash(rows: DataFrame, block: int) -> DataFrame:
+    """Rows of tasks that a split does not make smaller, dealt into parts, each part against each."""
+    across = F.col("side") > 0
+    mine = F.when(F.col("side") == 1, F.col("n_1")).when(F.col("side") == 2, F.col("n_2")).otherwise(F.col("n"))
+    theirs = F.when(F.col("side") == 1, F.col("n_2")).when(F.col("side") == 2, F.col("n_1")).otherwise(F.col("n"))
+    many = lambda n: F.ceil(n * 2 / block).cast("long")
+    parted = rows.withColumn("part", F.pmod(F.xxhash64("node"), many(mine))).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), many(theirs) - 1))
+    )
+    first = F.when(across, F.when(F.col("side") == 1, F.col("part")).otherwise(F.col("other")))
+    first = F.coalesce(first, F.least("part", "other"))
+    second = F.when(across, F.when(F.col("side") == 1, F.col("other")).otherwise(F.col("part")))
+    second = F.coalesce(second, F.greatest("part", "other"))
+    side = F.when(across, F.col("side")).when(F.col("part") == F.col("other"), 0)
+    return parted.select(
+        F.concat_ws("|", "task", first, second).alias("task"),
+        side.when(F.col("part") < F.col("other"), 1).otherwise(2).alias("side"),
+        "node", "weight", "unit",
+    )
+
+
+def _tasks(nodes: DataFrame, limit: float, block: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (task, side, node, weight, unit) of tasks that fit one tree, and those of balls."""
+    columns = ["task", "side", "node", "weight", "unit"]
+    rows = nodes.select(  # a hash, so that no label looks like the name of a task below another
+        F.sha2("group", 256).alias("task"), F.lit(0).alias("side"), "node", "weight", "unit", F.lit(2**62).alias("above")
+    )
+    ready, balls = [], []
+    for level in range(LEVELS + 1):
+        sizes = rows.groupBy("task").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(F.col("side") == 1).alias("n_1"),
+            F.count_if(F.col("side") == 2).alias("n_2"),
+        )
+        # One side alone has nothing to be compared with.
+        sized = rows.join(sizes.where("n_1 + n_2 = 0 OR (n_1 > 0 AND n_2 > 0)"), "task")
+        ball = F.col("task").endswith("o") if level else F.lit(False)
+        balls.append(sized.where(ball).select(*columns))
+        ready.append(sized.where(~ball & (F.col("n") <= block)).select(*columns))
+        large = sized.where(~ball & (F.col("n") > block))
+        shrunk = (F.col("n") <= F.col("above") * SHRUNK) & F.lit(level < LEVELS)
+        ready.append(_by_hash(large.where(~shrunk), block))
+        split = large.where(shrunk).withColumn("slices", F.ceil(F.col("n") / SLICE))
+        if split.isEmpty():
+            break
+        share = F.least(F.lit(float(CELLS)), F.ceil(F.col("n") * 2 / block)) / F.col("n")
+        drawn = split.where(F.pmod(F.xxhash64(F.lit(level), "node"), F.lit(2**31)) < share * F.lit(float(2**31)))
+        sent = ["task", "slice", "side", "node", "weight", "unit", "n"]
+        centres = drawn.withColumn("side", F.lit(-1)).withColumn(
+            "slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1))
+        )
+        dealt = split.withColumn("slice", F.pmod(F.xxhash64("node"), F.col("slices")))
+        rows = stored(
+            dealt.select(*sent)
+            .unionByName(centres.select(*sent))
+            .repartition("task", "slice")
+            .sortWithinPartitions("task", "slice", "side", "node")
+            .mapInPandas(_deal(limit), "task string, side int, node string, weight long, unit binary, above long"),
+            f"vector-level-{level}",
+        )
+    return reduce(DataFrame.unionByName, ready), reduce(DataFrame.unionByName, balls)
+
+
+def _ball_links(balls: DataFrame) -> DataFrame:
+    """Counts (a, null, n) and links (a, b, 0) of balls, in which every vector links with every other one."""
+    balls = stored(balls.drop("unit"), "vector-balls")
+    weight = lambda side: F.sum(F.when(F.col("side") == side, F.col("weight"))).alias(f"w_{side}")
+    totals = stored(
+        balls.groupBy("task").agg(weight(0), weight(1), weight(2), F.min("node").alias("first")), "vector-ball-totals"
+    )
+    told = balls.join(totals, "task")
+    n = F.when(F.col("side") == 0, F.col("w_0") - F.col("weight")).when(F.col("side") == 1, F.col("w_2")).otherwise(F.col("w_1"))
+    none = F.lit(None).cast("string")
+    return told.select(F.col("node").alias("a"), none.alias("b"), n.alias("n")).unionByName(
+        told.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"), F.lit(0).cast("long").alias("n"))
+    )
 
 
 def near_vectors(
-    vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK, centres: int = CENTRES
+    vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Units (vec_id, node), link counts of nodes (node, n, weight) and links (a, b) of a spanning forest.
 
@@ -274,72 +392,13 @@ def near_vectors(
         .agg(F.count(F.lit(1)).alias("weight")),
         "vector-nodes",
     )
-    # Broadcasts go by reference, unlike functions, so what is sent is plain: executors need not have this package.
-    held = nodes.sparkSession.sparkContext.broadcast(_centres(nodes, block, centres).of_group)
-    limit = float(np.sqrt(2 - 2 * cosine)) + _SLACK
-
-    @F.pandas_udf("cell long, reach double")
-    def cell_of(groups: pd.Series, units: pd.Series) -> pd.DataFrame:
-        near = _Centres(held.value)
-        found = [near.nearest(g, u) for g, u in zip(groups, units, strict=True)]
-        return pd.DataFrame(found, columns=["cell", "reach"])
-
-    @F.pandas_udf("boolean")
-    def may_meet(groups: pd.Series, a: pd.Series, b: pd.Series, spread: pd.Series) -> pd.Series:
-        near = _Centres(held.value)
-        return pd.Series(
-            [
-                x == y or near.between(g, x, y) <= s + limit
-                for g, x, y, s in zip(groups, a, b, spread, strict=True)
-            ]
-        )
-
-    @F.pandas_udf("boolean")
-    def can_reach(groups: pd.Series, cells: pd.Series, units: pd.Series, radii: pd.Series, own: pd.Series) -> pd.Series:
-        near = _Centres(held.value)
-        return pd.Series(
-            [
-                c == o or near.apart(g, c, u) <= r + limit
-                for g, c, u, r, o in zip(groups, cells, units, radii, own, strict=True)
-            ]
-        )
-
-    celled = stored(
-        nodes.withColumn("c", cell_of("group", "unit")).select("node", "group", "unit", "weight", "c.cell", "c.reach"),
-        "vector-cells",
-    )
-    sizes = celled.groupBy("group", "cell").agg(F.ceil(F.count(F.lit(1)) / block).alias("parts"))
-    dealt = stored(
-        celled.join(sizes, ["group", "cell"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).drop("parts"),
-        "vector-blocks",
-    )
-    blocks = dealt.groupBy("group", "cell", "part").agg(F.max("reach").alias("radius"))
-    left = blocks.select("group", F.col("cell").alias("cell_a"), F.col("part").alias("part_a"), F.col("radius").alias("radius_a"))
-    right = blocks.select(F.col("group").alias("g"), F.col("cell").alias("cell_b"), F.col("part").alias("part_b"), F.col("radius").alias("radius_b"))
-    later = F.struct("cell_a", "part_a") < F.struct("cell_b", "part_b")
-    pairs = left.join(right, (F.col("group") == F.col("g")) & later).drop("g")
-    pairs = stored(pairs.where(may_meet("group", "cell_a", "cell_b", F.col("radius_a") + F.col("radius_b"))), "block-pairs")
-    task = F.concat_ws("|", "group", "cell_a", "part_a", "cell_b", "part_b")
-    ways = pairs.select(
-        "group", F.col("cell_a").alias("cell"), F.col("part_a").alias("part"), F.lit(1).alias("side"),
-        F.col("cell_b").alias("other"), F.col("radius_b").alias("radius"), task.alias("task"),
-    ).unionByName(
-        pairs.select(
-            "group", F.col("cell_b").alias("cell"), F.col("part_b").alias("part"), F.lit(2).alias("side"),
-            F.col("cell_a").alias("other"), F.col("radius_a").alias("radius"), task.alias("task"),
-        )
-    )
-    across = dealt.join(ways, ["group", "cell", "part"]).where(can_reach("group", "other", "unit", "radius", "cell"))
-    within = dealt.withColumn("task", F.concat_ws("|", "group", "cell", "part")).withColumn("side", F.lit(0))
-    columns = ["task", "side", "node", "weight", "unit"]
-    found = stored(
-        within.select(*columns)
-        .unionByName(across.select(*columns))
-        .repartition("task")
+    tasks, balls = _tasks(nodes, float(np.sqrt(2 - 2 * cosine)), block)
+    compared = (
+        tasks.repartition("task")
         .sortWithinPartitions("task", "side", "node")
-        .mapInPandas(_search(cosine), "a string, b string, n long"),
-        "vector-links",
+        .mapInPandas(_search(cosine), "a string, b string, n long")
     )
+    found = stored(compared.unionByName(_ball_links(balls)), "vector-links")
     counts = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     weighed = nodes.select("node", "weight").join(counts, "node", "left").select(
         "node", F.coalesce("n", F.lit(0).cast("long")).alias("n"), "weight"
@@ -347,7 +406,7 @@ def near_vectors(
     return rows.select("vec_id", "node"), weighed, found.where("b IS NOT NULL").select("a", "b")
 
 
-def dedup_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK, centres: int = CENTRES) -> DataFrame:
+def dedup_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row of ``vectors``.
 
     Null labels, null, empty or zero vectors and vectors with null or non-finite components link with
@@ -355,7 +414,7 @@ def dedup_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK
     null vec_id counts as larger than any other: it names a component only if no other member can, and
     is never kept. Further columns are ignored.
     """
-    rows, counts, links = near_vectors(vectors, cosine, block, centres)
+    rows, counts, links = near_vectors(vectors, cosine, block)
     groups = components(links)
     named = counts.join(groups, "node", "left").select(
         "node", "n", "weight", F.coalesce("component", "node").alias("component")

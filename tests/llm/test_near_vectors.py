@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from shedlake.llm import near_vectors as near_vectors_module
 from shedlake.llm.near_vectors import cover_tree, dedup_vectors
 
 SCHEMA = "vec_id long, embedding array<float>, label int, node string, unit string, n long"
@@ -58,9 +59,44 @@ def test_pairs_are_exact_whatever_the_blocks(spark, block):
     assert result(dedup_vectors(frame(spark, rows), block=block)) == plain(rows)
 
 
-def test_few_centres_split_blocks_by_hash(spark):
+def test_what_does_not_shrink_is_dealt_by_hash(spark, monkeypatch):
     rows = clustered(5, 30, seed=2, labels=1)
-    assert result(dedup_vectors(frame(spark, rows), block=10, centres=2)) == plain(rows)
+    monkeypatch.setattr(near_vectors_module, "SHRUNK", 0.2)
+    assert result(dedup_vectors(frame(spark, rows), block=10)) == plain(rows)
+    monkeypatch.setattr(near_vectors_module, "LEVELS", 0)
+    assert result(dedup_vectors(frame(spark, rows), block=10)) == plain(rows)
+
+
+@pytest.mark.parametrize("size", [7, 40])
+def test_levels_and_slices_lose_no_pair(spark, monkeypatch, size):
+    """Cells that are split again, by few centres, with the rows of a task in several slices."""
+    rows = clustered(9, 40, seed=size, spread=0.03, labels=2)
+    monkeypatch.setattr(near_vectors_module, "CELLS", 3)
+    monkeypatch.setattr(near_vectors_module, "SLICE", size)
+    monkeypatch.setattr(near_vectors_module, "SHRUNK", 0.99)
+    assert result(dedup_vectors(frame(spark, rows), block=8)) == plain(rows)
+
+
+def rows_and_tasks(spark, rows, block):
+    """Numbers of nodes, rows of tasks, tasks, and rows of balls."""
+    data = [(f"{y}", f"{n:06d}", np.array(v) / np.linalg.norm(v)) for n, (_, v, y) in enumerate(rows)]
+    nodes = spark.createDataFrame(
+        [(g, n, bytearray(u.tobytes()), 1) for g, n, u in data], "group string, node string, unit binary, weight long"
+    )
+    tasks, balls = near_vectors_module._tasks(nodes, 0.2, block)
+    return len(rows), tasks.count(), tasks.select("task").distinct().count(), balls.count()
+
+
+def test_tasks_grow_in_proportion_on_clustered_data(spark):
+    _, rows_one, tasks_one, _ = rows_and_tasks(spark, clustered(20, 50, seed=4, spread=0.1, labels=1), 50)
+    _, rows_four, tasks_four, _ = rows_and_tasks(spark, clustered(80, 50, seed=4, spread=0.1, labels=1), 50)
+    assert rows_four < 6 * rows_one and tasks_four < 6 * tasks_one
+
+
+def test_a_dense_group_costs_its_size(spark):
+    """Near copies of one vector are a ball: one row each, not one for every part of the group."""
+    n, compared, _, balls = rows_and_tasks(spark, clustered(1, 2000, seed=5, spread=0.005, labels=1), 50)
+    assert balls == n and compared == 0
 
 
 def test_dense_group_is_accepted_as_a_whole(spark):
@@ -80,6 +116,15 @@ def test_odd_vectors_link_with_nothing(spark):
     assert result(dedup_vectors(frame(spark, rows))) == plain(rows)
 
 
+def test_labels_that_look_like_tasks(spark):
+    """A label may hold any character, also what names of tasks are made of."""
+    some = clustered(4, 30, seed=8, labels=1)
+    rows = [(i, v, "a") for i, v, _ in some] + [(30_000 + i, v, f"a|{i % 3}") for i, v, _ in some[:40]]
+    rows += [(50_000 + i, v, "no") for i, v, _ in some[:9]]
+    texts = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string")
+    assert result(dedup_vectors(texts, block=12)) == plain(rows)
+
+
 def test_empty_table(spark):
     assert dedup_vectors(frame(spark, clustered(1, 2, 1)).limit(0)).count() == 0
 
