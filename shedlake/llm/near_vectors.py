@@ -305,27 +305,34 @@ def _tasks(nodes: DataFrame, limit: float, block: int) -> tuple[DataFrame, DataF
     """Rows (task, side, node, weight, unit) of tasks that fit one tree, and those of balls."""
     columns = ["task", "side", "node", "weight", "unit"]
     rows = nodes.select(  # a hash, so that no label looks like the name of a task below another
-        F.sha2("group", 256).alias("task"), F.lit(0).alias("side"), "node", "weight", "unit", F.lit(2**62).alias("above")
+        F.md5("group").alias("task"), F.lit(0).alias("side"), "node", "weight", "unit", F.lit(2**62).alias("above")
     )
     ready, balls = [], []
     for level in range(LEVELS + 1):
-        sizes = rows.groupBy("task").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col("side") == 1).alias("n_1"),
-            F.count_if(F.col("side") == 2).alias("n_2"),
-        )
-        # One side alone has nothing to be compared with.
-        sized = rows.join(sizes.where("n_1 + n_2 = 0 OR (n_1 > 0 AND n_2 > 0)"), "task")
-        ball = F.col("task").endswith("o") if level else F.lit(False)
-        balls.append(sized.where(ball).select(*columns))
-        ready.append(sized.where(~ball & (F.col("n") <= block)).select(*columns))
-        large = sized.where(~ball & (F.col("n") > block))
+        sides = [F.count_if(F.col("side") == i).alias(f"n_{i}") for i in range(3)]
+        sizes = rows.groupBy("task").agg(F.count(F.lit(1)).alias("n"), *sides, F.max("above").alias("above"))
         shrunk = (F.col("n") <= F.col("above") * SHRUNK) & F.lit(level < LEVELS)
-        ready.append(_by_hash(large.where(~shrunk), block))
-        split = large.where(shrunk).withColumn("slices", F.ceil(F.col("n") / SLICE))
-        if split.isEmpty():
+        way = (
+            F.when((F.col("n_0") == 0) & (F.least("n_1", "n_2") == 0), "none")  # one side alone
+            .when(F.col("task").endswith("o") & F.lit(level > 0), "ball")
+            .when(F.greatest("n_0", "n_1", "n_2") <= block, "tree")
+            .when(shrunk, "split")
+            .otherwise("hash")
+        )
+        # One row per task, stored: where they are few Spark broadcasts them by their size, and moves no vector.
+        sizes = stored(sizes.withColumn("way", way).drop("above"), f"vector-sizes-{level}")
+        sized = rows.drop("above").join(sizes, "task")
+        ways = {r.way for r in sizes.select("way").distinct().collect()}
+        if "ball" in ways:
+            balls.append(sized.where("way = 'ball'").select(*columns))
+        if "hash" in ways:
+            ready.append(_by_hash(sized.where("way = 'hash'"), block))
+        if "tree" in ways:
+            ready.append(sized.where("way = 'tree'").select(*columns))
+        if "split" not in ways:
             break
-        share = F.least(F.lit(float(CELLS)), F.ceil(F.col("n") * 2 / block)) / F.col("n")
+        split = sized.where("way = 'split'").withColumn("slices", F.ceil(F.col("n") / SLICE))
+        share = F.least(F.lit(float(CELLS)), F.ceil(F.col("n") / block) + 1) / F.col("n")
         drawn = split.where(F.pmod(F.xxhash64(F.lit(level), "node"), F.lit(2**31)) < share * F.lit(float(2**31)))
         sent = ["task", "slice", "side", "node", "weight", "unit", "n"]
         centres = drawn.withColumn("side", F.lit(-1)).withColumn(
@@ -340,7 +347,8 @@ def _tasks(nodes: DataFrame, limit: float, block: int) -> tuple[DataFrame, DataF
             .mapInPandas(_deal(limit), "task string, side int, node string, weight long, unit binary, above long"),
             f"vector-level-{level}",
         )
-    return reduce(DataFrame.unionByName, ready), reduce(DataFrame.unionByName, balls)
+    nothing = rows.select(*columns).limit(0)
+    return reduce(DataFrame.unionByName, ready, nothing), reduce(DataFrame.unionByName, balls, nothing)
 
 
 def _ball_links(balls: DataFrame) -> DataFrame:
