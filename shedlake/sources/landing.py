@@ -31,8 +31,10 @@ FILE_LISTING = "path string, modificationTime timestamp, length long, content bi
 NEVER_TOO_OLD = "36500d"
 IN_FILE = "_in_file"
 OPEN_FILES = 16  # files whose first lines are read at once
-# Candidate types of a column, the narrowest first; text is what is left.
-INFERRED_TYPES = (T.IntegerType(), T.LongType(), T.DoubleType(), T.TimestampType(), T.BooleanType())
+# Candidate types of a column, the narrowest first, each a bit of a cell's mask; text is what is left.
+INFERRED_TYPES = ("int", "bigint", "decimal", "double", "date", "timestamp", "boolean")
+WHOLE_NUMBER = r"^\s*[+-]?\d{1,38}\s*$"
+PLAIN_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}\s*$"
 
 
 def new_files_stream(
@@ -121,6 +123,16 @@ def header_names(line: str) -> tuple[str, ...]:
     )
 
 
+def _set_apart(header: Sequence[str]) -> list[str]:
+    return [c + IN_FILE if c.lower() in (*OPERATIONAL, CORRUPT) else c for c in header]
+
+
+def column_names(spark: SparkSession, header: Sequence[str]) -> list[str]:
+    """The names that ``read_csv_group`` gives to the columns of a header."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in _set_apart(header)])
+    return sanitize_headers(spark.createDataFrame([], schema)).columns
+
+
 def read_csv_group(
     spark: SparkSession, header: Sequence[str], paths: Sequence[str], checked: bool = False
 ) -> DataFrame:
@@ -133,8 +145,7 @@ def read_csv_group(
     column, or of that extra one, is set apart from it. Files stay splittable, so one large file is
     read by many tasks.
     """
-    names = [c + IN_FILE if c.lower() in (*OPERATIONAL, CORRUPT) else c for c in header]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*_set_apart(header), CORRUPT]])
     rows = (
         spark.read.schema(schema)
         .option("header", True)
@@ -170,32 +181,89 @@ def read_files(
     return reduce(DataFrame.unionByName, frames)
 
 
+def _fitting_types(value: Column) -> Column:
+    """A bit for each of the types that a cell fits. Cells are folded by AND, in any order."""
+    fits = {
+        "int": fitted(value, T.IntegerType()).isNotNull(),
+        "bigint": fitted(value, T.LongType()).isNotNull(),
+        "decimal": value.rlike(WHOLE_NUMBER),
+        "double": fitted(value, T.DoubleType()).isNotNull(),
+        "date": F.when(value.rlike(PLAIN_DATE), value).try_cast("date").isNotNull(),
+        "timestamp": fitted(value, T.TimestampType()).isNotNull(),
+        "boolean": fitted(value, T.BooleanType()).isNotNull(),
+    }
+    bits = [F.when(fits[kind], F.lit(1 << i)).otherwise(F.lit(0)) for i, kind in enumerate(INFERRED_TYPES)]
+    return F.when(value.isNotNull(), reduce(Column.__add__, bits))
+
+
+def _header_lines(spark: SparkSession, reader_options: Mapping[str, object], directory: str) -> DataFrame:
+    """(path, line): the first line of each file that is not blank, found by the tasks that read the files."""
+    lines = spark.read.options(**reader_options).text(directory)
+    numbered = lines.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"),
+        F.col("value").alias("line"),
+    )
+    top = numbered.where((F.col("start") == 0) & F.col("line").rlike(r"\S"))
+    return top.groupBy("path").agg(F.min_by("line", "place").alias("line"))
+
+
 def infer_feed_schema(spark: SparkSession, directory: str, glob: str) -> DataFrame:
     """Discovery helper: type and number of filled values of every column found in a landing folder.
 
-    Files are read by header, as ingest reads them, so a column is counted under its own name
-    wherever it stands; its type is the narrowest that all its values fit, in all files.
+    A column is counted under its own name wherever it stands in a file; its type is the narrowest that
+    all its values fit, in all files: whole numbers too long for bigint are decimals, dates without a time
+    are dates, and a column without values is text. Columns are in the order of the files' paths and of
+    their headers.
+
+    One scan finds the headers and one folds the cells by file and place, with a bit mask of types that
+    combines on the map side. No path comes to the driver, only the headers that differ do.
     """
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    paths = [r.path for r in reader.load(directory).select("path").collect()]
-    cells, order = None, {}
-    for header, files in header_groups(spark, sorted(paths)).items():
-        rows = read_csv_group(spark, header, files).drop(CORRUPT)
-        for name in rows.columns:
-            order.setdefault(name, len(order))
-        named = [F.struct(F.lit(c).alias("column_name"), F.col(quoted(c)).alias("value")) for c in rows.columns]
-        group = rows.select(F.inline(F.array(*named)))
-        cells = group if cells is None else cells.unionByName(group)
-    if cells is None:
+    options = {"pathGlobFilter": glob, "recursiveFileLookup": True}
+    headers = _header_lines(spark, options, directory)
+    distinct = headers.groupBy("line").agg(F.min("path").alias("least")).orderBy("least").collect()
+    columns, order = [], {}
+    for line in (r.line for r in distinct):
+        for place, name in enumerate(column_names(spark, header_names(line))):
+            columns.append((line, place, order.setdefault(name, len(order)), name))
+    if not columns:
         return spark.createDataFrame([], "position int, column_name string, inferred_type string, filled bigint")
-    misfits = [
-        F.count_if(F.col("value").isNotNull() & fitted(F.col("value"), k).isNull()).alias(k.simpleString())
-        for k in INFERRED_TYPES
-    ]
-    found = cells.groupBy("column_name").agg(F.count("value").alias("filled"), *misfits)
+    named = spark.createDataFrame(columns, "line string, place int, position int, column_name string")
+    width = 1 + max(place for _, place, _, _ in columns)
+    rows = (
+        spark.read.schema(T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)]))
+        .options(**options)
+        .option("header", True)
+        .option("sep", ",")
+        .csv(directory)
+    )
+    cells = rows.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.posexplode(F.array(*rows.columns)).alias("place", "value"),
+    )
+    digits = F.length(F.regexp_replace(F.trim("value"), "^[+-]?0*", ""))
+    folded = cells.groupBy("path", "place").agg(
+        F.count("value").alias("filled"),
+        F.bit_and(_fitting_types(F.col("value"))).alias("types"),
+        F.max(F.when(F.col("value").rlike(WHOLE_NUMBER), digits)).alias("digits"),
+    )
+    found = (
+        headers.join(named, "line")
+        .join(folded, ["path", "place"], "left")
+        .groupBy("position", "column_name")
+        .agg(
+            F.coalesce(F.sum("filled"), F.lit(0)).alias("filled"),
+            F.bit_and("types").alias("types"),
+            F.max("digits").alias("digits"),
+        )
+    )
+    spelled = {"decimal": F.concat(F.lit("decimal("), F.col("digits"), F.lit(",0)"))}
     kind = F.coalesce(
-        *(F.when((F.col("filled") > 0) & (F.col(k) == 0), F.lit(k)) for k in (t.simpleString() for t in INFERRED_TYPES)),
+        *(
+            F.when(F.col("types").bitwiseAND(1 << i) != 0, spelled.get(kind, F.lit(kind)))
+            for i, kind in enumerate(INFERRED_TYPES)
+        ),
         F.lit("string"),
     )
-    position = F.coalesce(*(F.when(F.col("column_name") == c, F.lit(i)) for c, i in order.items()))
-    return found.select(position.alias("position"), "column_name", kind.alias("inferred_type"), "filled")
+    return found.select("position", "column_name", kind.alias("inferred_type"), F.col("filled").cast("long"))

@@ -2,6 +2,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 from shedlake.contracts import CAMERA, ENVIRONMENTAL
 from shedlake.sources.landing import HeaderBook, header_groups, header_mismatch, header_names, infer_feed_schema, read_files
@@ -75,6 +76,36 @@ def test_inferred_types_of_files_whose_headers_differ(spark, scratch):
     assert found == {"DAY": ("int", 3), "HOUR": ("int", 3), "SOUND_LEVEL": ("double", 2), "EXTRA": ("string", 2)}
 
 
+def test_inferred_type_is_the_narrowest_of_all_files(spark, scratch):
+    """Decimals and dates too; what fits only in some files widens the type, columns without values are text."""
+    put(scratch, "Camera_Farm_1_Shed_1.csv", "A,B,C,D,E,F,G,H\n1,5000000000,12345678901234567890,1.5,2024-01-02,2024-01-02,yes,\n")
+    put(f"{scratch}/deep", "Camera_Farm_1_Shed_2.csv", "\n\nH,G,F,E,D,C,B,A\n,1,2024-01-02 10:00:00,2024-2-3,7,-00000000000000000000009,3,2\n")
+    put(scratch, "Camera_Farm_1_Shed_3.csv", "A,Only\n3,3,surplus\n")
+    put(scratch, "Camera_Farm_1_Shed_4.csv", "Late\n")
+    put(scratch, "Camera_Farm_1_Shed_5.csv", "")
+    found = [tuple(r) for r in infer_feed_schema(spark, scratch, CAMERA.glob).orderBy("position").collect()]
+    assert found == [
+        (0, "A", "int", 3), (1, "B", "bigint", 2), (2, "C", "decimal(20,0)", 2), (3, "D", "double", 2), (4, "E", "date", 2),
+        (5, "F", "timestamp", 2), (6, "G", "boolean", 2), (7, "H", "string", 0), (8, "Only", "int", 1), (9, "Late", "string", 0),
+    ]
+
+
+def test_inference_of_an_empty_folder(spark, scratch):
+    put(scratch, "Other.csv", "DAY\n1\n")
+    assert infer_feed_schema(spark, scratch, CAMERA.glob).count() == 0
+
+
+def test_inference_brings_no_path_to_the_driver(spark, scratch, monkeypatch):
+    """What is collected are the headers that differ, however many files there are."""
+    for n in range(50):
+        put(scratch, f"Camera_Farm_1_Shed_{n}.csv", f"DAY,C{n % 2}\n{n},2.5\n")
+    brought, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda df: brought.append(collect(df)) or brought[-1])
+    frame = infer_feed_schema(spark, scratch, CAMERA.glob)
+    assert [len(rows) for rows in brought] == [2]
+    assert sorted((r.column_name, r.filled) for r in collect(frame)) == [("C0", 25), ("C1", 25), ("DAY", 50)]
+
+
 @pytest.mark.parametrize("odd", ["a`b", "_corrupt_record", "a.b", "x y", "`", "_rescued_data"])
 def test_odd_headers_are_rescued(spark, scratch, odd):
     path = put(scratch, "Camera_Farm_1_Shed_1.csv", f"DAY,HOUR,{odd}\n1,2,mine\n")
