@@ -104,6 +104,33 @@ def infer_camera_schema(spark, sf_dir):
     return infer_feed_schema(spark, landing_folder(spark, sf_dir), CAMERA.glob)
 
 
+@query("""
+SELECT v.column_name, v.inferred_type, CASE v.column_name
+         WHEN 'Settled' THEN count(*) FILTER (o_orderkey % 3 = 0) ELSE count(*) END AS filled
+FROM orders, (VALUES ('DAY', 'int'), ('Receipt', 'bigint'), ('Serial', 'decimal(' || (SELECT length(max(o_orderkey)::VARCHAR) + 19 FROM orders) || ',0)'),
+                     ('Price', 'double'), ('Placed', 'date'), ('Settled', 'timestamp'), ('Urgent', 'boolean'),
+                     ('Remark', 'string')) v(column_name, inferred_type)
+GROUP BY v.column_name, v.inferred_type""")
+def infer_widening_types(spark, sf_dir):
+    """Orders as landing files: every type of the lattice, two of them only once all files are folded."""
+    key, placed = F.col("o_orderkey"), F.col("o_orderdate").cast("date").cast("string")
+    rows = load(spark, sf_dir, "orders").select(
+        (key % 4).cast("int").alias("FARM_NO"),
+        (F.col("o_custkey") % 2).cast("int").alias("SHED_NO"),
+        (key % 30 + 1).cast("int").alias("DAY"),
+        (key + 5_000_000_000).alias("Receipt"),
+        F.concat(key.cast("string"), F.lit("0" * 19)).alias("Serial"),
+        (key * 0.25 + 0.125).cast("double").alias("Price"),
+        placed.alias("Placed"),
+        F.when(key % 6 == 0, F.concat(placed, F.lit(" 10:30:00"))).when(key % 3 == 0, placed).alias("Settled"),
+        F.when(key % 2 == 0, "yes").otherwise("false").alias("Urgent"),
+        F.when(key % 4 == 1, "on hold").otherwise(placed).alias("Remark"),
+    )
+    folder = scratch_dir(spark, "landing")
+    write_landing_files(rows, folder, FILE_PREFIXES["camera"])
+    return infer_feed_schema(spark, folder, CAMERA.glob).drop("position")
+
+
 def standard_rows(spark, sf_dir, contract, keep_source_columns=False):
     bronze = read_files(spark, landed_files(spark, sf_dir, contract), contract, run_time())
     return wall_clock(standardize(bronze, contract, keep_source_columns))
