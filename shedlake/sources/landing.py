@@ -35,6 +35,15 @@ OPEN_FILES = 16  # files whose first lines are read at once
 INFERRED_TYPES = ("int", "bigint", "decimal", "double", "date", "timestamp", "boolean")
 WHOLE_NUMBER = r"^\s*[+-]?\d{1,38}\s*$"
 PLAIN_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}\s*$"
+# What a cell must look like for a cast to succeed; the cast itself decides. Spark trims the first set
+# of characters around whole numbers and times, and the second one around doubles.
+_TRIMMED, _BLANK = r"[\x00-\x20\x7f]*+", r"[\x00-\x20]*+"
+LIKE_LONG = rf"^{_TRIMMED}[+-]?0*\d{{1,19}}{_TRIMMED}$"
+LIKE_DOUBLE = (
+    rf"^{_BLANK}[+-]?(?:(?:\d++(?:\.\d*+)?|\.\d++)(?:[eE][+-]?\d++)?[fFdD]?"
+    rf"|0[xX][0-9a-fA-F]*+(?:\.[0-9a-fA-F]*+)?[pP][+-]?\d++[fFdD]?|(?i:inf|infinity|nan)){_BLANK}$"
+)
+LIKE_TIME = rf"^(?:{_TRIMMED}(?:[+-]?(?:\d{{4,5}}|[0-2]\d{{5}})(?:-|{_TRIMMED}$)|\d{{1,2}}:)|T\d)"
 
 
 def new_files_stream(
@@ -182,14 +191,23 @@ def read_files(
 
 
 def _fitting_types(value: Column) -> Column:
-    """A bit for each of the types that a cell fits. Cells are folded by AND, in any order."""
+    """A bit for each of the types that a cell fits. Cells are folded by AND, in any order.
+
+    A cast that fails raises inside Spark, at many times the price of one that succeeds, and every cell
+    misfits most types. So a cell is cast to a type only if it looks like one of its values.
+    """
+
+    def cast(looks: str, kind: T.DataType) -> Column:
+        return fitted(F.when(value.rlike(looks), value), kind)
+
+    whole = cast(LIKE_LONG, T.LongType())
     fits = {
-        "int": fitted(value, T.IntegerType()).isNotNull(),
-        "bigint": fitted(value, T.LongType()).isNotNull(),
+        "int": F.coalesce(whole.between(-(1 << 31), (1 << 31) - 1), F.lit(False)),
+        "bigint": whole.isNotNull(),
         "decimal": value.rlike(WHOLE_NUMBER),
-        "double": fitted(value, T.DoubleType()).isNotNull(),
+        "double": cast(LIKE_DOUBLE, T.DoubleType()).isNotNull(),
         "date": F.when(value.rlike(PLAIN_DATE), value).try_cast("date").isNotNull(),
-        "timestamp": fitted(value, T.TimestampType()).isNotNull(),
+        "timestamp": cast(LIKE_TIME, T.TimestampType()).isNotNull(),
         "boolean": fitted(value, T.BooleanType()).isNotNull(),
     }
     bits = [F.when(fits[kind], F.lit(1 << i)).otherwise(F.lit(0)) for i, kind in enumerate(INFERRED_TYPES)]

@@ -1,10 +1,15 @@
 import json
 import os
+from functools import reduce
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.classic.dataframe import DataFrame
 
 from shedlake.contracts import CAMERA, ENVIRONMENTAL
+from shedlake.functions.columns import fitted
+from shedlake.sources import landing
 from shedlake.sources.landing import HeaderBook, header_groups, header_mismatch, header_names, infer_feed_schema, read_files
 
 HEADER = "DAY,HOUR,BRIGHTNESS,BIRD_ACTIVITY,SOUND_LEVEL,CAMERA_OPERATIONAL\n"
@@ -174,3 +179,35 @@ def test_header_named_like_an_operational_column_is_rescued(spark, scratch):
     row = read_files(spark, [path], CAMERA).first()
     assert row._source_file_name == "Camera_Farm_1_Shed_1.csv"
     assert json.loads(row._rescued_data) == {"_source_file_name_in_file": "mine"}
+
+
+def test_looks_decide_nothing_that_a_cast_decides_otherwise(spark):
+    """A cell has the types that plain casts give it, which are tried only where it looks like one."""
+    cells = [
+        "", " ", "0", "+0", "-", ".", "1.", ".5", "1e5", "1e", "1d", "NaN", "-nan", "inf", "-Infinity", "0x1p3", "0x1", "1L",
+        "2147483647", "2147483648", "-2147483649", "9223372036854775808", "-9223372036854775808", "0" * 30 + "12", "9" * 25,
+        "2024", "294247", "294248", "300000", "-2024", "2024-1", "2024-01-01", "2024-13-01", "2024-01-01 10:30:00", "T10:30",
+        " T10:30", "10:30", "123:00", "+12345-01-01", "\x7f12\x7f", "\x7f1.5", "\x1f1.5\x1f", "2024\n", "１２", "yes", "on hold",
+    ]
+    plain = {"int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(), "timestamp": T.TimestampType()}
+    value, places = F.col("value"), {kind: 1 << i for i, kind in enumerate(landing.INFERRED_TYPES)}
+    casts = [F.when(fitted(value, t).isNotNull(), F.lit(places[kind])).otherwise(F.lit(0)) for kind, t in plain.items()]
+    wanted = reduce(lambda a, b: a + b, casts)
+    found = landing._fitting_types(value).bitwiseAND(sum(places[kind] for kind in plain))
+    rows = spark.createDataFrame([(c,) for c in cells], "value string").select("value", wanted.alias("w"), found.alias("f"))
+    assert [tuple(r) for r in rows.where("w != f").collect()] == []
+    looks = {"int": landing.LIKE_LONG, "double": landing.LIKE_DOUBLE, "timestamp": landing.LIKE_TIME}
+    for kind, pattern in looks.items():  # common misfits are not cast at all
+        misfits = [c for c in ("on hold", "1.125", "2024-01-01", "9" * 25) if (kind, c) not in (("double", "1.125"), ("double", "9" * 25), ("timestamp", "2024-01-01"))]
+        assert spark.createDataFrame([(c,) for c in misfits], "value string").where(value.rlike(pattern)).count() == 0
+
+
+def test_mixed_headers_of_words_dates_and_times(spark, scratch):
+    """Cells that look like several types keep those that all of a column's cells have, under any header."""
+    os.makedirs(scratch)
+    with open(f"{scratch}/Camera_Farm_1_Shed_1_Period_0.csv", "w") as f:
+        f.write("A,B,C\n2024,12,2024-01-01\n1999,1e3,10:30\n")
+    with open(f"{scratch}/Camera_Farm_1_Shed_1_Period_1.csv", "w") as f:
+        f.write("Vet,C,B,A\nnone,2024-01-01 10:30:00,nan,2024-05\n,,,\n")
+    found = {r.column_name: (r.inferred_type, r.filled) for r in infer_feed_schema(spark, scratch, CAMERA.glob).collect()}
+    assert found == {"A": ("timestamp", 3), "B": ("double", 3), "C": ("timestamp", 3), "Vet": ("string", 1)}
