@@ -28,12 +28,20 @@ new AS (
   FROM lineitem GROUP BY l_orderkey)"""
 
 
+# Orders and lines that one task groups, sorts and joins. Shuffled keys are small and need many times their
+# space in memory, so tasks that follow from shuffled bytes alone would hold too many.
+ROWS_PER_TASK = 1_000_000
+
+
 def order_versions(spark, sf_dir):
     recorded = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    lines = load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linestatus")
+    tasks = -(-(recorded.count() + lines.count()) // ROWS_PER_TASK)  # counted by the files' footers
+    tasks = max(tasks, spark.sparkContext.defaultParallelism)
+    recorded, lines = (side.repartition(tasks, "o_orderkey") for side in (recorded, lines))
     status = F.col("l_linestatus")
     shown = (
-        load(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
+        lines.groupBy("o_orderkey")
         .agg(
             F.when(F.bool_and(status == "F"), "F")
             .when(F.bool_and(status == "O"), "O")

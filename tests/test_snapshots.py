@@ -5,6 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from shedlake.operators.snapshots import change_feed, collapse_change_feed, snapshot_apply, snapshot_diff
+from shedlake.plans.queries import snapshots
 
 SCHEMA = "k int, v string, at int"
 OLD = [(1, "a", 1), (2, "b", 1), (3, None, 1), (4, "d", 1)]
@@ -101,3 +102,18 @@ def test_the_side_that_is_not_known_unique_is_checked_without_sorting_its_rows(s
     good = snapshot_diff(fine, fine, ["k"], unique=known)
     assert {r._change_type for r in good.collect()} == {"unchanged"} and good.count() == 2
     assert "SortAggregate" not in good._jdf.queryExecution().executedPlan().toString()
+
+
+def test_order_versions_are_dealt_by_their_rows(spark, scratch, monkeypatch):
+    """Tasks of a bounded number of rows, however small their shuffled bytes; null and repeated keys of lines stay."""
+    orders = spark.range(400).select(F.col("id").alias("o_orderkey"), F.lit("O").alias("o_orderstatus"))
+    lines = spark.range(800).select(F.when(F.col("id") != 7, F.col("id") % 390).alias("l_orderkey"), F.lit("O").alias("l_linestatus"))
+    orders.write.parquet(f"{scratch}/orders.parquet")
+    lines.write.parquet(f"{scratch}/lineitem.parquet")
+    monkeypatch.setattr(snapshots, "ROWS_PER_TASK", 20)
+    recorded, shown = snapshots.order_versions(spark, scratch)
+    assert recorded.rdd.getNumPartitions() == shown.rdd.getNumPartitions() == 60
+    diff = snapshots.snapshot_diff_orders(spark, scratch)
+    assert {(r._change_type, r.n) for r in diff.groupBy("_change_type").agg(F.count(F.lit(1)).alias("n")).collect()} == {
+        ("unchanged", 390), ("delete", 10), ("insert", 1),
+    }
