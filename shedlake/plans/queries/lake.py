@@ -121,6 +121,8 @@ def target_metadata(spark, sf_dir):
     declare_tables(spark, lake, database)
     told = []
     for table in spark.catalog.listTables(database):
+        if table.isTemporary:  # views of the session are listed with the tables of any database
+            continue
         known = described(spark, f"{database}.{table.name}")
         if "quality" in known:  # the stored changes of keyed tables have none of their own
             told.append(

@@ -6,6 +6,7 @@ import pytest
 
 from shedlake.contracts import CAMERA
 from shedlake.plans.lakehouse import Lake, declare_tables, run_all
+from shedlake.plans.queries.lake import target_metadata
 from shedlake.sources.catalog import declare, described
 from shedlake.sources.tables import BATCH_ID
 from test_landing import HEADER, put
@@ -65,3 +66,12 @@ def test_keyed_tables_by_name_before_and_after_compaction(spark, scratch, databa
 def test_names_are_checked(spark, scratch):
     with pytest.raises(ValueError):
         declare(spark, Lake(scratch).bronze(CAMERA), "a b")
+
+
+def test_metadata_leaves_out_views_of_the_session(spark, sf_dir):
+    """A temporary view is listed with the tables of every database, but is in none."""
+    spark.range(1).createOrReplaceTempView("passing_by")
+    try:
+        assert target_metadata(spark, sf_dir).where("name = 'passing_by'").count() == 0
+    finally:
+        spark.catalog.dropTempView("passing_by")
