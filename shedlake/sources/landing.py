@@ -22,6 +22,7 @@ from shedlake.contracts import OPERATIONAL, FeedContract
 from shedlake.functions.columns import fitted, quoted, stamp_operational
 from shedlake.functions.headers import sanitize_headers
 from shedlake.functions.rescue import CORRUPT, rescue
+from shedlake.session import scratch_dir
 from shedlake.sources.paths import first_line, glob, literal, put_text
 
 FILE_LISTING = "path string, modificationTime timestamp, length long, content binary"
@@ -33,6 +34,7 @@ IN_FILE = "_in_file"
 OPEN_FILES = 16  # files whose first lines are read at once
 # Candidate types of a column, the narrowest first, each a bit of a cell's mask; text is what is left.
 INFERRED_TYPES = ("int", "bigint", "decimal", "double", "date", "timestamp", "boolean")
+BIT = {kind: 1 << i for i, kind in enumerate(INFERRED_TYPES)}
 WHOLE_NUMBER = r"^\s*[+-]?\d{1,38}\s*$"
 PLAIN_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}\s*$"
 # What a cell must look like for a cast to succeed; the cast itself decides. Spark trims the first set
@@ -44,6 +46,9 @@ LIKE_DOUBLE = (
     rf"|0[xX][0-9a-fA-F]*+(?:\.[0-9a-fA-F]*+)?[pP][+-]?\d++[fFdD]?|(?i:inf|infinity|nan)){_BLANK}$"
 )
 LIKE_TIME = rf"^(?:{_TRIMMED}(?:[+-]?(?:\d{{4,5}}|[0-2]\d{{5}})(?:-|{_TRIMMED}$)|\d{{1,2}}:)|T\d)"
+# Numbers whose types follow from their looks alone.
+PLAIN_WHOLE = r"^\d{1,18}\z"
+PLAIN_FRACTION = r"^\d+\.\d+\z"
 
 
 def new_files_stream(
@@ -190,28 +195,53 @@ def read_files(
     return reduce(DataFrame.unionByName, frames)
 
 
+def _bits(fits: Mapping[str, Column]) -> Column:
+    return reduce(Column.__add__, (F.when(fits[kind], F.lit(BIT[kind])).otherwise(F.lit(0)) for kind in fits))
+
+
 def _fitting_types(value: Column) -> Column:
     """A bit for each of the types that a cell fits. Cells are folded by AND, in any order.
 
     A cast that fails raises inside Spark, at many times the price of one that succeeds, and every cell
-    misfits most types. So a cell is cast to a type only if it looks like one of its values.
+    misfits most types. So a cell is cast to a type only if it looks like one of its values. Patterns are
+    what remains dear: plain numbers and words, which most cells are, are told by one and the first
+    character, and only the types that are open then are looked at.
     """
 
     def cast(looks: str, kind: T.DataType) -> Column:
         return fitted(F.when(value.rlike(looks), value), kind)
 
+    first = F.ascii(value)
     whole = cast(LIKE_LONG, T.LongType())
-    fits = {
+    double = cast(LIKE_DOUBLE, T.DoubleType()).isNotNull()
+    time = cast(LIKE_TIME, T.TimestampType()).isNotNull()
+    boolean = fitted(value, T.BooleanType()).isNotNull()
+    plain_whole = {
+        "int": F.when(F.length(value) < 10, F.lit(True)).otherwise(value.try_cast("bigint") < 1 << 31),
+        "timestamp": F.length(value).between(4, 6) & time,
+        "boolean": value.isin("0", "1"),
+    }
+    word = {
+        "double": first.isin(*map(ord, "IiNn")) & double,
+        "timestamp": (first == ord("T")) & time,
+        "boolean": boolean,
+    }
+    any_other = {
         "int": F.coalesce(whole.between(-(1 << 31), (1 << 31) - 1), F.lit(False)),
         "bigint": whole.isNotNull(),
         "decimal": value.rlike(WHOLE_NUMBER),
-        "double": cast(LIKE_DOUBLE, T.DoubleType()).isNotNull(),
+        "double": double,
         "date": F.when(value.rlike(PLAIN_DATE), value).try_cast("date").isNotNull(),
-        "timestamp": cast(LIKE_TIME, T.TimestampType()).isNotNull(),
-        "boolean": fitted(value, T.BooleanType()).isNotNull(),
+        "timestamp": time,
+        "boolean": boolean,
     }
-    bits = [F.when(fits[kind], F.lit(1 << i)).otherwise(F.lit(0)) for i, kind in enumerate(INFERRED_TYPES)]
-    return F.when(value.isNotNull(), reduce(Column.__add__, bits))
+    digit = first.between(ord("0"), ord("9"))
+    return (
+        F.when(first.between(ord("A"), ord("~")) | (first > 0x7F), _bits(word))
+        .when(digit & value.rlike(PLAIN_FRACTION), F.lit(BIT["double"]))
+        .when(digit & value.rlike(PLAIN_WHOLE), _bits(plain_whole) + BIT["bigint"] + BIT["decimal"] + BIT["double"])
+        .when(value.isNotNull(), _bits(any_other))
+    )
 
 
 def _header_lines(spark: SparkSession, reader_options: Mapping[str, object], directory: str) -> DataFrame:
@@ -235,11 +265,13 @@ def infer_feed_schema(spark: SparkSession, directory: str, glob: str) -> DataFra
     are dates, and a column without values is text. Columns are in the order of the files' paths and of
     their headers.
 
-    One scan finds the headers and one folds the cells by file and place, with a bit mask of types that
-    combines on the map side. No path comes to the driver, only the headers that differ do.
+    One scan finds the headers, which are stored, and one folds the cells by file and place, with a bit mask
+    of types that combines on the map side. No path comes to the driver, only the headers that differ do.
     """
     options = {"pathGlobFilter": glob, "recursiveFileLookup": True}
-    headers = _header_lines(spark, options, directory)
+    kept = scratch_dir(spark, "headers")
+    _header_lines(spark, options, directory).write.parquet(kept)
+    headers = spark.read.schema("path string, line string").parquet(kept)
     distinct = headers.groupBy("line").agg(F.min("path").alias("least")).orderBy("least").collect()
     columns, order = [], {}
     for line in (r.line for r in distinct):
@@ -259,12 +291,13 @@ def infer_feed_schema(spark: SparkSession, directory: str, glob: str) -> DataFra
     cells = rows.select(
         F.col("_metadata.file_path").alias("path"),
         F.posexplode(F.array(*rows.columns)).alias("place", "value"),
-    )
-    digits = F.length(F.regexp_replace(F.trim("value"), "^[+-]?0*", ""))
+    ).withColumn("types", _fitting_types(F.col("value")))
+    leads = F.ascii("value").between(ord("1"), ord("9"))
+    digits = F.length(F.when(leads, F.trim("value")).otherwise(F.regexp_replace(F.trim("value"), "^[+-]?0*", "")))
     folded = cells.groupBy("path", "place").agg(
         F.count("value").alias("filled"),
-        F.bit_and(_fitting_types(F.col("value"))).alias("types"),
-        F.max(F.when(F.col("value").rlike(WHOLE_NUMBER), digits)).alias("digits"),
+        F.bit_and("types").alias("types"),
+        F.max(F.when(F.col("types").bitwiseAND(BIT["decimal"]) != 0, digits)).alias("digits"),
     )
     found = (
         headers.join(named, "line")
@@ -279,8 +312,8 @@ def infer_feed_schema(spark: SparkSession, directory: str, glob: str) -> DataFra
     spelled = {"decimal": F.concat(F.lit("decimal("), F.col("digits"), F.lit(",0)"))}
     kind = F.coalesce(
         *(
-            F.when(F.col("types").bitwiseAND(1 << i) != 0, spelled.get(kind, F.lit(kind)))
-            for i, kind in enumerate(INFERRED_TYPES)
+            F.when(F.col("types").bitwiseAND(BIT[kind]) != 0, spelled.get(kind, F.lit(kind)))
+            for kind in INFERRED_TYPES
         ),
         F.lit("string"),
     )

@@ -211,3 +211,40 @@ def test_mixed_headers_of_words_dates_and_times(spark, scratch):
         f.write("Vet,C,B,A\nnone,2024-01-01 10:30:00,nan,2024-05\n,,,\n")
     found = {r.column_name: (r.inferred_type, r.filled) for r in infer_feed_schema(spark, scratch, CAMERA.glob).collect()}
     assert found == {"A": ("timestamp", 3), "B": ("double", 3), "C": ("timestamp", 3), "Vet": ("string", 1)}
+
+
+def test_plain_numbers_and_words_have_types_by_their_looks_alone(spark, monkeypatch):
+    """No pattern of a type is tried on them, and they have the types that the patterns and casts give."""
+    cells = ["0", "1", "7", "007", "123456789", "999999999", "2147483647", "2147483648", "5000000123", "9" * 18, "0" * 18, "1.5", "0.0", "12.", "2024.5",
+             "none", "true", "No", "on hold", "N", "Tuesday", "\u00fcber", "~", "_", "1\n", "1.5\n", "2024", "0000", "294248", "Infinity", "nan", "inf ", "T1:02", "T"]
+    value = F.col("value")
+    rows = spark.createDataFrame([(c,) for c in cells], "value string")
+
+    def names(types):
+        return {r.value: {k for i, k in enumerate(landing.INFERRED_TYPES) if r.types >> i & 1} for r in rows.select("value", types.alias("types")).collect()}
+
+    found = names(landing._fitting_types(value))
+    kinds = {"int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(), "timestamp": T.TimestampType(), "boolean": T.BooleanType()}
+    for r in rows.select("value", *(fitted(value, t).isNotNull().alias(k) for k, t in kinds.items())).collect():
+        assert found[r.value] - {"decimal", "date"} == {k for k in kinds if r[k]}, r.value
+        assert ("decimal" in found[r.value]) == r.value.strip().isdecimal() and "date" not in found[r.value]
+    for pattern in ("LIKE_LONG", "LIKE_DOUBLE", "WHOLE_NUMBER", "PLAIN_DATE", "LIKE_TIME"):
+        monkeypatch.setattr(landing, pattern, "(?!)")
+    alone = names(landing._fitting_types(value))
+    assert {c: alone[c] for c in cells[:11]} == {c: found[c] for c in cells[:11]}
+    assert {c: alone[c] for c in ("1.5", "0.0", "2024.5", "none", "true", "on hold")} == {c: found[c] for c in ("1.5", "0.0", "2024.5", "none", "true", "on hold")}
+
+
+def test_digits_of_decimals_are_counted_without_signs_and_leading_zeros(spark, scratch):
+    long = "1" + "0" * 20
+    put(scratch, "Camera_Farm_1_Shed_1.csv", f"A,B,C\n{long},+00{long},0\n7,007,-000{long}1\n")
+    found = {r.column_name: r.inferred_type for r in infer_feed_schema(spark, scratch, CAMERA.glob).collect()}
+    assert found == {"A": "decimal(21,0)", "B": "decimal(21,0)", "C": "decimal(22,0)"}
+
+
+def test_inference_scans_a_folder_twice(spark, scratch):
+    """Once for the headers, which are stored, and once for the cells."""
+    put(scratch, "Camera_Farm_1_Shed_1.csv", "DAY,HOUR\n1,2\n")
+    put(scratch, "Camera_Farm_1_Shed_2.csv", "HOUR,Vet,DAY\n1,none,2\n")
+    plan = infer_feed_schema(spark, scratch, CAMERA.glob)._jdf.queryExecution().toString()
+    assert plan.count("FileScan csv") == 1 and "FileScan text" not in plan
