@@ -273,8 +273,9 @@ def _deal(limit: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFr
                 drawn += rows.loc[here, "unit"].tolist()
                 rows = rows[~here]
                 if len(rows):
-                    if centres is None:  # a task that drew none is one cell
-                        centres = _net(drawn or [rows["unit"].iloc[0]], limit / 2)
+                    if centres is None:  # a task that drew none is one cell, of one centre in all its slices
+                        axis = np.eye(1, len(rows["unit"].iloc[0]) // 8).tobytes()
+                        centres = _net(drawn or [axis], limit / 2)
                     yield from frames(key[0], centres, rows)
 
     return deal
